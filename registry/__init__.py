@@ -1,0 +1,5 @@
+"""Queries over the given tables, one module per topic."""
+
+from registry import vector_queries
+
+MODULES = (vector_queries,)

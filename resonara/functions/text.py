@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from resonara.functions.accents import folding_tables
 
@@ -21,7 +22,7 @@ CHANNEL_NOISE = (" - topic", " oficial")
 # ----------------------------------------------------------------------------
 
 # Every character str.strip() and str.split() treat as blank.
-BLANK = r"[\s\x1c-\x1f\x85\xa0  -     　]"
+BLANK = r"[\s\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
 def _lit(text: str) -> Column:
@@ -200,7 +201,7 @@ def _lcs_length(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def indel_ratio(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """``200 * LCS / (len a + len b)``; two empty strings score 100."""
     for left, right in pairs:

@@ -16,6 +16,7 @@ def local_session(cores: int = 8, app_name: str = "resonara", memory: str = "12g
         .appName(app_name)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
