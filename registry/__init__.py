@@ -1,5 +1,5 @@
 """Queries over the given tables, one module per topic."""
 
-from registry import vector_queries
+from registry import text_queries, vector_queries
 
-MODULES = (vector_queries,)
+MODULES = (vector_queries, text_queries)

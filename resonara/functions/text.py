@@ -53,12 +53,13 @@ def fold_accents(text: Column) -> Column:
     single, multiple = folding_tables()
     chars = list(single)
     folded = F.translate(text, "".join(chars), "".join(single[c] for c in chars))
-    expansion = F.create_map(*[_lit(part) for pair in multiple.items() for part in pair])
+    pairs = "\x01".join(f"{char}\x02{parts}" for char, parts in multiple.items())
+    expansion = F.str_to_map(_lit(pairs), _lit("\x01"), _lit("\x02"))
     expanded = F.array_join(
         F.transform(F.split(folded, ""), lambda c: F.coalesce(F.try_element_at(expansion, c), c)), ""
     )
-    rare = "[" + "".join(multiple) + "]"
-    return F.when(folded.rlike(rare), expanded).otherwise(folded)
+    plain = F.length(F.translate(folded, "".join(multiple), "")) == F.length(folded)
+    return F.when(plain, folded).otherwise(expanded)
 
 
 def normalize_text(text: Column, hyphen_is_blank: bool = True) -> Column:
