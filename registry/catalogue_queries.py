@@ -250,12 +250,12 @@ def fuzzy_join_unique(spark, sf):
 
 def bigram_candidates(spark, sf):
     """Pairs from the pruned plan that do reach the threshold: none may be missing."""
-    from resonara.functions.text import indel_ratio, token_sort
+    from resonara.functions.text import token_sort
 
     left = _misspelt(spark, sf).select(token_sort(F.col("query_key")).alias("key")).distinct()
     right = _proper(spark, sf).select(token_sort(F.col("meta_key")).alias("key")).distinct()
     pairs = FZ.candidate_pairs(left, right, FZ.DEFAULT_THRESHOLD)
-    scored = pairs.withColumn("score", indel_ratio("l_key", "r_key")).where(F.col("score") >= FZ.DEFAULT_THRESHOLD)
+    scored = FZ.scored_pairs(pairs, FZ.DEFAULT_THRESHOLD)
     return scored.select("l_key", "r_key", rounded("score").alias("score"))
 
 
