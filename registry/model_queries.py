@@ -18,6 +18,9 @@ from resonara.operators.neighbours import knn
 from resonara.workspace import written
 
 HASH_DIMS = 32
+# Token shares such as 10/512 lie exactly between two rounded values, where the
+# order of a sum would decide; both sides add this before rounding.
+OFF_TIE = 1e-9
 
 
 # --- clusters ---------------------------------------------------------------
@@ -164,7 +167,7 @@ def chunk_windows(spark, sf):
 
 def hash_embed(spark, sf):
     found = E.hash_embed(table(spark, sf, "documents"), "doc_id", E.whitespace_tokens(F.col("text")), HASH_DIMS)
-    return found.withColumn("value", rounded("value"))
+    return found.withColumn("value", rounded(F.col("value") + OFF_TIE))
 
 
 def share_encoder():
@@ -185,7 +188,7 @@ def embed_text(spark, sf):
     """The pluggable encoder path, with a letter-share encoder."""
     docs = table(spark, sf, "documents")
     found = E.embed_text(docs, "doc_id", E.whitespace_tokens(F.col("text")), share_encoder)
-    return V.explode_dims(found, "embedding", "doc_id").withColumn("value", rounded("value"))
+    return V.explode_dims(found, "embedding", "doc_id").withColumn("value", rounded(F.col("value") + OFF_TIE))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -220,7 +223,8 @@ prob as (select id, lang, exp(s - max(s) over (partition by id)) as e from ll)
 _PROB = "e / sum(e) over (partition by id)"
 
 _TOKENS = """
-tok as (select doc_id, list_filter(regexp_split_to_array(trim(text, ' \\n\\t\\r'), '\\s+'), lambda x: x <> '') as a from documents),
+tok as (select doc_id, list_filter(string_split(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' '), lambda x: x <> '') as a
+  from documents),
 ch as (select doc_id, a, unnest(range(0, 1 + greatest(ceil((len(a) - 512) / 256.0), 0)::bigint)) as chunk from tok),
 chunks as (select doc_id, chunk, a[chunk * 256 + 1 : chunk * 256 + 512] as words from ch)
 """
@@ -297,11 +301,11 @@ u as (select doc_id, chunk, len(words) as n, unnest(words) as w from chunks),
 h as (select doc_id, chunk, n, (('0x' || substr(md5(w), 1, 8))::ubigint % {HASH_DIMS})::int as dim from u),
 s as (select doc_id, chunk, dim, count(*) / any_value(n) as share from h group by doc_id, chunk, dim),
 k as (select doc_id, count(*) as c from chunks group by doc_id)
-select doc_id, dim, round(sum(share) / any_value(c), 6) as value from s join k using (doc_id) group by doc_id, dim""",
+select doc_id, dim, round(sum(share) / any_value(c) + {OFF_TIE}, 6) as value from s join k using (doc_id) group by doc_id, dim""",
     "embed_text": f"""
 with {_TOKENS},
 t as (select doc_id, lower(array_to_string(words, '')) as s from chunks),
 v as (select doc_id, unnest(range(26)) as dim, s from t)
-select doc_id, dim::int as dim, round(avg((len(s) - len(replace(s, chr((97 + dim)::int), ''))) / greatest(len(s), 1)), 6) as value
+select doc_id, dim::int as dim, round(avg((len(s) - len(replace(s, chr((97 + dim)::int), ''))) / greatest(len(s), 1)) + {OFF_TIE}, 6) as value
 from v group by doc_id, dim""",
 }

@@ -36,11 +36,11 @@ def _metadata(spark, sf):
 
 
 def _requests(spark, sf):
-    """Every user asks for the item of the same key, spelt in capitals."""
-    users = table(spark, sf, "events").select(F.col("user_id").alias("item_id")).distinct()
+    """Every customer asks for the item of the same key, spelt in capitals; some
+    keys have no item."""
+    customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("item_id"))
     names = _vectors(spark, sf).select("item_id", "artist", "song")
-    # the item is the user's, or an unknown one
-    return users.join(names, "item_id", "left").select(
+    return customers.join(names, "item_id", "left").select(
         F.concat(F.lit("r"), "item_id").alias("request_id"), F.upper(F.coalesce("artist", F.lit("Nobody"))).alias("artist"),
         F.upper(F.coalesce("song", F.lit("qqqq zzzz"))).alias("song"))
 
@@ -199,7 +199,7 @@ near as (select q.item_id as query_id, c.item_id, c.artist, c.song, c.video_id,
 """
 _PERCENT = """case when d2 < 10 then '100%' when d2 > 30 then '0%'
   else round_even(100.0::double - (d2 - 10) * 5, 0)::int || '%' end as similarity"""
-_USERS = "asked as (select distinct user_id from events)"
+_USERS = "asked as (select c_custkey as user_id from customer)"
 _RATED = """
 r as (select strftime(ts, '%Y-%m-%d') as day, user_id, event_type, (props::json->>'k')::int as k from events),
 f as (select distinct day, user_id, event_type, k from r)

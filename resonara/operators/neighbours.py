@@ -312,6 +312,7 @@ def knn_widen(corpus: DataFrame, queries: DataFrame, visits: DataFrame, n: int,
     corpus = _columns(corpus, corpus_id, vector, "item_id", F.col(cluster).alias("cell"))
     queries = _columns(queries, query_id, vector, "query_id").join(
         visits.select("query_id", F.col(cluster).alias("cell"), F.col("cell_rank").cast("int")), "query_id")
+    queries = written(queries, "visits")  # read for the block sizes and for the blocks
     found = _block_join(corpus, queries, n, "l2", True, block_rows, ranked=True)
     return _finish(_best(found, n, "cell_rank"), "l2")
 

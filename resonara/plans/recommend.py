@@ -15,6 +15,7 @@ from resonara.operators.catalogue import default_columns
 from resonara.operators.fuzzy import SERVICE_THRESHOLD, fuzzy_join, resolve_queries
 from resonara.operators.neighbours import knn_widen
 from resonara.operators.project import result_coordinates
+from resonara.workspace import written
 
 # --- fixed values -----------------------------------------------------------
 DEFAULT_NEIGHBOURS = 5
@@ -68,12 +69,14 @@ def recommend(collection: Collection, requests: DataFrame, n: int = DEFAULT_NEIG
     Requests for the same item share one search.
     """
     items = collection.items
-    resolved = resolve_queries(requests, items.select("item_id", "artist", "song"), threshold=threshold)
+    # what the rows, the coordinates and the errors share is computed once
+    resolved = written(resolve_queries(requests, items.select("item_id", "artist", "song"), threshold=threshold),
+                       "resolved")
     hits = resolved.where("item_id is not null").select("request_id", F.col("item_id").alias("query_id"))
     asked = hits.select(F.col("query_id").alias("item_id")).distinct()
     queries = items.join(asked, "item_id", "left_semi").withColumnRenamed("item_id", "query_id")
     visits = C.cluster_visits(items, queries, collection.centres, n)
-    found = knn_widen(items, queries, visits, n)
+    found = written(knn_widen(items, queries, visits, n), "found")
 
     details = items.select("item_id", "artist", "song", "video_id", "link")
     shown = found.join(details, "item_id")
