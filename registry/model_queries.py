@@ -107,7 +107,7 @@ def perplexity_affinity(spark, sf):
 
 
 def neighbour_map(spark, sf):
-    return build_map(items(spark, sf), perplexity=10.0, rounds=12, exaggerated=6)
+    return build_map(items(spark, sf), perplexity=10.0, rounds=12, exaggerated=4)
 
 
 # --- features ---------------------------------------------------------------

@@ -123,7 +123,7 @@ def stream_ingest(spark, sf):
     path = new_folder(spark, "stream-ingest")
     known = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("user_id"))
     arriving = _event_stream(spark, sf).select("user_id", "ts")
-    _finish(J.ingest(arriving, f"{path}/table", f"{path}/state", key="user_id", ts="ts", known=known))
+    _finish(J.ingest(arriving, f"{path}/table", f"{path}/state", key="user_id", known=known))
     return J.ingested(spark, f"{path}/table", arriving.schema).select("user_id")
 
 

@@ -8,6 +8,7 @@ join over graph edges plus a pass over the points; nothing compares all pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -23,8 +24,8 @@ PERPLEXITY = 30.0
 # ----------------------------------------------------------------------------
 
 GRID = 48  # cells per side: at most GRID * GRID centroids travel to the tasks
-START_SPREAD = 1e-2
-EXAGGERATION = 12.0
+START_SPREAD = 1.0
+EXAGGERATION = 4.0
 
 
 def _match_perplexity(squares: np.ndarray, perplexity: float) -> np.ndarray:
@@ -73,43 +74,81 @@ def _symmetric(affinity: DataFrame) -> DataFrame:
     return there.unionByName(back).groupBy("a", "b").agg((F.sum("p") / (2.0 * n)).alias("p"))
 
 
-def _cells(points: DataFrame) -> tuple[np.ndarray, np.ndarray, float, float, float]:
-    """Grid-cell masses and centres of the points (at most GRID squared rows)."""
-    ends = points.agg(F.min("x"), F.min("y"), F.max("x"), F.max("y")).first()
-    side = max(ends[2] - ends[0], ends[3] - ends[1], 1e-12) / GRID * (1 + 1e-9)
-    cells = points.groupBy(
-        F.floor((F.col("x") - ends[0]) / side).alias("cx"), F.floor((F.col("y") - ends[1]) / side).alias("cy")
-    ).agg(F.count("*").alias("n"), F.avg("x").alias("x"), F.avg("y").alias("y")).toPandas()
-    return cells["n"].to_numpy(dtype=np.float64), cells[["x", "y"]].to_numpy(), side, ends[0], ends[1]
+@dataclass
+class _Box:
+    """Where the grid lies; points outside count to the outermost cells."""
 
+    x: float
+    y: float
+    side: float
 
-def _repulsion(points: DataFrame, grid) -> DataFrame:
-    """Add ``rx, ry``, the unnormalised push on each point, and its share ``z`` of
-    the normaliser.  The own cell counts without the point itself."""
-    mass, centres, side, x0, y0 = grid
+    @classmethod
+    def around(cls, low_x: float, low_y: float, high_x: float, high_y: float) -> _Box:
+        return cls(low_x, low_y, max(high_x - low_x, high_y - low_y, 1e-12) / GRID)
+
+    def cell(self, at: np.ndarray) -> np.ndarray:
+        """Cell number of each point."""
+        steps = np.floor((at - [self.x, self.y]) / self.side).clip(0, GRID - 1).astype(np.int32)
+        return steps[:, 0] * GRID + steps[:, 1]
+
+
+# The round's numbers (box, cells, normaliser) live in the Python functions and
+# not in Spark expressions, so that every round runs the same compiled code.
+
+def _cells(points: DataFrame, box: _Box) -> pd.DataFrame:
+    """Mass, centre and extent of every filled grid cell, at most GRID squared
+    rows; each task sums up its own points first."""
+    sums = dict(mass=("x", "size"), sum_x=("x", "sum"), sum_y=("y", "sum"), low_x=("x", "min"), low_y=("y", "min"),
+                high_x=("x", "max"), high_y=("y", "max"))
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield batch.assign(cell=box.cell(batch.to_numpy())).groupby("cell", as_index=False).agg(**sums)
+
+    parts = points.select("x", "y").mapInPandas(
+        partial, "cell int, mass long, sum_x double, sum_y double, low_x double, low_y double, high_x double, high_y double")
+    cells = parts.groupBy("cell").agg(
+        F.sum("mass").alias("mass"), (F.sum("sum_x") / F.sum("mass")).alias("x"), (F.sum("sum_y") / F.sum("mass")).alias("y"),
+        F.min("low_x").alias("low_x"), F.min("low_y").alias("low_y"), F.max("high_x").alias("high_x"),
+        F.max("high_y").alias("high_y"))
+    return cells.toPandas()
+
+
+def _normaliser(cells: pd.DataFrame) -> float:
+    """The sum of the kernel over all pairs of points, cell by cell."""
+    centres, mass = cells[["x", "y"]].to_numpy(), cells["mass"].to_numpy(dtype=np.float64)
+    total = 0.0
+    for start in range(0, len(centres), 256):
+        gap = centres[start:start + 256, None, :] - centres[None, :, :]
+        total += (mass[start:start + 256, None] * mass[None, :] / (1.0 + (gap ** 2).sum(axis=2))).sum()
+    return total - mass.sum()  # no point pushes itself
+
+
+def _repulsion(points: DataFrame, cells: pd.DataFrame, box: _Box) -> DataFrame:
+    """Add ``rx, ry``, the push of all cells on each point.  The own cell counts
+    without the point itself."""
+    centres, mass = cells[["x", "y"]].to_numpy(), cells["mass"].to_numpy(dtype=np.float64)
+    numbers, normaliser = cells["cell"].to_numpy(), max(_normaliser(cells), 1e-12)
 
     def push(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cell_of = np.floor((centres - [x0, y0]) / side)
         for batch in batches:
             at = batch[["x", "y"]].to_numpy()
-            out = np.zeros((len(at), 3))
+            own, pushed = box.cell(at), np.zeros((len(at), 2))
             for start in range(0, len(at), 1024):
-                part = at[start:start + 1024]
-                gap = part[:, None, :] - centres[None, :, :]
-                kernel = 1.0 / (1.0 + (gap ** 2).sum(axis=2))
-                here = (np.floor((part - [x0, y0]) / side)[:, None, :] == cell_of[None, :, :]).all(axis=2)
-                weight = mass[None, :] - here
-                out[start:start + 1024, 2] = (weight * kernel).sum(axis=1)
-                out[start:start + 1024, :2] = ((weight * kernel ** 2)[:, :, None] * gap).sum(axis=1)
-            yield batch.assign(rx=out[:, 0], ry=out[:, 1], z=out[:, 2])
+                part = slice(start, start + 1024)
+                gap = at[part, None, :] - centres[None, :, :]
+                weight = (mass[None, :] - (own[part, None] == numbers[None, :])) / (1.0 + (gap ** 2).sum(axis=2)) ** 2
+                pushed[part] = (weight[:, :, None] * gap).sum(axis=1) / normaliser
+            yield batch.assign(rx=pushed[:, 0], ry=pushed[:, 1])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema)
-    return points.mapInPandas(push, f"{schema}, rx double, ry double, z double")
+    return points.mapInPandas(push, f"{schema}, rx double, ry double")
 
 
 def neighbour_map(items: DataFrame, *, item_id: str = "item_id", vector: str = "embedding",
-                  perplexity: float = PERPLEXITY, rounds: int = 60, exaggerated: int = 15,
-                  momentum: float = 0.7) -> DataFrame:
+                  perplexity: float = PERPLEXITY, rounds: int = 40, exaggerated: int = 10,
+                  momentum: float = 0.5) -> DataFrame:
     """``item_id, x, y``.  Starts from two principal components; every round is
     written, so a lost executor costs one round at most."""
     items = written(items.select(F.col(item_id).alias("item_id"), F.col(vector).alias("embedding")), "map-items")
@@ -118,32 +157,31 @@ def neighbour_map(items: DataFrame, *, item_id: str = "item_id", vector: str = "
     near = knn(items, items.withColumnRenamed("item_id", "query_id"), k)
     edges = written(_symmetric(perplexity_affinity(near, min(perplexity, max(k / 3.0, 1.0)))), "map-edges")
 
-    model = fit_pca(items, 2)
-    start = to_xy(project(items, model)).select("item_id", "x", "y")
-    spread = start.agg(F.stddev_pop("x")).first()[0] or 1.0
-    scale = START_SPREAD / spread
+    start = to_xy(project(items, fit_pca(items, 2))).select("item_id", "x", "y")
+    spread, *ends = start.agg(F.stddev_pop("x"), F.min("x"), F.min("y"), F.max("x"), F.max("y")).first()
+    scale = START_SPREAD / (spread or 1.0)
+    box = _Box.around(*[end * scale for end in ends])
     points = written(start.select("item_id", *[(F.col(c) * scale).alias(c) for c in ("x", "y")],
                                   F.lit(0.0).alias("vx"), F.lit(0.0).alias("vy")), "map-round")
 
     for turn in range(rounds):
         factor = EXAGGERATION if turn < exaggerated else 1.0
-        step = max(n / EXAGGERATION / 4.0, 50.0)
-        pushed = _repulsion(points, _cells(points))
-        normaliser = pushed.agg(F.sum("z")).first()[0]
+        cells = _cells(points, box)
         a = points.select(F.col("item_id").alias("a"), F.col("x").alias("ax"), F.col("y").alias("ay"))
         b = points.select(F.col("item_id").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by"))
         dx, dy = F.col("ax") - F.col("bx"), F.col("ay") - F.col("by")
         pull = F.col("p") / (1.0 + dx * dx + dy * dy)
         pulled = edges.join(a, "a").join(b, "b").groupBy(F.col("a").alias("item_id")).agg(
             F.sum(pull * dx).alias("px"), F.sum(pull * dy).alias("py"))
-        joined = pushed.join(pulled, "item_id", "left")
+        joined = _repulsion(points, cells, box).join(pulled, "item_id", "left")
 
         def velocity(v: str, attract: str, repel: str):
-            gradient = 4.0 * (factor * F.coalesce(attract, F.lit(0.0)) - F.col(repel) / normaliser)
-            return momentum * F.col(v) - step * gradient
+            gradient = 4.0 * (factor * F.coalesce(attract, F.lit(0.0)) - F.col(repel))
+            return momentum * F.col(v) - n * gradient
 
         moved = joined.select("item_id", "x", "y", velocity("vx", "px", "rx").alias("vx"),
                               velocity("vy", "py", "ry").alias("vy"))
         points = written(moved.select("item_id", (F.col("x") + F.col("vx")).alias("x"),
                                       (F.col("y") + F.col("vy")).alias("y"), "vx", "vy"), "map-round")
+        box = _Box.around(cells["low_x"].min(), cells["low_y"].min(), cells["high_x"].max(), cells["high_y"].max())
     return points.select(F.col("item_id").alias(item_id), "x", "y")

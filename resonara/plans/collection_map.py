@@ -19,7 +19,7 @@ def clean_metadata(df: DataFrame) -> DataFrame:
     """Readable categories from the curated columns that are present."""
     rules = {
         "Instrumentation": ("instruments", instrumentation_bucket),
-        "Genre": ("genre", category_clean),
+        "Genre": ("genre_main", category_clean),
         "Gender Voice": ("voice", voice_class),
         "Acoustic vs Electronic": ("sound", strip),
     }
@@ -38,9 +38,9 @@ def collection_map(items: DataFrame, metadata: DataFrame, *, ks: tuple[int, ...]
     joined = clean_metadata(join_metadata(items, metadata, "item_id"))
     originals = [F.col(f"{c}_original") if f"{c}_original" in joined.columns else None for c in ("artist", "song")]
     joined = joined.withColumn("label", label(F.col("artist"), F.col("song"), *originals))
-    if "genre" in joined.columns:
-        joined = joined.join(palette(joined, "genre").withColumnsRenamed(
-            {"category": "genre", "colour": "genre_colour"}), "genre", "left")
+    if "genre_main" in joined.columns:
+        joined = joined.join(palette(joined, "genre_main").withColumnsRenamed(
+            {"category": "genre_main", "colour": "genre_colour"}), "genre_main", "left")
     if layout == "pca":
         placed = to_xy(project(joined, fit_pca(items, 2)))
     else:
