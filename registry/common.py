@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from resonara.workspace import balanced
+
 FRAMES_PER_ITEM = 5
 
 
@@ -12,6 +14,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    """Long texts for work that is heavy per row."""
+    return balanced(table(spark, folder, name).select(*columns))
+
+
 def items(spark: SparkSession, folder: str) -> DataFrame:
     """``item_id, cluster, embedding``."""
     return table(spark, folder, "embeddings").select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from registry.common import as_queries, frame_items, items, rounded, table
+from registry.common import as_queries, frame_items, items, rounded, table, texts
 from registry.vector_queries import _CENTROIDS, _MEANS, FRAMES_SQL
 from resonara.functions import vectors as V
 from resonara.operators import cluster as C
@@ -145,14 +145,14 @@ def metadata_features(spark, sf):
 # --- language ---------------------------------------------------------------
 
 def lang_prob(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    docs = texts(spark, sf, "documents", "doc_id", "lang", "text")
     profile = written(L.profiles(docs), "profiles")
     return L.lang_prob(docs, profile, "doc_id").withColumn("prob", rounded("prob"))
 
 
 def lang_filter(spark, sf):
     """Conversation turns kept as Spanish by profiles of the documents."""
-    profile = written(L.profiles(table(spark, sf, "documents")), "profiles")
+    profile = written(L.profiles(texts(spark, sf, "documents", "lang", "text")), "profiles")
     turns = table(spark, sf, "conversations").select(F.concat_ws("/", "conv_id", "turn").alias("id"), "text")
     return L.lang_filter(turns, profile, "es", "id").select("id", rounded("prob").alias("prob"), "kept")
 
@@ -160,13 +160,13 @@ def lang_filter(spark, sf):
 # --- text embeddings --------------------------------------------------------
 
 def chunk_windows(spark, sf):
-    chunks = E.chunk_tokens(table(spark, sf, "documents"), "doc_id", E.whitespace_tokens(F.col("text")))
+    chunks = E.chunk_tokens(texts(spark, sf, "documents", "doc_id", "text"), "doc_id", E.whitespace_tokens(F.col("text")))
     return chunks.select("doc_id", "chunk", "start", F.size("tokens").alias("length"),
                          F.md5(F.array_join("tokens", " ")).alias("words"))
 
 
 def hash_embed(spark, sf):
-    found = E.hash_embed(table(spark, sf, "documents"), "doc_id", E.whitespace_tokens(F.col("text")), HASH_DIMS)
+    found = E.hash_embed(texts(spark, sf, "documents", "doc_id", "text"), "doc_id", E.whitespace_tokens(F.col("text")), HASH_DIMS)
     return found.withColumn("value", rounded(F.col("value") + OFF_TIE))
 
 
@@ -186,7 +186,7 @@ def share_encoder():
 
 def embed_text(spark, sf):
     """The pluggable encoder path, with a letter-share encoder."""
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "documents", "doc_id", "text")
     found = E.embed_text(docs, "doc_id", E.whitespace_tokens(F.col("text")), share_encoder)
     return V.explode_dims(found, "embedding", "doc_id").withColumn("value", rounded(F.col("value") + OFF_TIE))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from registry.common import items, rounded, table
+from registry.common import items, rounded, table, texts
 from registry.model_queries import _GRAMS, _PROB, _SCORED
 from registry.text_queries import sql_normal
 from resonara.operators import language as L
@@ -98,7 +98,7 @@ def catalogue_growth(spark, sf):
 
 def language_report(spark, sf):
     """Documents that are not Spanish, by profiles of the labelled texts."""
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "documents", "doc_id", "lang", "text")
     lyrics = docs.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("at"), F.col("text").alias("lyrics"))
     metadata = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("song_title"))
     _, _, report = G.split_by_language(lyrics, written(L.profiles(docs), "profiles"), metadata, "es", order="at")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from registry.common import as_queries, footer_of, items, rounded, table, title_of
+from registry.common import as_queries, footer_of, items, rounded, table, texts, title_of
 from resonara.functions import categories as C
 from resonara.functions import text as X
 from resonara.functions import urls as U
@@ -33,17 +33,17 @@ t as (
 
 def normalize_text(spark, sf):
     key = X.normalize_text(F.col("text"))
-    return table(spark, sf, "documents").select("doc_id", F.md5(key).alias("key"),
+    return texts(spark, sf, "documents", "doc_id", "text").select("doc_id", F.md5(key).alias("key"),
                                                 F.length(key).cast("long").alias("chars"))
 
 
 def normalize_text_early(spark, sf):
     key = X.normalize_text(F.col("text"), hyphen_is_blank=False)
-    return table(spark, sf, "documents").select("doc_id", F.md5(key).alias("key"))
+    return texts(spark, sf, "documents", "doc_id", "text").select("doc_id", F.md5(key).alias("key"))
 
 
 def sanitize_title(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.md5(X.sanitize_title(F.col("text"))).alias("title"))
+    return texts(spark, sf, "documents", "doc_id", "text").select("doc_id", F.md5(X.sanitize_title(F.col("text"))).alias("title"))
 
 
 def clean_title(spark, sf):

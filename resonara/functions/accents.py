@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Iterable
 from functools import lru_cache
 
 _HANGUL = range(0xAC00, 0xD7A4)
@@ -34,3 +35,14 @@ def folding_tables() -> tuple[dict[str, str], dict[str, str]]:
             continue
         (single if len(folded) == 1 else multiple)[char] = folded
     return single, multiple
+
+
+def char_class(chars: Iterable[str]) -> str:
+    """Regular-expression class of the characters, neighbours joined to ranges."""
+    ranges: list[list[int]] = []
+    for code in sorted(map(ord, chars)):
+        if ranges and code == ranges[-1][1] + 1:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    return "[" + "".join(f"\\x{{{low:x}}}-\\x{{{high:x}}}" for low, high in ranges) + "]"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from resonara.functions.accents import folding_tables
+from resonara.functions.accents import char_class, folding_tables
 
 # --- fixed values -----------------------------------------------------------
 FILE_UNSAFE_CHARS = '<>:"/\\|?*'
@@ -23,7 +24,9 @@ CHANNEL_NOISE = (" - topic", " oficial")
 # ----------------------------------------------------------------------------
 
 # Every character str.strip() and str.split() treat as blank.
-BLANK = r"[\s\x1c-\x1f\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+BLANK_CHARS = "".join(chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace())
+BLANK = char_class(BLANK_CHARS)
+LATIN_END = "\u0250"
 
 
 def _lit(text: str) -> Column:
@@ -45,22 +48,29 @@ def squeeze(text: Column, joiner: str = " ") -> Column:
     return F.regexp_replace(strip(text), f"{BLANK}+", joiner)
 
 
-def fold_accents(text: Column) -> Column:
-    """Compatibility-decompose and drop combining marks.
+def _folded(text: Column, blanks: str = "") -> Column:
+    """Compatibility-decompose and drop combining marks; ``blanks`` become spaces.
 
-    One-to-one folds are a single ``translate``.  The rare one-to-many folds
-    (ligatures, fractions) are expanded only in rows that contain one.
+    All one-to-one folds are one ``translate``.  The rare one-to-many folds
+    (ligatures, fractions) are expanded only in rows that contain one, which two
+    cheap patterns find out.
     """
     single, multiple = folding_tables()
-    chars = list(single)
-    folded = F.translate(text, "".join(chars), "".join(single[c] for c in chars))
+    table = dict(single)
+    table.update(dict.fromkeys(blanks, " "))
+    folded = F.translate(text, "".join(table), "".join(table.values()))
     pairs = "\x01".join(f"{char}\x02{parts}" for char, parts in multiple.items())
     expansion = F.str_to_map(_lit(pairs), _lit("\x01"), _lit("\x02"))
     expanded = F.array_join(
         F.transform(F.split(folded, ""), lambda c: F.coalesce(F.try_element_at(expansion, c), c)), ""
     )
-    plain = F.length(F.translate(folded, "".join(multiple), "")) == F.length(folded)
-    return F.when(plain, folded).otherwise(expanded)
+    latin, other = char_class(c for c in multiple if c < LATIN_END), char_class(c for c in multiple if c >= LATIN_END)
+    rare = text.rlike(latin) | (text.rlike(f"[^\\x00-\\x{{{ord(LATIN_END) - 1:x}}}]") & text.rlike(other))
+    return F.when(rare, expanded).otherwise(folded)
+
+
+def fold_accents(text: Column) -> Column:
+    return _folded(text)
 
 
 def normalize_text(text: Column, hyphen_is_blank: bool = True) -> Column:
@@ -70,11 +80,12 @@ def normalize_text(text: Column, hyphen_is_blank: bool = True) -> Column:
     blanks are left alone.
     """
     text = F.coalesce(text, _lit(""))
-    text = F.replace(text, _lit("_"), _lit(" "))
-    if hyphen_is_blank:
-        text = F.replace(text, _lit("-"), _lit(" "))
-    kept = F.regexp_replace(fold_accents(text), r"[^\p{L}\p{N}_" + BLANK[1:], "")
-    return F.lower(squeeze(kept) if hyphen_is_blank else strip(kept))
+    if not hyphen_is_blank:
+        kept = F.regexp_replace(_folded(text, "_"), r"[^\p{L}\p{N}_" + BLANK[1:], "")
+        return F.lower(strip(kept))
+    # every blank is a space after the fold, so the cheap space rules are enough
+    kept = F.regexp_replace(_folded(text, "_-" + BLANK_CHARS), r"[^\p{L}\p{N}_ ]+", "")
+    return F.lower(F.trim(F.regexp_replace(kept, " {2,}", " ")))
 
 
 def sanitize_title(title: Column) -> Column:

@@ -194,7 +194,7 @@ def cluster_profile(df: DataFrame, *, item_id: str = "item_id", cluster: str = "
 def contingency(df: DataFrame, cluster: str = "cluster", label: str = "label") -> DataFrame:
     """``cluster, label, n`` with the cluster's size and the label's share."""
     cells = df.groupBy(cluster, label).agg(F.count("*").alias("n"))
-    totals = df.groupBy(cluster).agg(F.count("*").alias("size"))
+    totals = cells.groupBy(cluster).agg(F.sum("n").alias("size"))
     return cells.join(totals, cluster).withColumn("share", F.col("n") / F.col("size"))
 
 

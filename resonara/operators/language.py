@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from resonara.workspace import written
+
 # --- fixed values -----------------------------------------------------------
 KEEP_ABOVE = 0.5
 # ----------------------------------------------------------------------------
@@ -58,7 +60,8 @@ def _word_scores(vocabulary: DataFrame, profile: DataFrame) -> tuple[DataFrame,
 
 def lang_prob(df: DataFrame, profile: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``key, lang, prob`` for every language; texts without letters have none."""
-    counted = words(df, [key], text).groupBy(key, "word").agg(F.count("*").alias("_n"))
+    # read for the vocabulary and for the sums: stored, so the texts are split once
+    counted = written(words(df, [key], text).groupBy(key, "word").agg(F.count("*").alias("_n")), "text-words")
     scores, langs = _word_scores(counted.select("word").distinct(), profile)
     slots = [f"s{i}" for i in range(len(langs))]
     per_text = counted.join(scores, "word").groupBy(key).agg(

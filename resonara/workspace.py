@@ -53,6 +53,20 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+FEW_FILES = 32
+
+
+def balanced(df: DataFrame) -> DataFrame:
+    """Spread the rows of a table that lies in fewer files than there are cores.
+
+    A few files may hold a single row group each, and then one task would do all
+    of the per-row work.  Tables of many files are left as they are: their scan
+    is parallel already and the rows need not move.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < min(cores, FEW_FILES) else df
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

@@ -38,6 +38,14 @@ def test_rows_only(spark, name):
     assert entry.queries()[name](spark, FOLDER).count() > 0
 
 
+@pytest.mark.parametrize("name", ["fuzzy_join", "knn_l2_blocks", "knn_widen", "recommend_items", "contains_join", "lang_prob",
+                                  "canvas_scale", "removed_report", "rename_plan", "cluster_vs_label"])
+def test_no_nested_loops(spark, name):
+    """No plan compares every row of one side with every row of the other."""
+    plan = entry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
 def test_names():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert len(entry.queries()) == sum(len(m.QUERIES) for m in entry.MODULES)
