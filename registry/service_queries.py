@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from registry.common import items, rounded, table, texts
+from registry.common import items, rounded, table, texts, title_of
 from registry.model_queries import _GRAMS, _PROB, _SCORED
 from registry.text_queries import sql_normal
 from resonara.operators import language as L
@@ -90,9 +90,9 @@ def collection_map(spark, sf):
 
 def catalogue_growth(spark, sf):
     seen = table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("video_id"))
-    listed = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"),
-                                                  F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
-                                                  F.col("source").alias("uploader"))
+    listed = table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("id"),
+                                              title_of(F.col("html")).alias("title"),
+                                              F.split_part(title_of(F.col("html")), F.lit(" "), F.lit(1)).alias("uploader"))
     return G.new_entries(seen, listed).select("video_id", "song_title", "channel_name", "audio_file", "youtube_link")
 
 
@@ -224,8 +224,10 @@ where user_id not in (select vec_id from embeddings join part on p_partkey = vec
 with {_COLLECTION}
 select item_id, video_id, 'https://www.youtube.com/watch?v=' || video_id as link from coll""",
     "catalogue_growth": """
-with t as (select doc_id, source, case when split_part(text, chr(10), 1) = '' then 'unknown_title'
-    else split_part(text, chr(10), 1) end as title from documents where doc_id not in (select doc_id from labels)),
+with h as (select page_id as doc_id, regexp_extract(html, '<title>([^<]*)</title>', 1) as title from pages
+           where page_id not in (select doc_id from labels)),
+t as (select doc_id, split_part(title, ' ', 1) as source, case when title = '' then 'unknown_title' else title end as title
+      from h),
 c as (select doc_id, source, regexp_replace(regexp_replace(trim(replace(title, source, '')), '[<>:"/\\\\|?*]', '', 'g'),
       '[’"“”‘]', '', 'g') as s from t)
 select doc_id::varchar as video_id, substr(regexp_replace(trim(replace(replace(s, ' - ', ' '), '—', ' ')), '\\s+', '_', 'g'), 1, 100)

@@ -16,6 +16,7 @@ and emits at most k rows per query.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,12 +27,13 @@ from pyspark.sql import types as T
 
 from resonara.workspace import written
 
-BLOCK_ROWS = 8192
+BLOCK_BYTES = 32 << 20  # one side of a block pair; every row is copied once per block of the other side
+MIN_BLOCK_ROWS, MAX_BLOCK_ROWS = 1024, 1 << 17
 MAX_SCAN_QUERIES = 2048
 MAX_SCAN_BYTES = 64 << 20
 MAX_PIVOTS = 512
 ROWS_PER_PIVOT = 4096
-_STRIPE = 512  # queries handled at once inside a task
+_STRIPE_CELLS = 4 << 20  # distances held at once inside a task
 METRICS = ("l2", "cosine")
 
 
@@ -51,13 +53,14 @@ def _top_k(queries: np.ndarray, query_ids: np.ndarray, corpus: np.ndarray, corpu
     measured exactly.  Rows of zero-length cosine vectors are NaN and never match.
     """
     corpus_sq = np.einsum("ij,ij->i", corpus, corpus)
-    for start in range(0, len(queries), _STRIPE):
-        block = queries[start:start + _STRIPE]
+    stripe = max(1, _STRIPE_CELLS // max(len(corpus), 1))
+    for start in range(0, len(queries), stripe):
+        block = queries[start:start + stripe]
         block_sq = np.einsum("ij,ij->i", block, block)
         rough = block_sq[:, None] + corpus_sq[None, :] - 2.0 * (block @ corpus.T)
         rough[np.isnan(rough)] = np.inf
         if skip_self:
-            rough[query_ids[start:start + _STRIPE][:, None] == corpus_ids[None, :]] = np.inf
+            rough[query_ids[start:start + stripe][:, None] == corpus_ids[None, :]] = np.inf
         kth = min(k, corpus.shape[0]) - 1
         bound = np.partition(rough, kth, axis=1)[:, kth]
         margin = 1e-9 * (1.0 + block_sq + corpus_sq.max(initial=0.0, where=~np.isnan(corpus_sq)))
@@ -104,8 +107,12 @@ def _finish(found: DataFrame, metric: str) -> DataFrame:
 
 
 def _columns(df: DataFrame, id_col: str, vector: str, name: str, *extra: str) -> DataFrame:
-    return df.where(F.col(vector).isNotNull()).select(
-        F.col(id_col).alias(name), F.col(vector).alias("vector"), *extra)
+    return df.select(F.col(id_col).alias(name), F.col(vector).alias("vector"), *extra)
+
+
+def _present(df: DataFrame) -> DataFrame:
+    """Rows with a vector.  Applied late, so that counting rows reads no vectors."""
+    return df.where(F.col("vector").isNotNull())
 
 
 # --- queries travel to the corpus -------------------------------------------
@@ -130,26 +137,43 @@ def _scan(corpus: DataFrame, queries: pd.DataFrame, query_schema: DataFrame, k:
         if kept is not None:
             yield kept
 
-    return corpus.mapInPandas(scan, _result_schema(query_schema, corpus))
+    return _present(corpus).mapInPandas(scan, _result_schema(query_schema, corpus))
+
+
+def _width(df: DataFrame) -> int:
+    """Dimensions of a table whose vectors all have the same."""
+    one = _present(df).select(F.size("vector").alias("d")).first()
+    return max(one["d"], 1) if one else 1
 
 
 def _few(queries: DataFrame, max_rows: int, max_bytes: int) -> pd.DataFrame | None:
     """The queries as one pandas frame if they fit the bounds, else None."""
-    size = queries.select(F.count("*").alias("n"), F.max(F.size("vector")).alias("d")).first()
-    if size["n"] > max_rows or size["n"] * (size["d"] or 0) * 8 > max_bytes:
+    rows = queries.limit(max_rows + 1).count()
+    if rows > max_rows or rows * _width(queries) * 8 > max_bytes:
         return None
-    return queries.toPandas()
+    return _present(queries).toPandas()
 
 
 # --- queries and corpus meet in blocks --------------------------------------
 
+def _rows_per_block(corpus: DataFrame, queries: DataFrame) -> int:
+    """As many rows as fill a block, unless that leaves cores idle."""
+    cores = corpus.sparkSession.sparkContext.defaultParallelism
+    busy = math.isqrt(corpus.count() * queries.count() // (2 * cores))
+    full = min(MAX_BLOCK_ROWS, BLOCK_BYTES // (4 * _width(corpus)))
+    return int(max(MIN_BLOCK_ROWS, min(full, busy)))
+
+
 def _block_join(corpus: DataFrame, queries: DataFrame, k: int, metric: str, skip_self: bool,
-                block_rows: int, ranked: bool = False) -> DataFrame:
+                block_rows: int | None) -> DataFrame:
     """Top-k of every query within its cell, from blocks of bounded size.
 
-    ``corpus``: item_id, vector, cell.  ``queries``: query_id, vector, cell and,
-    when ``ranked``, the visiting order of the cell.
+    ``corpus``: item_id, vector, cell.  ``queries``: query_id, vector, cell and
+    optionally ``cell_rank``, the visiting order of the cell, and ``within``, a
+    squared distance beyond which nothing is wanted.
     """
+    block_rows = block_rows or _rows_per_block(corpus, queries)
+    ranked, limited = "cell_rank" in queries.columns, "within" in queries.columns
     corpus_blocks = corpus.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).alias("corpus_blocks"))
     query_blocks = queries.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).alias("query_blocks"))
     sizes = corpus_blocks.join(query_blocks, "cell")
@@ -157,7 +181,7 @@ def _block_join(corpus: DataFrame, queries: DataFrame, k: int, metric: str, skip
     def spread(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
         own_block = F.pmod(F.xxhash64(key), F.col(f"{own}_blocks")).alias(f"{own}_block")
         copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{other}_blocks") - 1))
-        return df.join(sizes, "cell").select(*df.columns, own_block, copies.alias(f"{other}_block"))
+        return _present(df).join(sizes, "cell").select(*df.columns, own_block, copies.alias(f"{other}_block"))
 
     keys = ["cell", "query_block", "corpus_block"]
     left = spread(queries, "query_id", "query", "corpus").groupBy(*keys)
@@ -175,8 +199,11 @@ def _block_join(corpus: DataFrame, queries: DataFrame, k: int, metric: str, skip
             _top_k(_matrix(query_rows["vector"], metric), query_ids,
                    _matrix(corpus_rows["vector"], metric), ids, k, skip_self),
             query_ids, ids)
-        if ranked:
-            found = found.merge(query_rows[["query_id", "cell_rank"]], on="query_id")
+        extras = [c for c, used in (("cell_rank", ranked), ("within", limited)) if used]
+        if extras:
+            found = found.merge(query_rows[["query_id", *extras]], on="query_id")
+        if limited:
+            found = found[found["distance_sq"] <= found["within"].fillna(np.inf)]
         return found[columns]
 
     return left.cogroup(right).applyInPandas(meet, _result_schema(queries, corpus, *extra))
@@ -186,7 +213,7 @@ def _pick_pivots(corpus: DataFrame, rows: int, metric: str) -> np.ndarray:
     """A bounded number of rows spread over the corpus.  They steer the work
     only; any choice gives the same neighbours."""
     wanted = int(min(MAX_PIVOTS, max(1, rows // ROWS_PER_PIVOT)))
-    picked = corpus.orderBy(F.xxhash64("item_id"), "item_id").limit(wanted).toPandas()
+    picked = _present(corpus).orderBy(F.xxhash64("item_id"), "item_id").limit(wanted).toPandas()
     pivots = _matrix(picked["vector"], metric) if len(picked) else np.zeros((0, 0))
     return np.unique(pivots[~np.isnan(pivots).any(axis=1)], axis=0) if pivots.size else pivots
 
@@ -203,7 +230,7 @@ def _assign_cell(df: DataFrame, pivots: np.ndarray, metric: str) -> DataFrame:
         away = _to_pivots(_matrix(vectors, metric), pivots)
         return pd.DataFrame({"cell": away.argmin(axis=1).astype("int32"), "radius": away.min(axis=1)})
 
-    return df.withColumn("_at", nearest_pivot("vector")).select(*df.columns, "_at.cell", "_at.radius")
+    return _present(df).withColumn("_at", nearest_pivot("vector")).select(*df.columns, "_at.cell", "_at.radius")
 
 
 def _other_cells(pivots: np.ndarray, outer: np.ndarray, inner: np.ndarray, metric: str) -> Callable:
@@ -230,7 +257,7 @@ def _other_cells(pivots: np.ndarray, outer: np.ndarray, inner: np.ndarray, metri
 
 
 def _by_pivots(corpus: DataFrame, queries: DataFrame, k: int, metric: str, skip_self: bool,
-               block_rows: int) -> DataFrame:
+               block_rows: int | None) -> DataFrame:
     rows = corpus.count()
     pivots = _pick_pivots(corpus, rows, metric)
     if len(pivots) < 2:
@@ -252,8 +279,9 @@ def _by_pivots(corpus: DataFrame, queries: DataFrame, k: int, metric: str, skip_
     reach = own.groupBy("query_id").agg(F.count("*").alias("n"), F.sqrt(F.max("distance_sq")).alias("far"))
     bounded = queries.join(reach.where(F.col("n") >= k).select("query_id", "far"), "query_id", "left")
     cells = _other_cells(pivots, outer, inner, metric)
-    further = bounded.select(
-        "query_id", "vector", F.explode(cells("vector", "cell", "far")).alias("cell"))
+    # rounding may lift the bound's own distance a little
+    within = (F.col("far") * F.col("far") * (1 + 1e-9) + 1e-12).alias("within")
+    further = bounded.select("query_id", "vector", within, F.explode(cells("vector", "cell", "far")).alias("cell"))
     elsewhere = _block_join(placed, further, k, metric, skip_self, block_rows)
     return _best(own.unionByName(elsewhere), k)
 
@@ -262,7 +290,7 @@ def _by_pivots(corpus: DataFrame, queries: DataFrame, k: int, metric: str, skip_
 
 def knn(corpus: DataFrame, queries: DataFrame, k: int, *, metric: str = "l2", corpus_id: str = "item_id",
         query_id: str = "query_id", vector: str = "embedding", skip_self: bool = True, plan: str = "auto",
-        block_rows: int = BLOCK_ROWS) -> DataFrame:
+        block_rows: int | None = None) -> DataFrame:
     """The k corpus items nearest to every query, exact.
 
     Columns ``query_id, item_id, rank, distance_sq`` with ``distance`` (l2) or
@@ -290,7 +318,7 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int, *, metric: str = "l2", co
 def knn_in_cluster(corpus: DataFrame, queries: DataFrame, k: int, *, cluster: str = "cluster",
                    metric: str = "l2", corpus_id: str = "item_id", query_id: str = "query_id",
                    vector: str = "embedding", skip_self: bool = True,
-                   block_rows: int = BLOCK_ROWS) -> DataFrame:
+                   block_rows: int | None = None) -> DataFrame:
     """``knn`` restricted to items of the query's cluster."""
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
@@ -303,7 +331,7 @@ def knn_in_cluster(corpus: DataFrame, queries: DataFrame, k: int, *, cluster: st
 
 def knn_widen(corpus: DataFrame, queries: DataFrame, visits: DataFrame, n: int, *,
               cluster: str = "cluster", corpus_id: str = "item_id", query_id: str = "query_id",
-              vector: str = "embedding", block_rows: int = BLOCK_ROWS) -> DataFrame:
+              vector: str = "embedding", block_rows: int | None = None) -> DataFrame:
     """n neighbours per query: own cluster first, then the next clusters.
 
     ``visits`` holds ``query_id, cluster, cell_rank``: the clusters each query
@@ -313,7 +341,7 @@ def knn_widen(corpus: DataFrame, queries: DataFrame, visits: DataFrame, n: int,
     queries = _columns(queries, query_id, vector, "query_id").join(
         visits.select("query_id", F.col(cluster).alias("cell"), F.col("cell_rank").cast("int")), "query_id")
     queries = written(queries, "visits")  # read for the block sizes and for the blocks
-    found = _block_join(corpus, queries, n, "l2", True, block_rows, ranked=True)
+    found = _block_join(corpus, queries, n, "l2", True, block_rows)
     return _finish(_best(found, n, "cell_rank"), "l2")
 
 
