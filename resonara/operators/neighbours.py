@@ -261,8 +261,10 @@ def _by_pivots(corpus: DataFrame, queries: DataFrame, k: int, metric: str, skip_
     rows = corpus.count()
     pivots = _pick_pivots(corpus, rows, metric)
     if len(pivots) < 2:
-        one = F.lit(0).alias("cell")
-        found = _block_join(corpus.select("*", one), queries.select("*", one), k, metric, skip_self, block_rows)
+        # one cell; a plain constant would turn the joins on it into nested loops
+        whole = [df.withColumn("cell", F.pmod(F.xxhash64(key), F.lit(1)))
+                 for df, key in ((corpus, "item_id"), (queries, "query_id"))]
+        found = _block_join(*whole, k, metric, skip_self, block_rows)
         return _best(found, k)
 
     corpus = written(_assign_cell(corpus, pivots, metric), "corpus-cells")
