@@ -102,7 +102,9 @@ def rename_plan(files: DataFrame, name: str, file_id: str, channel: str, title:
 def removed_report(removed: DataFrame, metadata: DataFrame, lyrics: DataFrame, key: str,
                    order: str, text: str = "lyrics") -> DataFrame:
     """Removed ids with known metadata and their first lyrics."""
-    first = keep_one(lyrics.select(key, order, text), key, order, last=False).select(key, text)
+    # only the removed texts are moved
+    theirs = lyrics.select(key, order, text).join(removed.select(key), key, "left_semi")
+    first = keep_one(theirs, key, order, last=False).select(key, text)
     report = removed.select(key).join(metadata, key).join(first, key, "left")
     return report.withColumn(text, F.coalesce(text, F.lit("")))
 
