@@ -20,7 +20,6 @@ from resonara.workspace import written
 # --- fixed values -----------------------------------------------------------
 DEFAULT_NEIGHBOURS = 5
 DEFAULT_CLUSTERS = 1
-UNKNOWN_SONG = "Títol desconegut"
 # ----------------------------------------------------------------------------
 
 
@@ -84,7 +83,7 @@ def recommend(collection: Collection, requests: DataFrame, n: int = DEFAULT_NEIG
     ranked = hits.join(shown, "query_id").select(
         "request_id", "query_id", "rank", "item_id", "artist", "song", "distance_sq", "distance",
         percent.alias("percent"), percent_label(percent).alias("similarity"), "link", "video_id")
-    ranked = default_columns(ranked, {"artist": "N/A", "song": UNKNOWN_SONG, "link": "N/A"})
+    ranked = default_columns(ranked, ["artist", "song", "link"])
 
     members = found.select("query_id", "item_id").unionByName(
         asked.select(F.col("item_id").alias("query_id"), "item_id"))
