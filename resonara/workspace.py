@@ -3,11 +3,30 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, once per application.
+
+    They import it from the session's Python files, so a job runs on machines that
+    have no copy of it and from any working folder.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="resonara-")
+    archive = shutil.make_archive(os.path.join(folder, "resonara"), "zip", os.path.dirname(package), os.path.basename(package))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
 
 def local_session(cores: int = 8, app_name: str = "resonara", memory: str = "12g") -> SparkSession:
     """A local session for tests and benchmarks.  Cluster jobs bring their own."""
