@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 HOT_SHARE = 2000
 
 
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/documents.parquet")
+    return table(spark, folder, "documents")
 
 
 def keyed_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str], rows: str) -> DataFrame:

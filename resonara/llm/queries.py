@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resonara.llm import byte_bpe
-from resonara.llm.common import documents
+from resonara.llm import byte_bpe, fingerprints, near_copies, token_counts, toxicity
+from resonara.llm.common import documents, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+TOKEN_LIMIT = 4096
 
 
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,8 +26,41 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    count = token_counts.counter(spark, PIECES)
+    return documents(spark, folder).select(
+        "doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), count("text").alias("n_tokens")
+    ).withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    prints = fingerprints.edited_fingerprints(documents(spark, folder))
+    return prints.select(
+        F.col("id").alias("doc_id"),
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        F.lower(F.hex("fingerprint")).alias("fingerprint"),
+        F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        fingerprints.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+    )
+
+
+def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_copies.near_copies(documents(spark, folder))
+    return found.select(F.col("id").alias("doc_id"), near_copies.hex_text(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, folder), table(spark, folder, "labels")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op4_token_counts": op4_token_counts,
+    "op5_fingerprints": op5_fingerprints,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
+    "op7_toxicity": op7_toxicity,
 }
 
 SQL: dict[str, str] = {}
