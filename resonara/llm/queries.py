@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resonara.llm import byte_bpe, fingerprints, near_copies, token_counts, toxicity
+from resonara.llm import byte_bpe, fingerprints, html_text, near_copies, token_counts, toxicity
 from resonara.llm.common import documents, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -55,12 +55,18 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, folder), table(spark, folder, "labels")).withColumnRenamed("id", "doc_id")
 
 
+def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", html_text.extract("html").alias("text"))
+    return pages.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op4_token_counts": op4_token_counts,
     "op5_fingerprints": op5_fingerprints,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_toxicity": op7_toxicity,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 SQL: dict[str, str] = {}

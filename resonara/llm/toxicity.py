@@ -20,7 +20,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, StringType
 
 from resonara.workspace import written
 
@@ -48,32 +48,39 @@ SECOND_PERSON = """
 #: Symbols that stand for letters.
 LOOKALIKES = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "|": "i"})
 
-FEATURES = ("insults", "insult_share", "insult_kinds", "disguised", "disguised_share", "near_you", "you_share",
-            "capitals", "shouted", "punctuation", "exclamations", "symbols", "digits", "repeated_letters",
-            "repeated_words", "words", "word_length", "insult_gap")
+FEATURES = ("insults", "insult_share", "insult_kinds", "disguised", "near_you", "you_share",
+            "capitals", "shouted", "punctuation", "exclamations", "symbols", "digits", "stretched",
+            "repeated_words", "words", "word_length", "doubtful")
 NEAR = 5
+MARKS = ".,;:?!'\"()[]{}<>%&$*#~^=+-_/|"
 
 _insults, _you = frozenset(INSULTS), frozenset(SECOND_PERSON)
 _word = re.compile(r"[^\W\d_]+")
-_masked = re.compile(r"[^\W\d_]*[0-9@$!|*#][\w@$!|*#]*[^\W_]")
-_spaced = re.compile(r"(?<![^\W_])(?:[^\W\d_][ .*_-]){3,}[^\W\d_](?![^\W_])")
+_spaced = re.compile(r"(?<![^\W_])(?:[^\W\d_] ){3,}[^\W\d_](?![^\W_])")
 _long_run = re.compile(r"([^\W\d_])\1{2,}")
-_stars = re.compile("|".join(f"(?P<w{n}>{word[0]}[*#]{{{len(word) - 2}}}{word[-1]})" for n, word in enumerate(INSULTS) if len(word) > 3))
+#: Insults by first letter, last letter and length, for those whose middle is starred out.
+_starred = frozenset((word[0], word[-1], len(word)) for word in INSULTS if len(word) > 3)
 
 
-def _disguised(text: str) -> int:
-    """Insults written with look-alike symbols, stars, gaps or stretched letters."""
+def _disguised(text: str, tokens: list[str], stretched: bool, insults: frozenset[str]) -> int:
+    """Kinds of insults written with look-alike symbols, stars, gaps or stretched letters."""
     found = 0
-    for match in _masked.finditer(text):
-        piece = match.group().strip("!|*#")
-        if not piece.isalpha():
-            found += piece.translate(LOOKALIKES) in _insults or _stars.fullmatch(piece) is not None
-    for match in _spaced.finditer(text):
-        found += re.sub(r"[ .*_-]", "", match.group()) in _insults
-    if _long_run.search(text):
-        for word in _word.findall(text):
-            if word not in _insults and _long_run.search(word):
-                found += _long_run.sub(r"\1", word) in _insults or _long_run.sub(r"\1\1", word) in _insults
+    for token in set(tokens):
+        piece = token.strip(MARKS)
+        if piece.isalpha() and not stretched:
+            continue
+        letters = re.sub(r"[^\w]|[\d_]", "", piece)
+        spelt = token.strip(".,;:?\"()").translate(LOOKALIKES)
+        if letters not in insults and spelt in insults:
+            found += 1
+        elif not piece.isalpha() and letters in insults and len(letters) > 3 and re.fullmatch(r"\w([.*_-]+\w)+", piece):
+            found += 1
+        elif "*" in piece and re.fullmatch(r"\w[*#]+\w", piece):
+            found += (piece[0], piece[-1], len(piece)) in _starred
+        elif stretched and letters not in insults and _long_run.search(letters):
+            found += _long_run.sub(r"\1", letters) in insults or _long_run.sub(r"\1\1", letters) in insults
+    if sum(len(token) == 1 for token in tokens) > 3:
+        found += sum(match.group().replace(" ", "") in insults for match in _spaced.finditer(text))
     return found
 
 
@@ -90,35 +97,50 @@ def _kinds() -> np.ndarray:
 KINDS = _kinds()
 
 
-def features(text: str) -> list[float]:
-    """The values of ``FEATURES`` for one whole text; all 0 for an empty one."""
-    codes = np.minimum(np.frombuffer(text.encode("utf-32-le"), np.uint32), 0x3000)
-    kinds = np.bincount(KINDS[codes], minlength=7)
+def features(text: str, insults: frozenset[str] = _insults) -> list[float]:
+    """The values of ``FEATURES`` for one whole text; all 0 for an empty one.
+
+    Words of the lexicon outside ``insults`` count as doubtful.
+    """
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    kinds_at = KINDS[np.minimum(codes, 0x3000)]
+    kinds = np.bincount(kinds_at, minlength=7)
+    runs = (codes[2:] == codes[1:-1]) & (codes[1:-1] == codes[:-2]) & (kinds_at[2:] < 3)
+    stretched = int(runs.sum())
     lower = text.lower()
-    words = _word.findall(lower)
-    count, chars = max(len(words), 1), max(len(text), 1)
-    hits = [n for n, word in enumerate(words) if word in _insults]
-    yous = np.array([n for n, word in enumerate(words) if word in _you])
-    near, gap = 0, float(count)
-    if len(hits) and len(yous):
-        at = np.searchsorted(yous, hits)
-        gaps = np.minimum(np.abs(yous[np.minimum(at, len(yous) - 1)] - hits), np.abs(yous[np.maximum(at - 1, 0)] - hits))
-        near, gap = int((gaps <= NEAR).sum()), float(gaps.min())
-    disguised = _disguised(lower)
-    letters = max(int(kinds[1] + kinds[2]), 1)
-    shouted = sum(map(str.isupper, re.findall(r"\w{3,}", text))) if kinds[2] > 0.1 * letters else 0
+    words, tokens = _word.findall(lower), lower.split()
+    kinds_of_word = set(words)
+    count, chars, letters = max(len(words), 1), max(len(text), 1), max(int(kinds[1] + kinds[2]), 1)
+    hits = [] if kinds_of_word.isdisjoint(insults) else [n for n, word in enumerate(words) if word in insults]
+    doubtful = 0 if kinds_of_word.isdisjoint(_insults - insults) else sum(word in _insults and word not in insults for word in words)
+    yous = sum(map(_you.__contains__, words))
+    near = 0
+    if hits and yous:
+        near = sum(not _you.isdisjoint(words[max(n - NEAR, 0):n + NEAR + 1]) for n in hits)
+    shouted = sum(len(token) > 2 and token.isupper() for token in text.split()) if kinds[2] > 0.1 * letters else 0
     return [
         float(len(hits)), 1000 * len(hits) / count, float(len({words[n] for n in hits})),
-        float(disguised), 1000 * disguised / count, float(near), len(yous) / count,
+        float(_disguised(lower, tokens, stretched > 0, insults)), float(near), yous / count,
         kinds[2] / letters, shouted / count, kinds[5] / chars, lower.count("!") / chars, kinds[6] / chars, kinds[3] / chars,
-        len(_long_run.findall(lower)) / count, 1 - len(set(words)) / count, float(np.log1p(len(words))), letters / count, gap,
+        stretched / chars, 1 - len(kinds_of_word) / count, float(np.log1p(len(words))), letters / count, float(doubtful),
     ]
 
 
-@F.arrow_udf(ArrayType(DoubleType()))
-def feature_array(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def feature_array(insults: frozenset[str] = _insults):
+    """Function from a text column to ``features``."""
+    @F.arrow_udf(ArrayType(DoubleType()))
+    def values(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([features(value.as_py() or "", insults) for value in batch], pa.list_(pa.float64()))
+
+    return values
+
+
+@F.arrow_udf(ArrayType(StringType()))
+def lexicon_words(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The kinds of lexicon words that a text holds."""
     for batch in batches:
-        yield pa.array([features(value.as_py() or "") for value in batch], pa.list_(pa.float64()))
+        yield pa.array([sorted(_insults.intersection(_word.findall((value.as_py() or "").lower()))) for value in batch], pa.list_(pa.string()))
 
 
 def fold(key: Column) -> Column:
@@ -133,14 +155,16 @@ class ToxicityModel:
     trees: GBTClassificationModel | None
     calibration: IsotonicRegressionModel | None
     base: float
+    insults: frozenset[str] = _insults
 
     def score(self, rows: DataFrame) -> DataFrame:
-        """Add ``score``, a probability, to rows with a column ``features``."""
+        """Replace the column ``text`` by ``score``, a probability."""
+        rows = rows.withColumn("features", feature_array(self.insults)("text")).drop("text")
         if self.trees is None:
-            return rows.withColumn("score", F.lit(self.base))
+            return rows.withColumn("score", F.lit(self.base)).drop("features")
         raw = self.trees.transform(rows.withColumn("input", array_to_vector("features")))
         margin = raw.withColumn("margin", vector_to_array("rawPrediction")[1])
-        kept = [*rows.columns, "margin", "score"]
+        kept = [*[name for name in rows.columns if name != "features"], "margin", "score"]
         found = self.calibration.setFeaturesCol("margin").setPredictionCol("score").transform(margin)
         # the margin, squeezed, orders rows that share a calibrated step
         tie = (F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("margin"))) - 0.5) * 1e-6
@@ -157,7 +181,12 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, trees: int = 20, de
     total = known.count()
     share = min(1.0, sample_rows / max(total, 1))
     drawn = known.where(F.pmod(F.xxhash64(F.lit(SEED), "key"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
-    rows = written(drawn.select("key", "label", feature_array(F.coalesce("text", F.lit(""))).alias("features"))
+    drawn = written(drawn, "drawn")
+    # words of the lexicon that mostly stand in clean texts of this corpus are ordinary words of it
+    usual = (drawn.select("label", F.explode(lexicon_words("text")).alias("word")).groupBy("word")
+             .agg(F.avg("label").alias("share"), F.sum(1 - F.col("label")).alias("clean")).where("clean >= 2 and share < 0.5").collect())
+    insults = _insults - {row["word"] for row in usual}
+    rows = written(drawn.select("key", "label", feature_array(insults)("text").alias("features"))
                    .withColumn("part", F.pmod(F.xxhash64(F.lit(SEED + 1), "key"), F.lit(CALIBRATION_SHARE))), "features")
     rows = rows.withColumn("input", array_to_vector("features")).coalesce(8)
     classes = {(row["part"] == 0, row["label"]): row["n"] for row in
@@ -165,13 +194,13 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, trees: int = 20, de
     positive = sum(n for (_, label), n in classes.items() if label > 0.5)
     base = positive / max(sum(classes.values()), 1)
     if len(classes) < 4:
-        return ToxicityModel(None, None, base)
+        return ToxicityModel(None, None, base, insults)
     learner = GBTClassifier(featuresCol="input", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.2,
                             minInstancesPerNode=5, subsamplingRate=1.0, seed=SEED, cacheNodeIds=False)
     model = learner.fit(rows.where("part != 0"))
     margins = model.transform(rows.where("part = 0")).select("label", vector_to_array("rawPrediction")[1].alias("margin"))
     calibration = IsotonicRegression(featuresCol="margin", labelCol="label", predictionCol="score").fit(margins)
-    return ToxicityModel(model, calibration, base)
+    return ToxicityModel(model, calibration, base, insults)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
@@ -185,6 +214,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where(fold(F.col("id")) != HELD_OUT)
     model = fit(rows.join(marks, "id").withColumnRenamed("id", "key"), sample_rows)
-    scored = model.score(rows.select("id", feature_array("text").alias("features")))
+    scored = model.score(rows)
     return scored.select("id", (fold(F.col("id")) == HELD_OUT).alias("held_out"), "score",
                          (F.col("score") >= threshold).cast("int").alias("predicted"))
