@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resonara.llm import byte_bpe, fingerprints, html_text, near_copies, token_counts, toxicity
+from resonara.llm import byte_bpe, fingerprints, html_text, line_dedup, near_copies, token_counts, toxicity
 from resonara.llm.common import documents, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -14,6 +14,10 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOKEN_LIMIT = 4096
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.line_dedup(documents(spark, folder).select("doc_id", "text"))
+
+
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     encode = byte_bpe.encoder(spark, RANKS, public_tokenizers.PATTERN)
     decode = byte_bpe.decoder(spark, RANKS)
@@ -61,6 +65,7 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_byte_bpe": op2_byte_bpe,
     "op4_token_counts": op4_token_counts,
     "op5_fingerprints": op5_fingerprints,
@@ -69,4 +74,30 @@ QUERIES = {
     "op10_html_extraction": op10_html_extraction,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_line_dedup": f"""
+        with lines as (
+            select doc_id, unnest(string_split(text, chr(10))) as content, generate_subscripts(string_split(text, chr(10)), 1) as line
+            from documents where text is not null),
+        totals as (
+            select *, sum(length(content)) over (partition by doc_id order by line) as total, length(content) as chars from lines),
+        spans as (
+            select s.doc_id, s.line as first, e.line as last
+            from totals s join totals e on s.doc_id = e.doc_id and e.line >= s.line
+            where e.total - (s.total - s.chars) >= {line_dedup.MIN_CHARS}
+              and (e.total - e.chars - (s.total - s.chars) < {line_dedup.MIN_CHARS} or e.total - s.total < {line_dedup.MIN_CHARS})),
+        runs as (
+            select p.doc_id, p.first, p.last, string_agg(l.content, chr(10) order by l.line) as content
+            from spans p join lines l on l.doc_id = p.doc_id and l.line between p.first and p.last
+            group by all),
+        later as (
+            select doc_id, first, last from runs
+            qualify row_number() over (partition by content, last - first order by doc_id, first) > 1),
+        gone as (
+            select distinct l.doc_id, l.line from lines l join later r on l.doc_id = r.doc_id and l.line between r.first and r.last),
+        kept as (
+            select l.doc_id, string_agg(l.content, chr(10) order by l.line) as text
+            from lines l anti join gone g on l.doc_id = g.doc_id and l.line = g.line group by l.doc_id)
+        select d.doc_id, case when d.text is null then null else coalesce(k.text, '') end as text
+        from documents d left join kept k on d.doc_id = k.doc_id""",
+}
