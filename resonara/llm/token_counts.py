@@ -17,13 +17,12 @@ each distinct chunk is run once per table.  Chunks of any length are run whole.
 
 from __future__ import annotations
 
-import heapq
+import re
 import tempfile
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-import regex
 import sentencepiece
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -31,8 +30,10 @@ from pyspark.sql import functions as F
 BLANK = "▁"
 TABLE_CHUNKS = 400_000
 TABLE_CHUNK_CHARS = 64
-TABLE_STATES = 100_000
+TABLE_STATES = 300_000
 TABLE_PAIRS = 400_000
+#: More than any change of the count by one character: a piece has up to 16 characters, a character up to 4 bytes.
+WIDTH = 128
 
 #: A place: the characters read since it, the piece that ends at it ("" where any
 #: piece may follow) and the token count there against the count now.
@@ -46,43 +47,29 @@ class Transducer:
 
     def __init__(self, scores: dict[str, float]):
         self.scores = scores
-        self.growing = {piece[:n] for piece in scores for n in range(len(piece))}
+        self.growing = {piece[:n]: piece[:n] for piece in scores for n in range(len(piece))}
         self.inner = {piece[n:n + 2] for piece in scores for n in range(len(piece) - 1)}
         self.apart: dict[tuple[str, str], bool] = {}
         self.reset()
 
     def reset(self) -> None:
+        self.places: dict[Place, Place] = {}
         self.states: list[tuple[Place, ...]] = [(("", "", 0),)]
         self.numbers = {self.states[0]: 0}
-        self.moves: list[dict[str, tuple[int, int]]] = [{}]
+        self.moves: list[dict[str, int]] = [{}]
 
     def merge(self, text: str) -> list[str]:
-        """The pieces of ``text``: best score first, leftmost of equals."""
-        symbols = list(text)
-        after = [*range(1, len(symbols)), -1]
-        before = list(range(-1, len(symbols) - 1))
-        agenda: list[tuple[float, int, str]] = []
-
-        def offer(left: int) -> None:
-            pair = symbols[left] + symbols[after[left]]
-            if pair in self.scores:
-                heapq.heappush(agenda, (-self.scores[pair], left, pair))
-
-        for left in range(len(symbols) - 1):
-            offer(left)
-        while agenda:
-            _, left, pair = heapq.heappop(agenda)
-            right = after[left]
-            if not symbols[left] or right < 0 or symbols[left] + symbols[right] != pair:
-                continue
-            symbols[left], symbols[right] = pair, ""
-            after[left] = after[right]
-            if after[left] >= 0:
-                before[after[left]] = left
-                offer(left)
-            if before[left] >= 0:
-                offer(before[left])
-        return [symbol for symbol in symbols if symbol]
+        """The pieces of a short ``text``: best score first, leftmost of equals."""
+        symbols, score = list(text), self.scores.get
+        while True:
+            best, at = None, -1
+            for left in range(len(symbols) - 1):
+                found = score(symbols[left] + symbols[left + 1])
+                if found is not None and (best is None or found > best):
+                    best, at = found, left
+            if best is None:
+                return symbols
+            symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
 
     def stays_apart(self, left: str, piece: str) -> bool:
         """Whether ``piece`` can follow the piece ``left`` as a token of its own."""
@@ -92,10 +79,10 @@ class Transducer:
             known = self.apart[key] = self.merge(left + piece) == ([left, piece] if left else [piece])
         return known
 
-    def move(self, state: int, char: str) -> tuple[int, int]:
-        """Next state and change of the token count, compiled on first use."""
+    def move(self, state: int, char: str) -> int:
+        """Next state and change of the token count in one number, compiled on first use."""
         if char not in self.scores:  # spelt in bytes, and no piece reaches over it
-            found = (self.START, len(char.encode()))
+            number, count = self.START, len(char.encode())
         else:
             grown = [(read + char, last, count) for read, last, count in self.states[state]]
             piece, count = next((read, count + 1) for read, last, count in grown
@@ -104,28 +91,45 @@ class Transducer:
             for read, last, at in grown:
                 if read in self.growing:
                     free = not last or last[-1] + read[0] not in self.inner
-                    places.append((read, "" if free else last, at - count))
-            places.append(("", piece, 0))
+                    place = (self.growing[read], "" if free else last, at - count)
+                    places.append(self.places.setdefault(place, place))
+            place = ("", self.growing.get(piece, piece), 0)
+            places.append(self.places.setdefault(place, place))
             key = tuple(places)
             number = self.numbers.setdefault(key, len(self.states))
             if number == len(self.states):
                 self.states.append(key)
                 self.moves.append({})
-            found = (number, count)
-        self.moves[state][char] = found
-        return found
+        step = self.moves[state][char] = number * WIDTH + count + WIDTH // 2
+        return step
 
     def run(self, chunk: str) -> int:
         """The constant that the chunk's state map adds to a count."""
         moves, state, total = self.moves, self.START, 0
         for char in chunk:
             step = moves[state].get(char) or self.move(state, char)
-            state = step[0]
-            total += step[1]
-        return total
+            state = step // WIDTH
+            total += step % WIDTH
+        return total - len(chunk) * (WIDTH // 2)
 
 
-CHUNK = regex.compile(f"{BLANK}+[^{BLANK}\n]*|[^{BLANK}\n]+|\n")
+CHUNK = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
+#: Marks a chunk that no blank precedes.
+FIRST = "\0first:"
+
+
+def _chunks(text: str, leading: bool) -> list[str]:
+    """Chunks of a text; a leading single blank is left away, as almost all have it."""
+    if leading and BLANK not in text and "  " not in text and text[0] != " " and text[-1] != " " and FIRST not in text:
+        return text.split(" ")
+    found = CHUNK.findall((BLANK if leading else "") + text.replace(" ", BLANK))
+    return [chunk if chunk[0] == BLANK else FIRST + chunk for chunk in found]
+
+
+def _spelt(chunk: str) -> str:
+    if chunk.startswith(FIRST):
+        return chunk[len(FIRST):]
+    return chunk if chunk.startswith(BLANK) else BLANK + chunk
 
 
 @lru_cache(maxsize=2)
@@ -156,7 +160,7 @@ def counter(spark: SparkSession, model_path: str):
     @F.arrow_udf("long")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         transducer, leading = _transducer(model.value)
-        chunks_of, table = CHUNK.findall, {}
+        table: dict[str, int] = {}
         for batch in batches:
             counts = []
             for value in batch:
@@ -164,10 +168,9 @@ def counter(spark: SparkSession, model_path: str):
                 if not text:
                     counts.append(0)
                     continue
-                chunks = chunks_of((BLANK if leading else "") + text.replace(" ", BLANK))
-                for chunk in set(chunks):
-                    if chunk not in table:
-                        table[chunk] = transducer.run(chunk)
+                chunks = _chunks(text, leading)
+                for chunk in set(chunks).difference(table):
+                    table[chunk] = transducer.run(_spelt(chunk))
                 counts.append(sum(map(table.__getitem__, chunks)))
                 if len(table) > TABLE_CHUNKS:
                     table.clear()
