@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resonara.llm import byte_bpe, fingerprints, html_text, line_dedup, near_copies, token_counts, toxicity
+from resonara.llm import byte_bpe, fingerprints, html_text, licenses, line_dedup, near_copies, token_counts, toxicity
 from resonara.llm.common import documents, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -30,6 +30,10 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_scan(documents(spark, folder), licenses.known_licenses(spark)).withColumnRenamed("id", "doc_id")
+
+
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     count = token_counts.counter(spark, PIECES)
     return documents(spark, folder).select(
@@ -67,6 +71,7 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_license_scan": op3_license_scan,
     "op4_token_counts": op4_token_counts,
     "op5_fingerprints": op5_fingerprints,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
@@ -74,7 +79,37 @@ QUERIES = {
     "op10_html_extraction": op10_html_extraction,
 }
 
+
+
+def _license_sql() -> str:
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    def canonical(text: str) -> str:
+        form = f"regexp_replace(lower({text}), {quoted(licenses.COPYRIGHT_LINE)}, '', 'g')"
+        form = f"trim(regexp_replace({form}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+        form = f"' ' || replace({form}, ' ', '  ') || ' '"
+        for written_as, standard in licenses.EQUIVALENT:
+            form = f"replace({form}, {quoted(' ' + written_as.replace(' ', '  ') + ' ')}, {quoted(' ' + standard.replace(' ', '  ') + ' ')})"
+        return f"trim(replace({form}, '  ', ' '))"
+
+    values = ", ".join(f"({quoted(license_id)}, {quoted(text)})" for license_id, text in licenses.known_texts())
+    return f"""
+        with known as (select distinct license_id, {canonical("text")} as form from (values {values}) known(license_id, text)),
+        units as (
+            select doc_id, 'text' as unit, 0 as position, text as content from documents
+            union all
+            select doc_id, 'paragraph', generate_subscripts(parts, 1) - 1, unnest(parts)
+            from (select doc_id, string_split(text, chr(10) || chr(10)) as parts from documents) where len(parts) > 1
+            union all
+            select doc_id, 'line', generate_subscripts(parts, 1) - 1, unnest(parts)
+            from (select doc_id, string_split(text, chr(10)) as parts from documents) where len(parts) > 1)
+        select u.doc_id, k.license_id, u.unit, cast(u.position as int) as position, u.content
+        from (select *, {canonical("content")} as form from units) u join known k on u.form = k.form where k.form <> ''"""
+
+
 SQL: dict[str, str] = {
+    "op3_license_scan": _license_sql(),
     "op1_line_dedup": f"""
         with lines as (
             select doc_id, unnest(string_split(text, chr(10))) as content, generate_subscripts(string_split(text, chr(10)), 1) as line
