@@ -173,3 +173,23 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     least = written(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("classes")), "least")
     named = written(keyed_lookup(rooted, least, ["root"], "classes").select("fp", "rows", "component_id"), "named")
     return keyed_lookup(rows, named, ["fp"], "rows").select("id", "fp", "component_id")
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their group; repeated rows of that id stay together.
+
+    Where no member has an id, all rows of the group stay.  Ids are unique in a
+    documents table, so the ids to drop are joined by id.
+    """
+    found = written(near_copies(docs, id_col, text_col).select("id", "component_id"), "components")
+    gone = found.where("id is not null and id != component_id").select(F.col("id").alias(id_col)).distinct()
+    nameless = found.where("id is null and component_id is not null")
+    kept = docs.join(gone, id_col, "left_anti")
+    return kept if nameless.isEmpty() else _without_nameless(kept, docs, id_col, text_col)
+
+
+def _without_nameless(kept: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``kept`` less the rows without id whose text is that of a group with an id."""
+    named = near_copies(docs, id_col, text_col).where("id is null and component_id is not null").select(F.col("fp").alias("_fp")).distinct()
+    prints = kept.withColumn("_fp", F.when(F.col(id_col).isNull(), shingle_fingerprint()(F.coalesce(F.col(text_col), F.lit("")))))
+    return prints.join(named, "_fp", "left_anti").drop("_fp")

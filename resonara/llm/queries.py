@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resonara.llm import byte_bpe, fingerprints, html_text, licenses, line_dedup, near_copies, token_counts, toxicity
+from resonara.llm import byte_bpe, fingerprints, html_text, licenses, line_dedup, mixing, near_copies, token_counts, toxicity
 from resonara.llm.common import documents, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -63,6 +63,10 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, folder), table(spark, folder, "labels")).withColumnRenamed("id", "doc_id")
 
 
+def op8_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_documents(documents(spark, folder).select("doc_id", "text", "source", "lang")).select("doc_id", "_mix.*")
+
+
 def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url", html_text.extract("html").alias("text"))
     return pages.withColumn("n_chars", F.char_length("text").cast("long"))
@@ -76,6 +80,7 @@ QUERIES = {
     "op5_fingerprints": op5_fingerprints,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_toxicity": op7_toxicity,
+    "op8_source_mixing": op8_source_mixing,
     "op10_html_extraction": op10_html_extraction,
 }
 

@@ -203,6 +203,14 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, trees: int = 20, de
     return ToxicityModel(model, calibration, base, insults)
 
 
+def scored(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """Columns ``id``, ``score`` and those of ``docs`` in the struct ``row``; see ``toxicity``."""
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.struct(*docs.columns).alias("row"))
+    marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where(fold(F.col("id")) != HELD_OUT)
+    model = fit(rows.drop("row").join(marks, "id").withColumnRenamed("id", "key"), sample_rows)
+    return model.score(rows)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
              sample_rows: int = SAMPLE_ROWS, threshold: float = THRESHOLD) -> DataFrame:
     """Score every row: ``id``, ``held_out``, ``score``, ``predicted``.
@@ -211,9 +219,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     texts are scored by the same model.  Ids that occur more than once in
     ``labels`` count with each label; other columns are not read.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where(fold(F.col("id")) != HELD_OUT)
-    model = fit(rows.join(marks, "id").withColumnRenamed("id", "key"), sample_rows)
-    scored = model.score(rows)
-    return scored.select("id", (fold(F.col("id")) == HELD_OUT).alias("held_out"), "score",
-                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+    found = scored(docs.select(id_col, text_col), labels, id_col, text_col, label_col, sample_rows)
+    return found.select("id", (fold(F.col("id")) == HELD_OUT).alias("held_out"), "score",
+                        (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+             threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose score stays below the threshold."""
+    return scored(docs, labels, id_col, text_col, label_col).where(F.col("score") < threshold).select("row.*")
