@@ -6,12 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resonara.llm import byte_bpe, fingerprints, html_text, licenses, line_dedup, mixing, near_copies, token_counts, toxicity
+from resonara.llm import byte_bpe, fingerprints, html_text, licenses, line_dedup, mixing, near_copies, token_counts, top_search, toxicity
 from resonara.llm.common import documents, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOKEN_LIMIT = 4096
+QUERY_STEP = 20
+TOP = 10
 
 
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -67,6 +69,12 @@ def op8_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_documents(documents(spark, folder).select("doc_id", "text", "source", "lang")).select("doc_id", "_mix.*")
 
 
+def op9_top_search(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    queries = docs.where(F.col("doc_id") % QUERY_STEP == 0).select(F.col("doc_id").alias("query_id"), "text")
+    return top_search.top_search(docs.select("doc_id", "text"), queries, TOP)
+
+
 def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url", html_text.extract("html").alias("text"))
     return pages.withColumn("n_chars", F.char_length("text").cast("long"))
@@ -81,6 +89,7 @@ QUERIES = {
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_source_mixing": op8_source_mixing,
+    "op9_top_search": op9_top_search,
     "op10_html_extraction": op10_html_extraction,
 }
 
@@ -114,6 +123,24 @@ def _license_sql() -> str:
 
 
 SQL: dict[str, str] = {
+    "op9_top_search": f"""
+        with words as (
+            select doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+')) as word
+            from documents where doc_id is not null),
+        counts as (select doc_id, word, count(*) as n from words group by all),
+        lengths as (select d.doc_id, coalesce(sum(c.n), 0) as length from documents d left join counts c using (doc_id) group by all),
+        size as (select count(*) as documents, avg(length) as mean from lengths),
+        frequencies as (select word, count(*) as frequency from counts group by all),
+        scores as (
+            select q.doc_id as query_id, d.doc_id,
+                   round(sum(ln(1 + (s.documents - f.frequency + 0.5) / (f.frequency + 0.5))
+                             * d.n * ({top_search.K1} + 1) / (d.n + {top_search.K1} * (1 - {top_search.B} + {top_search.B} * l.length / s.mean))),
+                         {top_search.DIGITS}) as score
+            from counts q join counts d on q.word = d.word and q.doc_id <> d.doc_id
+            join frequencies f on f.word = q.word join lengths l on l.doc_id = d.doc_id cross join size s
+            where q.doc_id % {QUERY_STEP} = 0 group by all)
+        select query_id, doc_id, cast(row_number() over (partition by query_id order by score desc, doc_id) as int) as rank, score
+        from scores qualify rank <= {TOP}""",
     "op3_license_scan": _license_sql(),
     "op1_line_dedup": f"""
         with lines as (
