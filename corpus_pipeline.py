@@ -45,7 +45,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def draw_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by their calibrated probabilities."""
-    return mixing.mix_documents(docs).where("_mix.sampled").drop("_mix")
+    return mixing.mix_documents(docs).where("mix.sampled").select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ unclosed elements, cut-off pages.  Walks keep their own stack, so depth is no li
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -88,16 +89,20 @@ class Element:
 def _parse(html: str) -> Element:
     root = Element("html", None)
     stack, at = [root], 0
+    opened: Counter[str] = Counter()
 
     def text(piece: str) -> None:
         if piece:
             stack[-1].children.append(unescape(piece) if "&" in piece else piece)
 
     def close(tags: frozenset[str], scope: frozenset[str]) -> None:
+        if not any(opened[tag] for tag in tags):
+            return
         for depth in range(len(stack) - 1, 0, -1):
             if stack[depth].tag in scope:
                 return
             if stack[depth].tag in tags:
+                opened.subtract(element.tag for element in stack[depth:])
                 del stack[depth:]
                 return
 
@@ -126,7 +131,7 @@ def _parse(html: str) -> Element:
                     close(ENDED_BY[tag], SCOPES.get(tag, frozenset()))
             close(frozenset({"p"}), frozenset({"td", "th", "button", "object", "caption", "table"}))
             if tag in HEADINGS and stack[-1].tag in HEADINGS:
-                stack.pop()
+                opened[stack.pop().tag] -= 1
         elif tag == "a":
             close(frozenset({"a"}), BLOCKS)
         element = Element(tag, stack[-1], attributes)
@@ -138,6 +143,7 @@ def _parse(html: str) -> Element:
                 at = html.find(">", at) + 1 or len(html)
         elif tag not in VOID and not (attributes.endswith("/") and tag in ("svg", "math", "path")):
             stack.append(element)
+            opened[tag] += 1
 
 
 def _mark_noise(root: Element) -> None:

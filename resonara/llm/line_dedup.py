@@ -108,19 +108,18 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with its texts less the deleted lines; all rows and other columns stay.
 
     A text whose lines all go becomes empty; null and empty texts stay as they
-    are.  Rows of one id are ordered by their place in the input.  Columns of any
-    name may be present; internal names carry a prefix.  Starts Spark jobs.
+    are.  Rows of one id are ordered by their place in the input; null ids come
+    first.  Other columns pass through whatever their names.  Starts Spark jobs.
     """
-    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "documents")
-    split = F.split(F.col(text_col), "\n", -1)
-    line = F.posexplode(split)
+    rows = written(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("kept")), "documents")
+    parts = F.split(F.col("kept")[text_col], "\n", -1)
     lines = written(
-        rows.select(F.col("_row").alias("row"), F.col(id_col).alias("id"), line.alias("line", "content"))
+        rows.select("row", F.col("kept")[id_col].alias("id"), F.posexplode(parts).alias("line", "content"))
         .select("row", "id", "line", F.char_length("content").cast("long").alias("chars"), _name(F.col("content")).alias("name"))
         .select("row", "id", "line", "chars", "name.p", "name.q"), "lines")
-    gone = deleted_lines(lines, min_chars).groupBy(F.col("row").alias("_row")).agg(F.collect_list("line").alias("_gone"))
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone")
-    text = F.array_join(F.transform(left, lambda at: F.col("_lines")[at]), "\n")
-    return (rows.join(gone, "_row", "left").withColumn("_lines", F.when(F.col("_gone").isNotNull(), split))
-            .withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(text))
-            .select(*docs.columns))
+    gone = deleted_lines(lines, min_chars).groupBy("row").agg(F.collect_list("line").alias("gone"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
+    text = F.array_join(F.transform(left, lambda at: F.col("lines")[at]), "\n")
+    found = rows.join(gone, "row", "left").withColumn("lines", F.when(F.col("gone").isNotNull(), parts))
+    cleaned = F.when(F.col("gone").isNull(), F.col("kept")[text_col]).otherwise(text)
+    return found.select(*[(cleaned if name == text_col else F.col("kept")[name]).alias(name) for name in docs.columns])

@@ -84,26 +84,25 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float =
 
 def mix(docs: DataFrame, margins: Mapping[str, Column], temper: Mapping[str, float], tokens: Column, id_col: str = "doc_id",
         seed: int = SEED) -> DataFrame:
-    """``docs`` with ``topic`` values, tokens and the draw in one struct column ``_mix``.
+    """``row``, a struct of all columns of ``docs``, and ``mix``, a struct on its draw.
 
-    ``_mix`` has the margins' values, ``tokens``, ``probability`` and ``sampled``.
+    ``mix`` has the margins' values, ``tokens``, ``probability`` and ``sampled``.
     Nulls in a margin are a value of their own.  Documents without tokens have
     probability 0.  Rows of one id share their draw.  Starts Spark jobs.
     """
-    names = list(margins)
-    keyed = docs.withColumns({f"_{name}": _key(value) for name, value in margins.items()} | {"_tokens": tokens})
-    keys = [f"_{name}" for name in names]
-    cells = written(keyed.groupBy(*keys).agg(F.sum("_tokens").alias("tokens"), F.count("*").alias("_rows")), "cells")
-    targets = {f"_{name}": tempered(cells, f"_{name}", temper[name]) for name in names}
-    rates = written(rake(cells, targets).withColumn("_rate", F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0))
-                    .select(*keys, "_rows", "_rate"), "rates")
-    largest = rates.agg(F.max("_rate")).first()[0] or 1.0
-    chance = F.least(F.lit(1.0), F.col("_rate") / F.lit(largest))
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col)), 11).cast("double") / F.lit(float(2 ** 53))
-    found = keyed_lookup(keyed, rates, keys, "_rows").withColumn("_chance", chance)
-    values = [F.when(F.col(f"_{name}") != "null", F.substring(f"_{name}", 2, 1 << 30)).alias(name) for name in names]
-    mixed = F.struct(*values, F.col("_tokens").alias("tokens"), F.col("_chance").alias("probability"), (draw < F.col("_chance")).alias("sampled"))
-    return found.select(*docs.columns, mixed.alias("_mix"))
+    keys = [f"of_{margin}" for margin in margins]
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), tokens.alias("tokens"), F.col(id_col).alias("id"),
+                        *[_key(value).alias(f"of_{margin}") for margin, value in margins.items()])
+    cells = written(keyed.groupBy(*keys).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("rows")), "cells")
+    targets = {f"of_{margin}": tempered(cells, f"of_{margin}", temper[margin]) for margin in margins}
+    rates = written(rake(cells, targets).withColumn("rate", F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0))
+                    .select(*keys, "rows", "rate"), "rates")
+    largest = rates.agg(F.max("rate")).first()[0] or 1.0
+    chance = F.least(F.lit(1.0), F.col("rate") / F.lit(largest))
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "id"), 11).cast("double") / F.lit(float(2 ** 53))
+    values = [F.when(F.col(key) != "null", F.substring(key, 2, 1 << 30)).alias(margin) for key, margin in zip(keys, margins)]
+    return keyed_lookup(keyed, rates, keys, "rows").select(
+        "row", F.struct(*values, "tokens", chance.alias("probability"), (draw < chance).alias("sampled")).alias("mix"))
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:

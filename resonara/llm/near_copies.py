@@ -191,5 +191,6 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _without_nameless(kept: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``kept`` less the rows without id whose text is that of a group with an id."""
     named = near_copies(docs, id_col, text_col).where("id is null and component_id is not null").select(F.col("fp").alias("_fp")).distinct()
-    prints = kept.withColumn("_fp", F.when(F.col(id_col).isNull(), shingle_fingerprint()(F.coalesce(F.col(text_col), F.lit("")))))
-    return prints.join(named, "_fp", "left_anti").drop("_fp")
+    prints = kept.select(F.struct(*kept.columns).alias("row"), F.when(F.col(id_col).isNull(), shingle_fingerprint()(
+        F.coalesce(F.col(text_col), F.lit("")))).alias("_fp"))
+    return prints.join(named, "_fp", "left_anti").select("row.*")

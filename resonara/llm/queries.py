@@ -66,7 +66,7 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.mix_documents(documents(spark, folder).select("doc_id", "text", "source", "lang")).select("doc_id", "_mix.*")
+    return mixing.mix_documents(documents(spark, folder).select("doc_id", "text", "source", "lang")).select("row.doc_id", "mix.*")
 
 
 def op9_top_search(spark: SparkSession, folder: str) -> DataFrame:
