@@ -90,16 +90,17 @@ def sink_append_stored(spark, sf):
 
 def keep_after_removal(spark, sf):
     removed = _labels(spark, sf).where("quality = 0").select(F.col("doc_id").alias("id"))
-    return W.survivors(_docs(spark, sf).drop("text"), removed, "doc_id", "id")
+    return W.survivors(_docs(spark, sf), removed, "doc_id", "id").withColumn("text", F.md5("text"))
 
 
 def rewrite_filtered(spark, sf):
     """Survivors of two datasets, written as new versions and read back."""
     removed = _labels(spark, sf).where("quality = 0").select("doc_id")
     paths = W.rewrite_filtered(
-        {"documents": (_docs(spark, sf).select("doc_id", "lang"), "doc_id"),
-         "labels": (_labels(spark, sf), "doc_id")}, removed, "doc_id", new_folder(spark, "versions"), "1")
-    kept = [spark.read.parquet(path).select(F.lit(name).alias("dataset"), "doc_id") for name, path in paths.items()]
+        {"documents": (_docs(spark, sf), "doc_id"), "labels": (_labels(spark, sf), "doc_id")}, removed, "doc_id", new_folder(spark, "versions"), "1")
+    content = {"documents": F.concat_ws("|", "lang", "source", F.md5("text")), "labels": F.concat_ws("|", "quality", "toxic")}
+    kept = [spark.read.parquet(path).select(F.lit(name).alias("dataset"), "doc_id", content[name].alias("row"))
+            for name, path in paths.items()]
     return kept[0].unionByName(kept[1])
 
 
@@ -122,13 +123,12 @@ def sink_csv_report(spark, sf):
 
 
 def contains_join(spark, sf):
-    """Page links as file names, three-letter subdomain parts as ids."""
+    """Page links as file names, words and language marks of every length as ids."""
     files = table(spark, sf, "pages").select(F.col("url").alias("file_name")).distinct()
     ids = table(spark, sf, "part").select(F.split_part("p_name", F.lit(" "), F.lit(2)).alias("word"))
     words = ids.unionByName(_docs(spark, sf).select(F.col("lang").alias("word")))
     meta = words.groupBy("word").agg(F.count("*").alias("n")).withColumn("ord", F.col("word"))
-    return CAT.contains_join_any_length(files, meta, "file_name", "word", "ord", [2, 3, 4, 5]).select(
-        "file_name", "word", "n")
+    return CAT.contains_join(files, meta, "file_name", "word", "ord").select("file_name", "word", "n")
 
 
 def contains_join_hash(spark, sf):
@@ -136,7 +136,7 @@ def contains_join_hash(spark, sf):
     pages = table(spark, sf, "pages")
     files = pages.select(F.concat("page_id", F.lit("_"), F.substring(F.md5("url"), 1, 11), F.lit(" x.mp3")).alias("file_name"))
     meta = pages.select(F.substring(F.md5("url"), 1, 11).alias("video_id"), F.col("page_id").alias("ord"))
-    return CAT.contains_join(files, meta, "file_name", "video_id", "ord", 11)
+    return CAT.contains_join(files, meta, "file_name", "video_id", "ord")
 
 
 def rename_plan(spark, sf):
@@ -346,12 +346,12 @@ union all select doc_id, 'new', '-' from documents where doc_id not in (select d
 select doc_id as video_id, 'old' as origin from labels
 union all select doc_id, 'new' from documents where doc_id not in (select doc_id from labels)""",
     "keep_after_removal": """
-select doc_id, lang, source from documents
+select doc_id, lang, source, md5(text) as text from documents
 where not exists (select 1 from labels l where l.doc_id = documents.doc_id and quality = 0)""",
     "rewrite_filtered": """
-select 'documents' as dataset, doc_id from documents
+select 'documents' as dataset, doc_id, concat_ws('|', lang, source, md5(text)) as row from documents
 where not exists (select 1 from labels l where l.doc_id = documents.doc_id and quality = 0)
-union all select 'labels', doc_id from labels where quality <> 0""",
+union all select 'labels', doc_id, concat_ws('|', quality, toxic) from labels where quality <> 0""",
     "removed_report": """
 select doc_id as id, p_name as song_title, p_brand as channel_name, md5(coalesce(text, '')) as lyrics
 from labels join part on p_partkey = doc_id left join documents using (doc_id) where quality = 0""",
@@ -359,7 +359,7 @@ from labels join part on p_partkey = doc_id left join documents using (doc_id) w
     "contains_join": """
 with m as (select word, count(*) as n from (
     select split_part(p_name, ' ', 2) as word from part union all select lang from documents)
-  where len(word) between 2 and 5 group by word)
+  where len(word) > 0 group by word)
 select url as file_name, word, n from (select distinct url from pages) join m on contains(url, word)
 qualify row_number() over (partition by url order by word) = 1""",
     "contains_join_hash": """

@@ -69,7 +69,50 @@ def recommend_coordinates(spark, sf):
     """One JSON object per point of every result."""
     points = _answers(spark, sf).coordinates
     shown = points.select("request_id", "artist", "song", rounded("x", 4).alias("x"), rounded("y", 4).alias("y"), "is_query")
-    return json_rows(shown, "artist", "song", "x", "y", "is_query")
+    return json_rows(shown, "request_id", "artist", "song", "x", "y", "is_query")
+
+
+def _linked(spark, sf):
+    """The collection with videos named by 11 characters, as links name them."""
+    base = items(spark, sf)
+    named = _metadata(spark, sf).withColumn("video_id", F.substring(F.md5(F.col("video_id").cast("string")), 1, 11))
+    built = REC.build_collection(_vectors(spark, sf), named, centres=centroids(base))
+    return REC.Collection(written(built.items, "collection"), written(built.centres, "centres"))
+
+
+def _link_requests(spark, sf):
+    """Every part's video is asked for; some links are bad and some videos unknown."""
+    part, video = table(spark, sf, "part"), F.substring(F.md5(F.col("p_partkey").cast("string")), 1, 11)
+    return part.select(F.concat(F.lit("l"), "p_partkey").alias("request_id"),
+                       F.when(F.col("p_size") > 45, "https://example.com/a")
+                       .otherwise(F.concat(F.lit("https://www.youtube.com/watch?v="), video)).alias("url"))
+
+
+def recommend_by_link(spark, sf):
+    rows = REC.recommend_by_link(_linked(spark, sf), _link_requests(spark, sf), N).rows
+    return rows.select("request_id", "rank", "item_id", "video_id", rounded("distance_sq").alias("distance_sq"), "similarity")
+
+
+def link_errors(spark, sf):
+    return REC.recommend_by_link(_linked(spark, sf), _link_requests(spark, sf), N).errors
+
+
+def recommend_unseen(spark, sf):
+    """Vectors that no part names are unseen; all of them are asked for."""
+    stored = table(spark, sf, "part").select(F.col("p_partkey").alias("item_id"))
+    odd = F.when(F.col("item_id") % 7 != 0, F.col("embedding")).alias("embedding")
+    everything = items(spark, sf).join(stored.where("item_id % 2 = 0"), "item_id", "left_anti")
+    requests = everything.select(F.concat(F.lit("u"), "item_id").alias("request_id"), odd)
+    rows = REC.recommend_unseen(_collection(spark, sf), requests, N).rows
+    return rows.select("request_id", "rank", "item_id", rounded("distance_sq").alias("distance_sq"), "similarity")
+
+
+def request_statuses(spark, sf):
+    """Polled state of the requests when those of every third customer are answered."""
+    customers = table(spark, sf, "customer").select(F.concat(F.lit("r"), "c_custkey").alias("request_id"), "c_custkey")
+    answers = customers.where("c_custkey % 3 = 0").select(
+        "request_id", F.when(F.col("c_custkey") % 2 == 0, "completed").otherwise("error").alias("status"))
+    return J.statuses(customers, answers)
 
 
 def link_metadata(spark, sf):
@@ -133,10 +176,11 @@ def batch_ingest(spark, sf):
 
 
 def _ratings(events):
+    """Cards of ten kinds, so that they repeat within a session with other answers."""
     k = F.get_json_object("props", "$.k").cast("int")
     day = F.date_format("ts", "yyyy-MM-dd")
-    return events.select("ts", F.concat_ws("/", "user_id", day).alias("session"), F.col("event_type").alias("searched"),
-                         k.alias("recommended"), (k >= 50).cast("int").alias("liked_item"),
+    return events.select("ts", F.concat_ws("/", F.col("user_id") % 50, day).alias("session"), F.col("event_type").alias("searched"),
+                         (k % 10).alias("recommended"), (k >= 50).cast("int").alias("liked_item"),
                          (k % 3 == 0).cast("int").alias("liked_rec"))
 
 
@@ -150,21 +194,22 @@ def ratings_daily(spark, sf):
 
 def stream_ratings(spark, sf):
     path = new_folder(spark, "stream-ratings")
-    _finish(J.count_ratings(_ratings(_event_stream(spark, sf)), f"{path}/table", f"{path}/state"))
-    return _shown_ratings(J.counted_ratings(spark, f"{path}/table"))
+    arriving = _ratings(_event_stream(spark, sf))
+    _finish(J.count_ratings(arriving, f"{path}/table", f"{path}/state"))
+    return _shown_ratings(J.counted_ratings(spark, f"{path}/table", arriving.schema))
 
 
 def stream_requests(spark, sf):
-    """Every page view is a request for the item named by the user's key; error
-    events carry a bad link."""
+    """Every event is a request for the item named by the user's key; error events
+    carry a bad link."""
     path = new_folder(spark, "stream-requests")
     collection = _collection(spark, sf)
     names = written(collection.items.select(F.col("item_id").alias("user_id"), "artist", "song"), "names")
-    events = _event_stream(spark, sf).where(F.col("event_type").isin("view", "error"))
+    events = _event_stream(spark, sf)
     video = F.concat(F.lit("https://youtu.be/"), F.substring(F.md5(F.col("event_id").cast("string")), 1, 11))
     asked = events.join(names, "user_id", "left").select(
         F.concat(F.lit("e"), "event_id").alias("request_id"),
-        F.when(F.col("event_type") == "view", video).otherwise("https://example.com/a").alias("url"), "artist", "song")
+        F.when(F.col("event_type") != "error", video).otherwise("https://example.com/a").alias("url"), "artist", "song")
     _finish(J.serve_requests(asked, collection, f"{path}/table", f"{path}/state", n=N))
     answers = J.results(spark, f"{path}/table")
     return answers.select("request_id", "status", F.coalesce("error", F.lit("-")).alias("error"),
@@ -174,7 +219,8 @@ def stream_requests(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    recommend_items, recommend_errors, recommend_coordinates, link_metadata, collection_map, catalogue_growth,
+    recommend_items, recommend_errors, recommend_coordinates, recommend_by_link, link_errors, recommend_unseen,
+    request_statuses, link_metadata, collection_map, catalogue_growth,
     language_report, stream_ingest, batch_ingest, ratings_daily, stream_ratings, stream_requests)}
 
 _COLLECTION = f"""
@@ -200,17 +246,40 @@ near as (select q.item_id as query_id, c.item_id, c.artist, c.song, c.video_id,
 _PERCENT = """case when d2 < 10 then '100%' when d2 > 30 then '0%'
   else round_even(100.0::double - (d2 - 10) * 5, 0)::int || '%' end as similarity"""
 _USERS = "asked as (select c_custkey as user_id from customer)"
-_RATED = """
-r as (select strftime(ts, '%Y-%m-%d') as day, user_id, event_type, (props::json->>'k')::int as k from events),
-f as (select distinct day, user_id, event_type, k from r)
-"""
-_RATINGS = f"""
-with {_RATED}
-select day, count(*) as ratings, count(*) filter (k >= 50) as liked_items, count(*) filter (k % 3 = 0) as liked_recs,
-  round(count(*) filter (k % 3 = 0) / count(*), 6) as approval from f group by day"""
+_RATINGS = """
+with r as (select ts, strftime(ts, '%Y-%m-%d') as day, user_id % 50 as person, event_type, (props::json->>'k')::int as k from events),
+f as (select day, (k >= 50)::int as liked_item, (k % 3 = 0)::int as liked_rec from r
+      qualify row_number() over (partition by person, day, event_type, k % 10 order by ts, (k >= 50)::int, (k % 3 = 0)::int) = 1)
+select day, count(*) as ratings, sum(liked_item)::bigint as liked_items, sum(liked_rec)::bigint as liked_recs,
+  round(sum(liked_rec) / count(*), 6) as approval from f group by day"""
 _INGEST = "select distinct user_id from events where user_id not in (select s_suppkey from supplier)"
 
+_LINKED = _COLLECTION.replace("min(p_partkey) as video_id", "min(substr(md5(p_partkey::varchar), 1, 11)) as video_id")
+_ASKED = """
+asked as (select 'l' || p_partkey as request_id, substr(md5(p_partkey::varchar), 1, 11) as video, p_size > 45 as bad from part),
+found as (select request_id, min(item_id) as query_id from asked left join coll on not bad and video_id = video group by 1)
+"""
 SQL = {
+    "recommend_by_link": f"""
+with {_LINKED}, {_NEAR}, {_ASKED}
+select request_id, rank::int as rank, near.item_id, near.video_id, round(d2, 6) as distance_sq, {_PERCENT}
+from found join near using (query_id)""",
+    "link_errors": f"""
+with {_LINKED}, {_ASKED}
+select request_id, 'query not found' as error from found where query_id is null""",
+    "recommend_unseen": f"""
+with {_COLLECTION},
+new as (select vec_id as query_id, embedding::double[] as e from embeddings
+        where vec_id not in (select p_partkey from part where p_partkey % 2 = 0) and vec_id % 7 <> 0),
+placed as (select query_id, label, row_number() over (partition by query_id order by list_distance(e, m), label) as visit
+           from new, ctd where label in (select label from coll)),
+near as (select n.query_id, c.item_id, power(list_distance(n.e, c.e), 2) as d2,
+    row_number() over (partition by n.query_id order by visit, list_distance(n.e, c.e), c.item_id) as rank
+  from new n join placed using (query_id) join coll c using (label) qualify rank <= 5)
+select 'u' || query_id as request_id, rank::int as rank, item_id, round(d2, 6) as distance_sq, {_PERCENT} from near""",
+    "request_statuses": """
+select 'r' || c_custkey as request_id, case when c_custkey % 3 <> 0 then 'processing' when c_custkey % 2 = 0 then 'completed'
+  else 'error' end as status from customer""",
     "recommend_items": f"""
 with {_COLLECTION}, {_NEAR}, {_USERS}
 select 'r' || user_id as request_id, rank::int as rank, near.item_id, near.artist, near.song, round(d2, 6) as distance_sq,
@@ -244,8 +313,8 @@ from texts join part on p_partkey = texts.id left join p on p.id = texts.id and
     "stream_requests": f"""
 with {_COLLECTION}, {_NEAR},
 ev as (select 'e' || event_id as request_id, event_type, substr(md5(event_id::varchar), 1, 11) as video, k
-  from events left join coll on coll.item_id = user_id where event_type in ('view', 'error')),
-good as (select request_id, video, first.item_id as query_id from ev left join first using (k) where event_type = 'view')
+  from events left join coll on coll.item_id = user_id),
+good as (select request_id, video, first.item_id as query_id from ev left join first using (k) where event_type <> 'error')
 select request_id, 'error' as status, 'invalid' as error, '-' as video_id, 0::int as rank, -1::bigint as item_id, '-' as similarity
 from ev where event_type = 'error'
 union all select request_id, 'error', 'query not found', video, 0, -1, '-' from good where query_id is null

@@ -160,7 +160,7 @@ def src_seed_urls(spark, sf):
 
 
 def src_catalogue(spark, sf):
-    return R.as_catalogue(table(spark, sf, "documents").drop("text")).withColumnRenamed("source", "channel_name")
+    return R.as_catalogue(table(spark, sf, "documents")).withColumnRenamed("source", "channel_name").withColumn("text", F.md5("text"))
 
 
 def src_metadata_conform(spark, sf):
@@ -354,7 +354,7 @@ select page_id, form, reason, case reason when 'empty' then 'empty' when 'host'
 select page_id, 'https://www.youtube.com/watch?v=' || page_id as watch, split_part(url, '&', 1) as bare from pages""",
     "src_seed_urls": "select url as playlist_url from pages where url is not null",
     "src_catalogue": """
-select doc_id::varchar as doc_id, lang, source as channel_name, n_chars::varchar as n_chars from documents""",
+select doc_id::varchar as doc_id, md5(text) as text, lang, source as channel_name, n_chars::varchar as n_chars from documents""",
     "src_metadata_conform": """
 select p_partkey::varchar as "ID", p_name as "Song", p_brand as "Artist", p_type as "Genre", p_size as "Instrumentation"
 from part""",

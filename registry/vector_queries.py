@@ -102,6 +102,41 @@ def knn_l2_blocks(spark, sf):
     return _shown(N.knn(base, as_queries(base), K, plan="blocks", block_rows=512), "distance_sq")
 
 
+def knn_l2_pivots(spark, sf):
+    """Many cells: own cell first, then those its bound cannot rule out."""
+    base = items(spark, sf)
+    return _shown(N.knn(base, as_queries(base), K, plan="blocks", cells=24), "distance_sq")
+
+
+def knn_cosine_pivots(spark, sf):
+    base = items(spark, sf)
+    return _shown(N.knn(base, as_queries(base), K, metric="cosine", plan="blocks", cells=24), "similarity")
+
+
+def nearest_centroid_shipped(spark, sf):
+    base = items(spark, sf)
+    return _placed(nearest_centroid(base.drop("cluster"), centroids(base)))
+
+
+def nearest_centroid_joined(spark, sf):
+    """The plan for many centres; the same rows."""
+    base = items(spark, sf)
+    return _placed(nearest_centroid(base.drop("cluster"), centroids(base), local_bytes=0))
+
+
+def _placed(df):
+    return df.select("item_id", "cluster", rounded("centroid_distance_sq").alias("distance_sq"))
+
+
+def knn_widen_sparse(spark, sf):
+    """Centres of all labels, items of every third label only: most centres are empty."""
+    base, wanted = items(spark, sf), 55
+    some = base.where("cluster % 3 = 0")
+    visits = cluster_visits(some, as_queries(base), centroids(base), wanted, among_items=False)
+    found = N.knn_widen(some, as_queries(base), visits, wanted, skip_self=False)
+    return found.select("query_id", "item_id", "rank", rounded("distance_sq").alias("distance_sq"))
+
+
 def knn_cosine(spark, sf):
     base = items(spark, sf)
     return _shown(N.knn(base, as_queries(base), K, metric="cosine"), "similarity")
@@ -139,7 +174,8 @@ def centroid_by_label(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     src_embeddings, src_conform_ids, src_token_rows, vec_mean_pool, vec_pool_or_pass, vec_mean_squeeze,
-    vec_flatten_truncate, vec_select_token, vec_explode_dims, pair_similarity, knn_l2_topn, knn_l2_blocks,
+    vec_flatten_truncate, vec_select_token, vec_explode_dims, pair_similarity, knn_l2_topn, knn_l2_blocks, knn_l2_pivots,
+    knn_cosine_pivots, nearest_centroid_shipped, nearest_centroid_joined, knn_widen_sparse,
     knn_cosine, cosine_topn, knn_in_cluster, knn_widen, assign_then_knn, centroid_by_label)}
 
 _PAIRS = """
@@ -169,6 +205,12 @@ ctd as (select label, list(m order by dim) as m from (
   group by label)
 """
 
+_PLACED = f"""
+with {_CENTROIDS}
+select vec_id as item_id, ctd.label as cluster, round(power(list_distance(embedding::double[], m), 2), 6) as distance_sq
+from embeddings, ctd
+qualify row_number() over (partition by vec_id order by list_distance(embedding::double[], m), ctd.label) = 1"""
+
 SQL = {
     "src_embeddings": f"""
 with {FRAMES_SQL}, {_MEANS}
@@ -209,6 +251,21 @@ select a.vec_id as key1, b.vec_id as key2,
 from embeddings a join embeddings b on b.vec_id = a.vec_id + 1""",
     "knn_l2_topn": _top("d2", ("d2", "distance_sq")),
     "knn_l2_blocks": _top("d2", ("d2", "distance_sq")),
+    "knn_l2_pivots": _top("d2", ("d2", "distance_sq")),
+    "knn_cosine_pivots": _top("cs desc", ("cs", "similarity")),
+    "nearest_centroid_shipped": _PLACED,
+    "nearest_centroid_joined": _PLACED,
+    "knn_widen_sparse": f"""
+with {_CENTROIDS}, v as (select vec_id, label, embedding::double[] as e from embeddings),
+visit as (
+  select v.vec_id as query_id, ctd.label as cl,
+         row_number() over (partition by v.vec_id order by (ctd.label = v.label) desc, list_distance(v.e, ctd.m), ctd.label) as cell_rank
+  from v, ctd where ctd.label % 3 = 0),
+ranked as (
+  select q.vec_id as query_id, c.vec_id as item_id, power(list_distance(q.e, c.e), 2) as d2,
+         row_number() over (partition by q.vec_id order by cell_rank, list_distance(q.e, c.e), c.vec_id) as rank
+  from v q join visit on visit.query_id = q.vec_id join v c on c.label = visit.cl)
+select query_id, item_id, rank::int as rank, round(d2, 6) as distance_sq from ranked where rank <= 55""",
     "knn_cosine": _top("cs desc", ("cs", "similarity")),
     "cosine_topn": _top("cs desc", ("cs", "similarity"), "ql = cl"),
     "knn_in_cluster": _top("d2", ("d2", "distance_sq"), "ql = cl"),

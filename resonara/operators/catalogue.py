@@ -44,35 +44,26 @@ def ids_seen(*tables: DataFrame, key: str) -> DataFrame:
     return out.where(F.col(key).isNotNull()).distinct()
 
 
-def contains_join(files: DataFrame, metadata: DataFrame, name: str, key: str, order: str,
-                  id_length: int) -> DataFrame:
-    """Files joined to the first metadata id occurring anywhere in their name.
+def contains_join(files: DataFrame, metadata: DataFrame, name: str, key: str, order: str) -> DataFrame:
+    """Files joined to the first metadata id, by ``order``, occurring anywhere in their name.
 
-    Every substring of the id's length becomes a join key, so the containment
-    test is an equi-join.  Work per file is the length of its name.
+    Every substring of a name that is as long as some id becomes a join key, so the
+    containment test is an equi-join.  The lengths come from the ids themselves;
+    collecting them is bounded by the longest id.  Ids of no length match nothing.
+    The first hit is found over (id, order) alone; its columns are joined last.
     """
-    starts = F.sequence(F.lit(1), F.length(name) - id_length + 1)
-    grams = F.when(F.length(name) >= id_length,
-                   F.array_distinct(F.transform(starts, lambda i: F.substring(F.col(name), i, F.lit(id_length)))))
-    candidates = files.select(name, F.explode(grams).alias(key))
-    ids = metadata.where(F.length(key) == id_length)
-    hits = candidates.join(ids, key)
-    others = [c for c in hits.columns if c != name]
-    first = F.min(F.struct(order, *[c for c in others if c != order])).alias("_hit")
-    best = hits.groupBy(name).agg(first)
-    return best.select(name, *[F.col(f"_hit.{c}").alias(c) for c in others])
-
-
-def contains_join_any_length(files: DataFrame, metadata: DataFrame, name: str, key: str, order: str,
-                             lengths: list[int]) -> DataFrame:
-    """``contains_join`` for ids of several lengths; the first id over all wins."""
-    parts = [contains_join(files, metadata, name, key, order, n) for n in sorted(set(lengths))]
-    hits = parts[0]
-    for part in parts[1:]:
-        hits = hits.unionByName(part)
-    others = [c for c in hits.columns if c not in (name, order)]
-    best = hits.groupBy(name).agg(F.min(F.struct(order, *others)).alias("_hit"))
-    return best.select(name, *[F.col(f"_hit.{c}").alias(c) for c in [order, *others]])
+    lengths = [row["n"] for row in metadata.select(F.length(key).alias("n")).where("n > 0").distinct().orderBy("n").collect()]
+
+    def substrings(size: int) -> Column:
+        starts = F.sequence(F.lit(1), F.length(name) - size + 1)
+        cuts = F.transform(starts, lambda i: F.substring(F.col(name), i, F.lit(size)))
+        return F.when(F.length(name) >= size, cuts).otherwise(F.array().cast("array<string>"))
+
+    grams = F.array_distinct(F.concat(F.array().cast("array<string>"), *[substrings(size) for size in lengths]))
+    candidates = files.select(name).distinct().select(name, F.explode(grams).alias(key))
+    firsts = metadata.groupBy(key).agg(F.min(order).alias("_first"))
+    best = candidates.join(firsts, key).groupBy(name).agg(F.min_by(key, F.struct("_first", key)).alias(key))
+    return best.join(keep_one(metadata, key, order, last=False), key).select(name, key, *[c for c in metadata.columns if c != key])
 
 
 def rename_plan(files: DataFrame, name: str, file_id: str, channel: str, title: str) -> DataFrame:

@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from resonara.functions.vectors import to_double
-from resonara.operators.neighbours import knn
+from resonara.operators.neighbours import knn, nearest_rows, present
 
 # --- fixed values -----------------------------------------------------------
 SEED = 42
 SWEEP = (2, 3, 4, 5, 6, 8, 10, 12)
+MAX_ITER = 300  # where the usual libraries stop a fit that has not converged
 # ----------------------------------------------------------------------------
 
 MAX_LOCAL_BYTES = 64 << 20  # centroids beyond this are joined, not shipped
@@ -33,87 +34,84 @@ def centroids(df: DataFrame, cluster: str = "cluster", vector: str = "embedding"
     return mean_vectors(df, cluster, vector=vector)
 
 
-def _local(centres: DataFrame, cluster: str, *extra: str) -> pd.DataFrame | None:
+def _local(centres: DataFrame, cluster: str, local_bytes: int) -> pd.DataFrame | None:
     """Centroids as a pandas frame ordered by cluster, if small enough."""
     size = centres.select(F.count("*").alias("n"), F.max(F.size("embedding")).alias("d")).first()
-    if size["n"] * (size["d"] or 0) * 8 > MAX_LOCAL_BYTES:
+    if size["n"] * (size["d"] or 0) * 8 > local_bytes:
         return None
-    return centres.select(cluster, "embedding", *extra).toPandas().sort_values(cluster, ignore_index=True)
+    return centres.select(cluster, "embedding").toPandas().sort_values(cluster, ignore_index=True)
 
 
-def _distances(vectors: pd.Series, centres: np.ndarray) -> np.ndarray:
-    x = np.stack(vectors.to_list()).astype(np.float64)
-    squares = (x * x).sum(1)[:, None] + (centres * centres).sum(1)[None, :] - 2.0 * (x @ centres.T)
-    return np.clip(squares, 0.0, None)
+def _listed(matrix: np.ndarray, labels: np.ndarray, kept: int, cluster_type: T.DataType):
+    """UDF: the ``kept`` nearest centres, nearest first, measured exactly, ties by label."""
+    entry = T.StructType([T.StructField("cluster", cluster_type), T.StructField("distance_sq", T.DoubleType())])
 
+    @F.pandas_udf(T.ArrayType(entry))
+    def closest(vectors: pd.Series) -> pd.Series:
+        x = np.stack(vectors.to_list()).astype(np.float64)
+        return pd.Series([[{"cluster": labels[j], "distance_sq": d} for j, d in zip(picks, away)]
+                          for _, picks, away in nearest_rows(x, matrix, kept)])
+
+    return closest
 
-def nearest_centroid(df: DataFrame, centres: DataFrame, *, item_id: str = "item_id", vector: str = "embedding",
-                     cluster: str = "cluster") -> DataFrame:
-    """Add the nearest cluster and the squared distance to its centroid.
 
-    Used for unseen vectors with stored centroids; nothing is refitted.
+def _nearest(queries: DataFrame, centres: DataFrame, kept: int, local_bytes: int) -> DataFrame:
+    """``query_id, cluster, distance_sq`` of the ``kept`` nearest centres.
+
+    Few centres travel to the rows, many are joined; both measure exactly and
+    give the same rows.  Rows without a vector are left out.
     """
-    centres = centres.select(cluster, "embedding")
-    local = _local(centres, cluster)
-    others = [c for c in df.columns if c != cluster]
+    queries, named = present(queries), centres.where(F.col("embedding").isNotNull())
+    local = _local(named, "cluster", local_bytes)
     if local is None:
-        near = knn(centres, df, 1, corpus_id=cluster, query_id=item_id, vector=vector, skip_self=False,
-                   plan="blocks").select(F.col("query_id").alias(item_id), F.col("item_id").alias(cluster),
-                                         F.col("distance_sq").alias("centroid_distance_sq"))
-        return df.select(*others).join(near, item_id)
+        near = knn(named, queries, kept, corpus_id="cluster", query_id="query_id", skip_self=False, plan="blocks")
+        return near.select("query_id", F.col("item_id").alias("cluster"), "distance_sq")
+    if local.empty:
+        return queries.select("query_id", F.lit(None).cast(named.schema["cluster"].dataType).alias("cluster"),
+                              F.lit(None).cast("double").alias("distance_sq")).limit(0)
     matrix = np.stack(local["embedding"].to_list()).astype(np.float64)
-    labels = local[cluster].to_numpy()
-    out = T.StructType([T.StructField("cluster", centres.schema[cluster].dataType),
-                        T.StructField("away", T.DoubleType())])
+    closest = _listed(matrix, local["cluster"].to_numpy(), min(kept, len(local)), named.schema["cluster"].dataType)
+    return queries.select("query_id", F.inline(closest("embedding")))
+
 
-    @F.pandas_udf(out)
-    def nearest(vectors: pd.Series) -> pd.DataFrame:
-        away = _distances(vectors, matrix)
-        return pd.DataFrame({"cluster": labels[away.argmin(axis=1)], "away": away.min(axis=1)})
+def nearest_centroid(df: DataFrame, centres: DataFrame, *, item_id: str = "item_id", vector: str = "embedding",
+                     cluster: str = "cluster", local_bytes: int = MAX_LOCAL_BYTES) -> DataFrame:
+    """Add the nearest cluster and the squared distance to its centroid.
 
-    placed = df.select(*others).withColumn("_near", nearest(vector))
-    return placed.select(*others, F.col("_near.cluster").alias(cluster),
-                         F.col("_near.away").alias("centroid_distance_sq"))
+    Used for unseen vectors with stored centroids; nothing is refitted.  Ties go to
+    the smaller label; rows without a vector are left out.  Ids are unique.
+    """
+    named = centres.select(F.col(cluster).alias("cluster"), "embedding")
+    others = [c for c in df.columns if c != cluster]
+    asked = df.select(F.col(item_id).alias("query_id"), F.col(vector).alias("embedding"))
+    near = _nearest(asked, named, 1, local_bytes).select(
+        F.col("query_id").alias(item_id), F.col("cluster").alias(cluster), F.col("distance_sq").alias("centroid_distance_sq"))
+    return df.select(*others).join(near, item_id).select(*others, cluster, "centroid_distance_sq")
 
 
 def cluster_visits(corpus: DataFrame, queries: DataFrame, centres: DataFrame, n: int, *, cluster: str = "cluster",
-                   query_id: str = "query_id", vector: str = "embedding") -> DataFrame:
+                   query_id: str = "query_id", vector: str = "embedding", local_bytes: int = MAX_LOCAL_BYTES,
+                   among_items: bool = True) -> DataFrame:
     """``query_id, cluster, cell_rank``: the own cluster, then the others by
     centroid distance, as many as are needed to hold n other items.
 
-    Every cluster holds at least one item, so n + 1 nearest centroids are
-    enough and the per-query list is bounded by n, not by the cluster count.
+    ``among_items``: the queries are items themselves and do not count.
+
+    Clusters without items are left out first.  Every other one holds at least one,
+    so its n + 1 nearest centroids are enough and the per-query list is bounded by
+    n, not by the cluster count.
     """
-    sizes = corpus.where(F.col(vector).isNotNull()).groupBy(cluster).agg(F.count("*").alias("size"))
-    own = queries.select(F.col(query_id).alias("query_id"), F.col(cluster).alias("_own"), vector)
-    named = centres.select(F.col(cluster).alias("_cluster"), "embedding")
-    local = _local(named, "_cluster")
-    if local is None:
-        near = knn(named, own, n + 1, corpus_id="_cluster", query_id="query_id", vector=vector,
-                   skip_self=False, plan="blocks")
-        near = near.select("query_id", F.col("item_id").alias("cluster"), "distance_sq")
-    else:
-        matrix = np.stack(local["embedding"].to_list()).astype(np.float64)
-        labels = local["_cluster"].to_numpy()
-        kept = min(n + 1, len(labels))
-        entry = T.StructType([T.StructField("cluster", named.schema["_cluster"].dataType),
-                              T.StructField("distance_sq", T.DoubleType())])
-
-        @F.pandas_udf(T.ArrayType(entry))
-        def closest(vectors: pd.Series) -> pd.Series:
-            away = _distances(vectors, matrix)
-            order = np.argsort(away, axis=1, kind="stable")[:, :kept]
-            return pd.Series([[{"cluster": labels[j], "distance_sq": row[j]} for j in picks]
-                              for row, picks in zip(away, order)])
-
-        near = own.select("query_id", F.inline(closest(vector)))
+    sizes = present(corpus, vector).groupBy(F.col(cluster).alias("cluster")).agg(F.count("*").alias("size"))
+    own = present(queries, vector).select(F.col(query_id).alias("query_id"), F.col(cluster).alias("_own"), F.col(vector).alias("embedding"))
+    filled = centres.select(F.col(cluster).alias("cluster"), "embedding").join(sizes, "cluster", "left_semi")
+    near = _nearest(own.select("query_id", "embedding"), filled, n + 1, local_bytes)
     mine = own.select("query_id", F.col("_own").alias("cluster"), F.lit(-1.0).alias("distance_sq"))
     order = Window.partitionBy("query_id").orderBy("distance_sq", "cluster")
     listed = (
         near.unionByName(mine).groupBy("query_id", "cluster").agg(F.min("distance_sq").alias("distance_sq"))
-        .join(sizes.withColumnRenamed(cluster, "cluster"), "cluster")
+        .join(sizes, "cluster")
         # the query itself is one of the items of its own cluster
-        .withColumn("others", F.col("size") - F.when(F.col("distance_sq") < 0, 1).otherwise(0))
+        .withColumn("others", F.col("size") - F.when(F.col("distance_sq") < 0, int(among_items)).otherwise(0))
         .withColumn("cell_rank", F.row_number().over(order) - 1)
         .withColumn("before", F.sum("others").over(order) - F.col("others"))
     )
@@ -123,19 +121,21 @@ def cluster_visits(corpus: DataFrame, queries: DataFrame, centres: DataFrame, n:
 # --- K-Means ----------------------------------------------------------------
 
 def fit_kmeans(df: DataFrame, k: int, *, vector: str = "embedding", seed: int = SEED,
-               max_iter: int = 20) -> KMeansModel | None:
-    """K-Means on an array column.  One cluster needs no model."""
+               max_iter: int = MAX_ITER) -> KMeansModel | None:
+    """K-Means on an array column, to convergence.  One cluster needs no model.
+    Rows without a vector are left out."""
     if k < 1:
         raise ValueError("k must be positive")
     if k == 1:
         return None
-    features = df.select(array_to_vector(to_double(F.col(vector))).alias("features"))
+    features = present(df, vector).select(array_to_vector(to_double(F.col(vector))).alias("features"))
     return KMeans(k=k, seed=seed, maxIter=max_iter, initMode="k-means||").fit(features)
 
 
 def assign_kmeans(df: DataFrame, model: KMeansModel | None, *, vector: str = "embedding",
                   cluster: str = "cluster") -> DataFrame:
-    """Add the cluster of every row; also for rows the model has not seen."""
+    """Add the cluster of every row with a vector; also for rows the model has not seen."""
+    df = present(df, vector)
     if model is None:
         return df.withColumn(cluster, F.lit(0))
     featured = df.withColumn("_features", array_to_vector(to_double(F.col(vector))))

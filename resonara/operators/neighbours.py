@@ -71,6 +71,12 @@ def _top_k(queries: np.ndarray, query_ids: np.ndarray, corpus: np.ndarray, corpu
             yield start + i, near[best], exact[best]
 
 
+def nearest_rows(vectors: np.ndarray, corpus: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``_top_k`` over plain matrices: (row, corpus rows, exact squared distances)."""
+    nobody = np.full(len(vectors), -1)
+    return _top_k(vectors, nobody, corpus, np.arange(len(corpus)), k, False)
+
+
 def _result_schema(queries: DataFrame, corpus: DataFrame, *extra: T.StructField) -> T.StructType:
     return T.StructType([
         T.StructField("query_id", queries.schema["query_id"].dataType),
@@ -110,9 +116,14 @@ def _columns(df: DataFrame, id_col: str, vector: str, name: str, *extra: str) ->
     return df.select(F.col(id_col).alias(name), F.col(vector).alias("vector"), *extra)
 
 
+def present(df: DataFrame, vector: str = "embedding") -> DataFrame:
+    """Rows with a vector.  The rule of all vector operators: rows without one are left out."""
+    return df.where(F.col(vector).isNotNull())
+
+
 def _present(df: DataFrame) -> DataFrame:
-    """Rows with a vector.  Applied late, so that counting rows reads no vectors."""
-    return df.where(F.col("vector").isNotNull())
+    """Applied late, so that counting rows reads no vectors."""
+    return present(df, "vector")
 
 
 # --- queries travel to the corpus -------------------------------------------
@@ -209,10 +220,11 @@ def _block_join(corpus: DataFrame, queries: DataFrame, k: int, metric: str, skip
     return left.cogroup(right).applyInPandas(meet, _result_schema(queries, corpus, *extra))
 
 
-def _pick_pivots(corpus: DataFrame, rows: int, metric: str) -> np.ndarray:
-    """A bounded number of rows spread over the corpus.  They steer the work
-    only; any choice gives the same neighbours."""
-    wanted = int(min(MAX_PIVOTS, max(1, rows // ROWS_PER_PIVOT)))
+def _pick_pivots(corpus: DataFrame, rows: int, metric: str, cells: int | None) -> np.ndarray:
+    """Rows spread over the corpus, ``cells`` of them or by its size.  They steer
+    the work only; any choice gives the same neighbours.  A cell may hold any
+    number of rows, as cells are searched in blocks."""
+    wanted = cells or int(min(MAX_PIVOTS, max(1, rows // ROWS_PER_PIVOT)))
     picked = _present(corpus).orderBy(F.xxhash64("item_id"), "item_id").limit(wanted).toPandas()
     pivots = _matrix(picked["vector"], metric) if len(picked) else np.zeros((0, 0))
     return np.unique(pivots[~np.isnan(pivots).any(axis=1)], axis=0) if pivots.size else pivots
@@ -257,9 +269,9 @@ def _other_cells(pivots: np.ndarray, outer: np.ndarray, inner: np.ndarray, metri
 
 
 def _by_pivots(corpus: DataFrame, queries: DataFrame, k: int, metric: str, skip_self: bool,
-               block_rows: int | None) -> DataFrame:
+               block_rows: int | None, cells: int | None = None) -> DataFrame:
     rows = corpus.count()
-    pivots = _pick_pivots(corpus, rows, metric)
+    pivots = _pick_pivots(corpus, rows, metric, cells)
     if len(pivots) < 2:
         # one cell; a plain constant would turn the joins on it into nested loops
         whole = [df.withColumn("cell", F.pmod(F.xxhash64(key), F.lit(1)))
@@ -280,10 +292,10 @@ def _by_pivots(corpus: DataFrame, queries: DataFrame, k: int, metric: str, skip_
                                     skip_self, block_rows), k).drop("rank"), "own-cell")
     reach = own.groupBy("query_id").agg(F.count("*").alias("n"), F.sqrt(F.max("distance_sq")).alias("far"))
     bounded = queries.join(reach.where(F.col("n") >= k).select("query_id", "far"), "query_id", "left")
-    cells = _other_cells(pivots, outer, inner, metric)
+    reachable = _other_cells(pivots, outer, inner, metric)
     # rounding may lift the bound's own distance a little
     within = (F.col("far") * F.col("far") * (1 + 1e-9) + 1e-12).alias("within")
-    further = bounded.select("query_id", "vector", within, F.explode(cells("vector", "cell", "far")).alias("cell"))
+    further = bounded.select("query_id", "vector", within, F.explode(reachable("vector", "cell", "far")).alias("cell"))
     elsewhere = _block_join(placed, further, k, metric, skip_self, block_rows)
     return _best(own.unionByName(elsewhere), k)
 
@@ -292,12 +304,13 @@ def _by_pivots(corpus: DataFrame, queries: DataFrame, k: int, metric: str, skip_
 
 def knn(corpus: DataFrame, queries: DataFrame, k: int, *, metric: str = "l2", corpus_id: str = "item_id",
         query_id: str = "query_id", vector: str = "embedding", skip_self: bool = True, plan: str = "auto",
-        block_rows: int | None = None) -> DataFrame:
+        block_rows: int | None = None, cells: int | None = None) -> DataFrame:
     """The k corpus items nearest to every query, exact.
 
     Columns ``query_id, item_id, rank, distance_sq`` with ``distance`` (l2) or
     ``similarity`` (cosine).  Ties go to the smaller id.  A corpus smaller than k
-    gives fewer rows.  ``plan`` is ``auto``, ``scan`` or ``blocks``.
+    gives fewer rows.  ``plan`` is ``auto``, ``scan`` or ``blocks``; ``cells`` sets
+    the number of cells of the blocks.  All plans give the same rows.
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
@@ -306,14 +319,12 @@ def knn(corpus: DataFrame, queries: DataFrame, k: int, *, metric: str = "l2", co
     corpus = _columns(corpus, corpus_id, vector, "item_id")
     queries = _columns(queries, query_id, vector, "query_id")
     local = None
-    if plan != "blocks":
+    if plan != "blocks" and cells is None:  # a scan of too many queries goes on in blocks
         local = _few(queries, MAX_SCAN_QUERIES, MAX_SCAN_BYTES)
-        if local is None and plan == "scan":
-            raise ValueError("too many queries for the scan plan")
     if local is not None:
         found = _best(_scan(corpus, local, queries, k, metric, skip_self), k)
     else:
-        found = _by_pivots(corpus, queries, k, metric, skip_self, block_rows)
+        found = _by_pivots(corpus, queries, k, metric, skip_self, block_rows, cells)
     return _finish(found, metric)
 
 
@@ -333,7 +344,7 @@ def knn_in_cluster(corpus: DataFrame, queries: DataFrame, k: int, *, cluster: st
 
 def knn_widen(corpus: DataFrame, queries: DataFrame, visits: DataFrame, n: int, *,
               cluster: str = "cluster", corpus_id: str = "item_id", query_id: str = "query_id",
-              vector: str = "embedding", block_rows: int | None = None) -> DataFrame:
+              vector: str = "embedding", block_rows: int | None = None, skip_self: bool = True) -> DataFrame:
     """n neighbours per query: own cluster first, then the next clusters.
 
     ``visits`` holds ``query_id, cluster, cell_rank``: the clusters each query
@@ -343,7 +354,7 @@ def knn_widen(corpus: DataFrame, queries: DataFrame, visits: DataFrame, n: int,
     queries = _columns(queries, query_id, vector, "query_id").join(
         visits.select("query_id", F.col(cluster).alias("cell"), F.col("cell_rank").cast("int")), "query_id")
     queries = written(queries, "visits")  # read for the block sizes and for the blocks
-    found = _block_join(corpus, queries, n, "l2", True, block_rows)
+    found = _block_join(corpus, queries, n, "l2", skip_self, block_rows)
     return _finish(_best(found, n, "cell_rank"), "l2")
 
 

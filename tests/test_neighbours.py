@@ -162,3 +162,29 @@ def test_neighbour_map_keeps_neighbours(spark):
     np.fill_diagonal(away, np.inf)
     nearest = away.argsort(axis=1)[:, :5] // 40
     assert (nearest == (np.arange(120) // 40)[:, None]).mean() > 0.9
+
+
+def test_both_centroid_plans_measure_exactly(spark):
+    """Far from the origin the expanded square would lose all digits."""
+    points = spark.createDataFrame([(1, [1e8 + 0.5])], "item_id int, embedding array<double>")
+    centres = spark.createDataFrame([(1, [1e8 + 0.25]), (2, [1e8 + 0.5])], "cluster int, embedding array<double>")
+    for limit in (0, 1 << 20):
+        row = C.nearest_centroid(points, centres, local_bytes=limit).first()
+        assert (row["cluster"], row["centroid_distance_sq"]) == (2, 0.0)
+
+
+def test_rows_without_vector_are_left_out(spark):
+    df = spark.createDataFrame([(1, [0.0, 1.0], 0), (2, None, 0), (3, [4.0, 1.0], 1)], "item_id int, embedding array<double>, cluster int")
+    for limit in (0, 1 << 20):
+        placed = C.nearest_centroid(df.drop("cluster"), C.centroids(df), local_bytes=limit)
+        assert sorted(row["item_id"] for row in placed.collect()) == [1, 3]
+    assert C.assign_kmeans(df.drop("cluster"), C.fit_kmeans(df, 2)).count() == 2
+
+
+def test_widening_passes_over_empty_clusters(spark):
+    corpus = spark.createDataFrame([(n, [100.0 + n], 9) for n in range(20)], "item_id int, embedding array<double>, cluster int")
+    centres = spark.createDataFrame([(c, [float(c)]) for c in range(9)] + [(9, [110.0])], "cluster int, embedding array<double>")
+    query = spark.createDataFrame([("q", [0.0], 0)], "query_id string, embedding array<double>, cluster int")
+    for limit in (0, 1 << 20):
+        visits = C.cluster_visits(corpus, query, centres, 5, local_bytes=limit, among_items=False)
+        assert [row["cluster"] for row in visits.collect()] == [9]

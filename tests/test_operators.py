@@ -113,8 +113,7 @@ def test_rename_plan(spark):
 def test_contains_join(spark):
     files = spark.createDataFrame([("xxabcxx",), ("abd-abc",), ("no",), ("",)], "f string")
     meta = spark.createDataFrame([("abc", 2, "p"), ("abd", 1, "q"), ("zz", 0, "r")], "id string, o int, v string")
-    assert rows(CAT.contains_join(files, meta, "f", "id", "o", 3)) == [("abd-abc", "abd", 1, "q"), ("xxabcxx", "abc", 2, "p")]
-    assert CAT.contains_join_any_length(files, meta, "f", "id", "o", [2, 3]).count() == 2
+    assert rows(CAT.contains_join(files, meta, "f", "id", "o")) == [("abd-abc", "abd", 1, "q"), ("xxabcxx", "abc", 2, "p")]
 
 
 def test_search_is_literal(spark):

@@ -33,7 +33,7 @@ def test_query(spark, tables, name):
     assert got == comparable(tables.execute(entry.oracle_sql()[name]).df())
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql()) - {"neighbour_map", "kmeans_sweep"}))
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
 def test_rows_only(spark, name):
     assert entry.queries()[name](spark, FOLDER).count() > 0
 
