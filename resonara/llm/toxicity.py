@@ -171,7 +171,7 @@ class ToxicityModel:
         return found.select(*kept).withColumn("score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("score") + tie))).drop("margin")
 
 
-def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, trees: int = 20, depth: int = 4) -> ToxicityModel:
+def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, trees: int = 12, depth: int = 3) -> ToxicityModel:
     """Learn from columns ``key``, ``text``, ``label``; at most about ``sample_rows`` rows are used.
 
     The sample is drawn by a hash of the key and is the documented bound on what a
@@ -195,7 +195,7 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, trees: int = 20, de
     base = positive / max(sum(classes.values()), 1)
     if len(classes) < 4:
         return ToxicityModel(None, None, base, insults)
-    learner = GBTClassifier(featuresCol="input", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.2,
+    learner = GBTClassifier(featuresCol="input", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.3,
                             minInstancesPerNode=5, subsamplingRate=1.0, seed=SEED, cacheNodeIds=False)
     model = learner.fit(rows.where("part != 0"))
     margins = model.transform(rows.where("part = 0")).select("label", vector_to_array("rawPrediction")[1].alias("margin"))
