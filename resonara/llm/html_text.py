@@ -34,6 +34,8 @@ NEVER_TEXT = RAW | frozenset("""
     head nav footer aside form noscript template button input select option datalist label fieldset legend menu dialog search
     svg canvas math audio video object embed applet map
 """.split())
+#: Elements that are only a part of what reads as one: a list or a table stays whole.
+PARTS = HEADINGS | frozenset("p pre tr tbody thead tfoot ul ol dl".split())
 ENDED_BY = {
     "li": frozenset({"li"}), "dt": frozenset({"dt", "dd"}), "dd": frozenset({"dt", "dd"}), "option": frozenset({"option"}),
     "tr": frozenset({"tr", "td", "th"}), "td": frozenset({"td", "th"}), "th": frozenset({"td", "th"}),
@@ -253,7 +255,7 @@ def _kept(best: Element, blocks: list[tuple[Element, str, int]]) -> list[Element
         if element.tag in ("article", "main"):
             best = element
             break
-    while best.tag in TEXT_BLOCKS and best.parent is not None:
+    while best.tag in PARTS and best.parent is not None:
         best = best.parent
     kept = [best]
     for sibling in best.parent.children if best.parent is not None else ():
