@@ -80,7 +80,9 @@ def _disguised(text: str, tokens: list[str], stretched: bool, insults: frozenset
         elif stretched and letters not in insults and _long_run.search(letters):
             found += _long_run.sub(r"\1", letters) in insults or _long_run.sub(r"\1\1", letters) in insults
     if sum(len(token) == 1 for token in tokens) > 3:
-        found += sum(match.group().replace(" ", "") in insults for match in _spaced.finditer(text))
+        for match in _spaced.finditer(text):
+            letters = match.group().replace(" ", "")
+            found += any(word in letters for word in insults if len(word) > 3)
     return found
 
 
