@@ -37,6 +37,18 @@ def kmeans_assign(spark, sf):
     return C.assign_kmeans(base, C.fit_kmeans(base, 8)).select("item_id", "cluster")
 
 
+def kmeans_violations(spark, sf):
+    """Items that are nearer to another centre than to their own, of all items in all clusters."""
+    base = items(spark, sf).drop("cluster")
+    model = C.fit_kmeans(base, 8)
+    placed = C.assign_kmeans(base, model)
+    nearest = C.nearest_centroid(base, C.model_centroids(base, model)).select("item_id", "centroid_distance_sq")
+    own = C.model_centroids(base, model).withColumnRenamed("embedding", "centre")
+    away = placed.join(own, "cluster").select("item_id", V.squared_l2(F.col("embedding"), F.col("centre")).alias("own"))
+    worse = F.sum((F.col("own") > F.col("centroid_distance_sq") + 1e-6).cast("long"))
+    return away.join(nearest, "item_id").agg(worse.alias("violations"), F.count("*").alias("items"))
+
+
 def kmeans_sweep(spark, sf):
     base = items(spark, sf).drop("cluster")
     flat = written(P.project(base, P.fit_pca(base, 2)).select("item_id", "coordinates"), "plane")
@@ -84,6 +96,25 @@ def pca_project(spark, sf):
     return placed.select("item_id", rounded("x").alias("x"), rounded("y").alias("y"))
 
 
+def pca_variance(spark, sf):
+    """All components together hold the whole variance; each one's share is its coordinate's."""
+    base = items(spark, sf)
+    width = base.select(F.max(F.size("embedding"))).first()[0] or 0
+    model = P.fit_pca(base, width)
+    placed = P.project(base, model).select(F.posexplode("coordinates").alias("component", "value"))
+    spread = placed.groupBy("component").agg(F.var_samp("value").alias("variance"), F.avg("value").alias("mean"))
+    total = spread.agg(F.sum("variance").alias("total"))
+    gap = F.abs(F.col("variance") / F.col("total") - F.col("share"))
+    joined = spread.join(P.explained(spark, model), "component").withColumn("one", F.lit(1)).join(total.withColumn("one", F.lit(1)), "one")
+    return joined.agg(rounded(F.first("total"), 4).alias("total"), rounded(F.max(gap)).alias("share_gap"),
+                      rounded(F.max(F.abs("mean"))).alias("mean_gap"), F.count("*").alias("components"))
+
+
+def pca_explained(spark, sf):
+    base = items(spark, sf)
+    return P.explained(spark, P.fit_pca(base, 2)).withColumn("share", rounded("share"))
+
+
 def pca_top_loadings(spark, sf):
     features = _metadata_features(spark, sf)
     named = [c for c in features.columns if c != "p_partkey"]
@@ -107,7 +138,7 @@ def perplexity_affinity(spark, sf):
 
 
 def neighbour_map(spark, sf):
-    return build_map(items(spark, sf), perplexity=10.0, rounds=12, exaggerated=4)
+    return build_map(items(spark, sf))
 
 
 # --- features ---------------------------------------------------------------
@@ -192,8 +223,8 @@ def embed_text(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    kmeans_step, kmeans_assign, kmeans_sweep, cluster_vs_label, cluster_purity, cluster_profile, profile_by_feature,
-    covariance, pca_project, pca_top_loadings, place_new_point, perplexity_affinity, neighbour_map, one_hot,
+    kmeans_step, kmeans_violations, pca_variance, pca_explained, kmeans_assign, kmeans_sweep, cluster_vs_label,
+    cluster_purity, cluster_profile, profile_by_feature, covariance, pca_project, pca_top_loadings, place_new_point, perplexity_affinity, neighbour_map, one_hot,
     one_hot_vector, zscore_bpm, metadata_features, lang_prob, lang_filter, chunk_windows, hash_embed, embed_text)}
 
 _PLACED = f"""
@@ -230,6 +261,11 @@ chunks as (select doc_id, chunk, a[chunk * 256 + 1 : chunk * 256 + 512] as words
 """
 
 SQL = {
+    "kmeans_violations": "select 0::bigint as violations, count(*) as items from embeddings",
+    "pca_variance": """
+with v as (select unnest(range(64)) as dim, unnest(embedding::double[]) as value from embeddings),
+s as (select dim, var_samp(value) as spread from v group by dim)
+select round(sum(spread), 4) as total, 0.0::double as share_gap, 0.0::double as mean_gap, count(*) as components from s""",
     "kmeans_step": f"""
 with {_PLACED},
 sizes as (select cluster, count(*) as size, sum(d2) as cost from placed group by cluster),

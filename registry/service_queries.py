@@ -125,7 +125,7 @@ def collection_map(spark, sf):
     metadata = table(spark, sf, "part").select(
         F.col("p_partkey").alias("item_id"), F.upper("p_name").alias("song"), F.col("p_type").alias("Genre"),
         F.col("p_size").alias("Instrumentation"))
-    mapped = build_map(base, metadata, ks=(2, 12))
+    mapped = build_map(base, metadata)
     return mapped.withColumns({"x": rounded("x"), "y": rounded("y")})
 
 

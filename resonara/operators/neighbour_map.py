@@ -15,9 +15,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from resonara.operators.neighbours import knn
+from resonara.operators.neighbours import knn, present
 from resonara.operators.project import fit_pca, project, to_xy
-from resonara.workspace import written
+from resonara.workspace import replaced, written
 
 # --- fixed values -----------------------------------------------------------
 PERPLEXITY = 30.0
@@ -150,8 +150,9 @@ def neighbour_map(items: DataFrame, *, item_id: str = "item_id", vector: str = "
                   perplexity: float = PERPLEXITY, rounds: int = 40, exaggerated: int = 10,
                   momentum: float = 0.5) -> DataFrame:
     """``item_id, x, y``.  Starts from two principal components; every round is
-    written, so a lost executor costs one round at most."""
-    items = written(items.select(F.col(item_id).alias("item_id"), F.col(vector).alias("embedding")), "map-items")
+    written in place of the one before, so a lost executor costs one round at most.
+    Items without a vector are left out."""
+    items = written(present(items, vector).select(F.col(item_id).alias("item_id"), F.col(vector).alias("embedding")), "map-items")
     n = items.count()
     k = int(max(1, min(n - 1, 3 * perplexity)))
     near = knn(items, items.withColumnRenamed("item_id", "query_id"), k)
@@ -181,7 +182,7 @@ def neighbour_map(items: DataFrame, *, item_id: str = "item_id", vector: str = "
 
         moved = joined.select("item_id", "x", "y", velocity("vx", "px", "rx").alias("vx"),
                               velocity("vy", "py", "ry").alias("vy"))
-        points = written(moved.select("item_id", (F.col("x") + F.col("vx")).alias("x"),
-                                      (F.col("y") + F.col("vy")).alias("y"), "vx", "vy"), "map-round")
+        points = replaced(moved.select("item_id", (F.col("x") + F.col("vx")).alias("x"),
+                                       (F.col("y") + F.col("vy")).alias("y"), "vx", "vy"), "map-round", points)
         box = _Box.around(cells["low_x"].min(), cells["low_y"].min(), cells["high_x"].max(), cells["high_y"].max())
     return points.select(F.col("item_id").alias(item_id), "x", "y")

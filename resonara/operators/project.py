@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,7 +88,8 @@ def fit_pca(df: DataFrame, k: int = 2, vector: str = "embedding") -> PcaModel:
 
 
 def project(df: DataFrame, model: PcaModel, vector: str = "embedding", name: str = "coordinates") -> DataFrame:
-    """Add the coordinates of every row; also for rows the model has not seen."""
+    """Add the coordinates of every row with a vector; also for rows the model has not seen."""
+    df = df.where(F.col(vector).isNotNull())
     mean, components = model.mean, model.components
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
@@ -99,6 +100,11 @@ def project(df: DataFrame, model: PcaModel, vector: str = "embedding", name: str
     return df.withColumn(name, coordinates(vector))
 
 
+def explained(spark: SparkSession, model: PcaModel) -> DataFrame:
+    """``component, share``: the part of the variance that each component holds."""
+    return spark.createDataFrame([(i, float(share)) for i, share in enumerate(model.explained)], "component int, share double")
+
+
 def to_xy(df: DataFrame, name: str = "coordinates") -> DataFrame:
     return df.withColumns({"x": F.get(name, F.lit(0)), "y": F.get(name, F.lit(1))}).drop(name)
 

@@ -95,3 +95,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def replaced(df: DataFrame, name: str, *before: DataFrame) -> DataFrame:
+    """``written``, then remove the stored tables ``before`` that only ``df`` was made from.
+
+    For rounds that replace one another: the new copy is complete before the old
+    one goes, so a round can be run again at any time.
+    """
+    after = written(df, name)
+    spark = df.sparkSession
+    top = shared_folder(spark).rstrip("/")
+    for table in before:
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            if path.getParent().toUri().getPath() == spark._jvm.org.apache.hadoop.fs.Path(top).toUri().getPath():
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return after
