@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from resonara.llm.common import keyed_lookup
-from resonara.workspace import written
+from resonara.workspace import replaced, written
 
 #: Exponent of each margin: target shares are proportional to tokens ** exponent.
 TEMPER = {"source": 0.7, "lang": 0.9, "topic": 1.0}
@@ -70,6 +70,7 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float =
     total = state.agg(F.sum("weight")).first()[0] or 0.0
     off = lambda margin: (F.sum("weight").over(W.partitionBy(margin)) / F.lit(total or 1.0) / F.col(goal[margin]) - 1)
     for _ in range(0, MOST_SWEEPS if total else 0, SWEEPS_PER_STEP):
+        stored = state
         worst = state.where("weight > 0").select(*[F.abs(off(margin)).alias(margin) for margin in goal]).agg(
             F.greatest(*[F.max(margin) for margin in goal], F.lit(0.0))).first()[0]
         if worst is None or worst <= tolerance:
@@ -78,7 +79,7 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float =
             for margin, share in goal.items():
                 held = F.sum("weight").over(W.partitionBy(margin))
                 state = state.withColumn("weight", F.when(F.col("weight") > 0, F.col("weight") * F.lit(total) * F.col(share) / held).otherwise(0.0))
-        state = written(state, "raked")
+        state = replaced(state, "raked", stored)
     return state.drop(*goal.values())
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from resonara.llm.common import keyed_lookup
 from resonara.llm.simhash import packed, set_weights
-from resonara.workspace import written
+from resonara.workspace import replaced, written
 
 SEED = 42
 RADIUS = 3
@@ -141,7 +141,8 @@ def components(links: DataFrame) -> DataFrame:
         moved = pairs.where("v > u" if larger else "v != m").select(F.col("v").alias("a"), F.col("m").alias("b"))
         if not larger:
             moved = moved.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
-        return written(moved.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+        moved = moved.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        return replaced(moved, "edges", edges, least)
 
     def state(edges: DataFrame):
         return edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
