@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from resonara.operators.lookup import keyed_lookup
 from resonara.workspace import written
 
 # --- fixed values -----------------------------------------------------------
@@ -40,7 +41,7 @@ def profiles(labelled: DataFrame, lang: str = "lang", text: str = "text") -> Dat
 
 
 def _word_scores(vocabulary: DataFrame, profile: DataFrame) -> tuple[DataFrame, list[str]]:
-    """``word`` and its log-likelihood in every language, as an array."""
+    """``word``, its ``texts`` and its log-likelihood in every language."""
     totals = {r["lang"]: r["n"] for r in
               profile.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").limit(MAX_LANGUAGES + 1).collect()}
     if len(totals) > MAX_LANGUAGES:
@@ -52,9 +53,9 @@ def _word_scores(vocabulary: DataFrame, profile: DataFrame) -> tuple[DataFrame,
         F.log((F.coalesce(F.col(f"`{lang}`"), F.lit(0)) + 1.0) / float(totals[lang] + distinct)) for lang in langs
     ]).alias("logs"))
     unseen = F.array(*[F.log(F.lit(1.0 / float(totals[lang] + distinct))) for lang in langs])
-    cut = vocabulary.select("word", F.explode(_trigrams(F.col("word"))).alias("gram"))
+    cut = vocabulary.select("word", "texts", F.explode(_trigrams(F.col("word"))).alias("gram"))
     logs = cut.join(seen, "gram", "left").withColumn("logs", F.coalesce("logs", unseen))
-    sums = logs.groupBy("word").agg(*[F.sum(F.col("logs")[i]).alias(f"s{i}") for i in range(len(langs))])
+    sums = logs.groupBy("word", "texts").agg(*[F.sum(F.col("logs")[i]).alias(f"s{i}") for i in range(len(langs))])
     return sums, langs
 
 
@@ -62,9 +63,10 @@ def lang_prob(df: DataFrame, profile: DataFrame, key: str, text: str = "text") -
     """``key, lang, prob`` for every language; texts without letters have none."""
     # read for the vocabulary and for the sums: stored, so the texts are split once
     counted = written(words(df, [key], text).groupBy(key, "word").agg(F.count("*").alias("_n")), "text-words")
-    scores, langs = _word_scores(counted.select("word").distinct(), profile)
+    scores, langs = _word_scores(counted.groupBy("word").agg(F.count("*").alias("texts")), profile)
     slots = [f"s{i}" for i in range(len(langs))]
-    per_text = counted.join(scores, "word").groupBy(key).agg(
+    # a common word stands in nearly every text
+    per_text = keyed_lookup(counted, written(scores, "word-scores"), ["word"], "texts").groupBy(key).agg(
         *[F.sum(F.col(s) * F.col("_n")).alias(s) for s in slots])
     top = F.greatest(*slots) if len(slots) > 1 else F.col(slots[0])
     weights = [F.exp(F.col(s) - top) for s in slots]

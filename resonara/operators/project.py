@@ -44,8 +44,12 @@ def _mean(df: DataFrame, vector: str) -> tuple[int, np.ndarray]:
 
 
 def _scatter(df: DataFrame, vector: str, mean: np.ndarray) -> DataFrame:
-    """``i, j, total``: centred products, one D x D partial sum per task."""
-    dims = len(mean)
+    """``i, j, total``: centred products, one D x D partial sum per task.
+
+    There are as many tasks as keep the cores busy, however many files there are,
+    so the partial sums do not grow with the data.
+    """
+    dims, tasks = len(mean), 2 * df.sparkSession.sparkContext.defaultParallelism
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((dims, dims))
@@ -55,7 +59,7 @@ def _scatter(df: DataFrame, vector: str, mean: np.ndarray) -> DataFrame:
                 total += centred.T @ centred
         yield pd.DataFrame({"i": np.arange(dims, dtype="int32"), "products": list(total)})
 
-    rows = df.where(F.col(vector).isNotNull()).select(vector).mapInPandas(partial, "i int, products array<double>")
+    rows = df.where(F.col(vector).isNotNull()).select(vector).coalesce(tasks).mapInPandas(partial, "i int, products array<double>")
     cells = rows.select("i", F.posexplode("products").alias("j", "product"))
     return cells.groupBy("i", "j").agg(F.sum("product").alias("total"))
 
