@@ -173,16 +173,19 @@ class ToxicityModel:
         return found.select(*kept).withColumn("score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("score") + tie))).drop("margin")
 
 
-def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, trees: int = 12, depth: int = 3) -> ToxicityModel:
-    """Learn from columns ``key``, ``text``, ``label``; at most about ``sample_rows`` rows are used.
+def sample_labels(marks: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """About ``sample_rows`` of the rows ``id, label`` at most, drawn by a hash of the id.
 
-    The sample is drawn by a hash of the key and is the documented bound on what a
-    fit reads; rows with a null label are left out.  Starts Spark jobs.
+    This is the documented bound on what a fit reads.  Repeated rows count once;
+    null ids and labels are left out.
     """
-    known = labelled.select("key", "text", F.col("label").cast("double").alias("label")).where("label is not null")
-    total = known.count()
-    share = min(1.0, sample_rows / max(total, 1))
-    drawn = known.where(F.pmod(F.xxhash64(F.lit(SEED), "key"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
+    known = marks.select("id", F.col("label").cast("double").alias("label")).dropna().distinct()
+    share = min(1.0, sample_rows / max(known.count(), 1))
+    return known.where(F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
+
+
+def fit(drawn: DataFrame, trees: int = 12, depth: int = 3) -> ToxicityModel:
+    """Learn from columns ``key``, ``text``, ``label``, a sample of bounded size.  Starts Spark jobs."""
     drawn = written(drawn, "drawn")
     # words of the lexicon that mostly stand in clean texts of this corpus are ordinary words of it
     usual = (drawn.select("label", F.explode(lexicon_words("text")).alias("word")).groupBy("word")
@@ -209,8 +212,9 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
     """Columns ``id``, ``score`` and those of ``docs`` in the struct ``row``; see ``toxicity``."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.struct(*docs.columns).alias("row"))
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where(fold(F.col("id")) != HELD_OUT)
-    model = fit(rows.drop("row").join(marks, "id").withColumnRenamed("id", "key"), sample_rows)
-    return model.score(rows)
+    # the sample is bounded, so it travels to the texts and no text is shuffled
+    drawn = rows.select("id", "text").join(F.broadcast(sample_labels(marks, sample_rows)), "id")
+    return fit(drawn.withColumnRenamed("id", "key")).score(rows)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
