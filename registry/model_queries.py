@@ -224,7 +224,8 @@ def embed_text(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     kmeans_step, kmeans_violations, pca_variance, pca_explained, kmeans_assign, kmeans_sweep, cluster_vs_label,
-    cluster_purity, cluster_profile, profile_by_feature, covariance, pca_project, pca_top_loadings, place_new_point, perplexity_affinity, neighbour_map, one_hot,
+    cluster_purity, cluster_profile, profile_by_feature, covariance, pca_project, pca_top_loadings, place_new_point,
+    perplexity_affinity, neighbour_map, one_hot,
     one_hot_vector, zscore_bpm, metadata_features, lang_prob, lang_filter, chunk_windows, hash_embed, embed_text)}
 
 _PLACED = f"""
