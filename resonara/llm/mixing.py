@@ -23,6 +23,7 @@ TEMPER = {"source": 0.7, "lang": 0.9, "topic": 1.0}
 TOLERANCE = 1e-6
 SWEEPS_PER_STEP = 4
 MOST_SWEEPS = 400
+LEAST_GAIN = 0.02
 SEED = 29
 
 #: The marks by which a topic is told, and the share of characters from which it is.
@@ -59,8 +60,10 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float =
 
     ``cells`` has ``tokens`` and a column per margin; ``targets`` maps a margin to
     (margin, share).  Cells without tokens or without a target weigh 0.  Ends when
-    no margin is off by more than ``tolerance`` of its target, or after
-    ``MOST_SWEEPS`` where targets contradict the empty cells.  Starts Spark jobs.
+    no margin is off by more than ``tolerance`` of its target; where targets
+    contradict the empty cells, when a step of ``SWEEPS_PER_STEP`` sweeps no longer
+    brings the worst margin nearer by ``LEAST_GAIN``, or after ``MOST_SWEEPS``.
+    Starts Spark jobs.
     """
     goal = {margin: f"_goal_{margin}" for margin in targets}
     for margin, shares in targets.items():
@@ -69,12 +72,14 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float =
     state = written(cells.withColumn("weight", F.when(F.expr(f"tokens > 0 and {usable}"), F.col("tokens").cast("double")).otherwise(0.0)), "cells")
     total = state.agg(F.sum("weight")).first()[0] or 0.0
     off = lambda margin: (F.sum("weight").over(W.partitionBy(margin)) / F.lit(total or 1.0) / F.col(goal[margin]) - 1)
+    before = float("inf")
     for _ in range(0, MOST_SWEEPS if total else 0, SWEEPS_PER_STEP):
         stored = state
         worst = state.where("weight > 0").select(*[F.abs(off(margin)).alias(margin) for margin in goal]).agg(
             F.greatest(*[F.max(margin) for margin in goal], F.lit(0.0))).first()[0]
-        if worst is None or worst <= tolerance:
+        if worst is None or worst <= tolerance or worst > (1 - LEAST_GAIN) * before:
             break
+        before = worst
         for _ in range(SWEEPS_PER_STEP):
             for margin, share in goal.items():
                 held = F.sum("weight").over(W.partitionBy(margin))
