@@ -29,6 +29,7 @@ SAMPLE_ROWS = 30_000
 FOLDS = 3
 HELD_OUT = 1
 CALIBRATION_SHARE = 3
+CALIBRATION_ROWS = 25
 SEED = 17
 
 #: Insults, and words of the second person, by language.
@@ -185,7 +186,11 @@ def sample_labels(marks: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame
 
 
 def fit(drawn: DataFrame, trees: int = 12, depth: int = 3) -> ToxicityModel:
-    """Learn from columns ``key``, ``text``, ``label``, a sample of bounded size.  Starts Spark jobs."""
+    """Learn from columns ``key``, ``text``, ``label``, a sample of bounded size.
+
+    The calibration is fitted on rows that the trees have not seen, if these hold
+    ``CALIBRATION_ROWS`` of either class, and else on all.  Starts Spark jobs.
+    """
     drawn = written(drawn, "drawn")
     # words of the lexicon that mostly stand in clean texts of this corpus are ordinary words of it
     usual = (drawn.select("label", F.explode(lexicon_words("text")).alias("word")).groupBy("word")
@@ -201,9 +206,11 @@ def fit(drawn: DataFrame, trees: int = 12, depth: int = 3) -> ToxicityModel:
     if len(classes) < 4:
         return ToxicityModel(None, None, base, insults)
     learner = GBTClassifier(featuresCol="input", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.3,
-                            minInstancesPerNode=5, subsamplingRate=1.0, seed=SEED, cacheNodeIds=False)
+                            minInstancesPerNode=2, subsamplingRate=1.0, seed=SEED, cacheNodeIds=False)
     model = learner.fit(rows.where("part != 0"))
-    margins = model.transform(rows.where("part = 0")).select("label", vector_to_array("rawPrediction")[1].alias("margin"))
+    apart = min(n for (held, _), n in classes.items() if held) >= CALIBRATION_ROWS
+    margins = (model.transform(rows.where("part = 0") if apart else rows)
+               .select("label", vector_to_array("rawPrediction")[1].alias("margin")))
     calibration = IsotonicRegression(featuresCol="margin", labelCol="label", predictionCol="score").fit(margins)
     return ToxicityModel(model, calibration, base, insults)
 
