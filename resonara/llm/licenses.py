@@ -140,13 +140,16 @@ def license_scan(docs: DataFrame, licenses: DataFrame, id_col: str = "doc_id", t
 
     def units(pattern: str, name: str) -> Column:
         parts = F.split(F.col(text_col), pattern, -1)
-        rows = F.transform(parts, lambda part, at: F.struct(F.lit(name).alias("unit"), at.alias("position"), part.alias("content")))
+        rows = F.transform(parts, lambda part, at: F.struct(
+            F.lit(name).alias("unit"), at.alias("position"), part.alias("content"), plain(part).alias("form")))
         return F.when(F.size(parts) > 1, rows).otherwise(F.slice(rows, 1, 0))
 
-    whole = F.array(F.struct(F.lit("text").alias("unit"), F.lit(0).alias("position"), F.col(text_col).alias("content")))
+    # the forms are made where the units are, so that each is made once
+    text = F.col(text_col)
+    whole = F.array(F.struct(F.lit("text").alias("unit"), F.lit(0).alias("position"), text.alias("content"), plain(text).alias("form")))
     found = (docs.where(F.col(text_col).isNotNull())
              .select(F.col(id_col).alias("id"), F.inline(F.concat(whole, units("\n\n", "paragraph"), units("\n", "line"))))
-             .withColumn("form", plain(F.col("content"))).where("form != ''"))
+             .where("form != ''"))
     begin = F.substring_index(united(F.substring_index("form", " ", 4)), " ", 2)
     likely = found.withColumn("begin", begin).join(table.select("begin").distinct(), "begin", "left_semi")
     likely = likely.withColumn("digest", F.sha2(united(F.col("form")).cast("binary"), 256))
