@@ -91,7 +91,7 @@ STATEMENTS = ("{}", "License: {}", "Licensed under {}", "Licensed under the {}",
 BARE = frozenset({"MIT", "ISC", "Zlib", "CC0"})
 
 
-COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright\s*(?:\(c\)|©|\d|:|by\b)|\(c\)\s|©|all rights reserved)[^\n]*$"
+COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright[ \t]*(?:\(c\)|©|\d|:|by\b)|\(c\)[ \t]|©|all rights reserved)[^\n]*$"
 FEW_LICENSES = 50_000
 
 
@@ -138,18 +138,24 @@ def license_scan(docs: DataFrame, licenses: DataFrame, id_col: str = "doc_id", t
     if table.count() <= FEW_LICENSES:
         table = F.broadcast(table)
 
-    def units(pattern: str, name: str) -> Column:
-        parts = F.split(F.col(text_col), pattern, -1)
-        rows = F.transform(parts, lambda part, at: F.struct(
-            F.lit(name).alias("unit"), at.alias("position"), part.alias("content"), plain(part).alias("form")))
-        return F.when(F.size(parts) > 1, rows).otherwise(F.slice(rows, 1, 0))
-
-    # the forms are made where the units are, so that each is made once
-    text = F.col(text_col)
-    whole = F.array(F.struct(F.lit("text").alias("unit"), F.lit(0).alias("position"), text.alias("content"), plain(text).alias("form")))
-    found = (docs.where(F.col(text_col).isNotNull())
-             .select(F.col(id_col).alias("id"), F.inline(F.concat(whole, units("\n\n", "paragraph"), units("\n", "line"))))
-             .where("form != ''"))
+    # a form never reaches over a line end, so the lines' forms make up the text's; they are
+    # made by a generator, which keeps them from being made again wherever they are used
+    lines = F.split(F.col(text_col), "\n", -1)
+    made = docs.where(F.col(text_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+        F.inline(F.array(F.struct(lines.alias("lines"), F.transform(lines, plain).alias("forms")))))
+
+    def unit(name: str, position: Column | int, content: Column, form: Column) -> Column:
+        return F.struct(F.lit(name).alias("unit"), (F.lit(position) if isinstance(position, int) else position).alias("position"),
+                        content.alias("content"), form.alias("form"))
+
+    whole = F.array(unit("text", 0, F.col("text"), F.array_join(F.filter("forms", lambda form: form != ""), " ")))
+    own = F.transform("lines", lambda line, at: unit("line", at, line, F.col("forms")[at]))
+    parts = F.split("text", "\n\n", -1)
+    paragraphs = F.transform(parts, lambda part, at: unit("paragraph", at, part, plain(part)))
+    none = F.slice(own, 1, 0)
+    found = made.select("id", F.inline(F.concat(
+        whole, F.when(F.size(parts) > 1, paragraphs).otherwise(none), F.when(F.size("lines") > 1, own).otherwise(none)))).where("form != ''")
     begin = F.substring_index(united(F.substring_index("form", " ", 4)), " ", 2)
     likely = found.withColumn("begin", begin).join(table.select("begin").distinct(), "begin", "left_semi")
     likely = likely.withColumn("digest", F.sha2(united(F.col("form")).cast("binary"), 256))
