@@ -2,7 +2,8 @@
 
 Toxic documents go; later copies of repeated runs of lines go; one document of
 each group of near copies stays, the one with the smallest id; documents are drawn
-towards the target mix of sources, languages and kinds of text; the rest is
+towards the target mix of sources, languages and kinds of text, with a number of
+copies where a rare kind is to weigh more; the rest is
 encoded by byte-level BPE and decoded again.  Each stage is written as Parquet and
 read back by the next one.
 """
@@ -44,8 +45,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def draw_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn by their calibrated probabilities."""
-    return mixing.mix_documents(docs).where("mix.sampled").select("row.*")
+    """Documents drawn at their calibrated rates, each once; ``copies`` is how often it stands in the mix."""
+    return mixing.mix_documents(docs).where("mix.sampled").select("row.*", "mix.copies")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

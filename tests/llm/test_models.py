@@ -72,6 +72,40 @@ def test_raking_equals_plain_fit(spark):
     assert all(abs(got[cell] - want[cell]) < 1e-3 * total for cell in cells)
 
 
+@pytest.mark.parametrize("driver_cells", [0, 1000])
+def test_raking_that_is_slow_at_first(spark, monkeypatch, driver_cells):
+    monkeypatch.setattr(mixing, "DRIVER_CELLS", driver_cells)
+    cells = {("a", "x"): 100_000, ("a", "y"): 10, ("b", "x"): 10, ("b", "y"): 100_000}
+    targets = {"s": {"a": 0.55, "b": 0.45}, "t": {"x": 0.45, "y": 0.55}}
+    frame = spark.createDataFrame([(s, t, n) for (s, t), n in cells.items()], "s string, t string, tokens long")
+    shares = {m: spark.createDataFrame(list(of.items()), f"{m} string, share double") for m, of in targets.items()}
+    rows = mixing.rake(frame, shares, tolerance=1e-3).collect()
+    assert max(row["miss"] for row in rows) <= 1e-3
+    assert abs(sum(row["weight"] for row in rows if row["s"] == "a") / 200_020 - 0.55) < 1e-3
+
+
+def test_raking_reports_contradictory_margins(spark):
+    frame = spark.createDataFrame([("a", "x", 100), ("b", "x", 50), ("b", "y", 50)], "s string, t string, tokens long")
+    shares = {"s": spark.createDataFrame([("a", 0.8), ("b", 0.2)], "s string, share double"),
+              "t": spark.createDataFrame([("x", 0.5), ("y", 0.5)], "t string, share double")}
+    rows = {(row["s"], row["t"]): row for row in mixing.rake(frame, shares).collect()}
+    held = sum(row["weight"] for (s, _), row in rows.items() if s == "a") / 200
+    assert abs(rows["a", "x"]["miss"] - (1 - held / 0.8)) < 1e-9 and rows["a", "x"]["miss"] > 0.3
+
+
+def test_one_odd_document_leaves_the_mix_whole(spark):
+    docs = spark.range(2401).select(F.col("id").alias("doc_id"), F.when(F.col("id") == 2400, "odd").when(F.col("id") < 800, "hot").otherwise(
+        F.concat(F.lit("s"), F.col("id") % 16)).alias("source"), F.when(F.col("id") == 2400, 400).otherwise(100_000).cast("long").alias("tokens"))
+    rows = mixing.mix(docs, {"source": F.col("source")}, mixing.TEMPER, F.col("tokens")).select("row.doc_id", "mix.*").collect()
+    total = sum(row["tokens"] for row in rows)
+    assert len(rows) == 2401 and abs(sum(row["rate"] * row["tokens"] for row in rows) / total - mixing.TOKEN_BUDGET) < 1e-6
+    assert abs(sum(row["copies"] * row["tokens"] for row in rows) / total - mixing.TOKEN_BUDGET) < 0.05
+    assert all(row["copies"] in (int(row["rate"]), int(row["rate"]) + 1) and row["sampled"] == (row["copies"] > 0) for row in rows)
+    odd = next(row for row in rows if row["source"] == "odd")
+    power = {s: sum(row["tokens"] for row in rows if row["source"] == s) ** mixing.TEMPER["source"] for s in {row["source"] for row in rows}}
+    assert odd["rate"] > 1 and abs(odd["rate"] * 400 / total / mixing.TOKEN_BUDGET - power["odd"] / sum(power.values())) < 1e-6
+
+
 def test_mix_of_the_documents(spark, small_folder):
     docs = queries.documents(spark, small_folder)
     rows = queries.op8_source_mixing(spark, small_folder).collect()
