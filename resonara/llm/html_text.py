@@ -5,7 +5,8 @@ the elements around it, less with each level; an element's points are discounted
 by the share of its text that is link text.  The best container is kept whole
 with those siblings that read like part of it.  Elements whose tag, role or name
 marks them as menus, headers, footers, adverts, forms, notices or reader comments
-take no part.  Markup is repaired as browsers do: implied ends, stray ends,
+take no part.  Inside the article a name counts only for containers that look like
+noise as well, never for headings and paragraphs.  Markup is repaired as browsers do: implied ends, stray ends,
 unclosed elements, cut-off pages.  Walks keep their own stack, so depth is no limit.
 """
 
@@ -54,6 +55,10 @@ NOISE_WORDS = frozenset("""
     related recommended recommendations recommendation trending popular
     comment comments commentlist disqus discussion respond reply replies hidden skip
 """.split())
+#: Of these, the class names that tell an advert whatever it looks like, and the names of what is not shown.
+ADVERTS = frozenset("ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promoted".split())
+UNSEEN = frozenset("hidden skip".split())
+SHORT_BLOCK, FORM_TEXT = 40, 400
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 
 _token = re.compile(
@@ -65,21 +70,27 @@ _name_words = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "children", "noise", "named_noise", "points", "chars", "link_chars")
+    __slots__ = ("tag", "parent", "children", "noise", "sure_noise", "named_noise", "role_noise", "advert", "unseen",
+                 "points", "chars", "link_chars")
 
     def __init__(self, tag: str, parent: Element | None, attributes: str = ""):
         self.tag, self.parent, self.children = tag, parent, []
         self.points, self.chars, self.link_chars = 0.0, 0, 0
-        self.noise, self.named_noise = tag in NEVER_TEXT, False
+        self.noise, self.named_noise, self.role_noise, self.advert, self.unseen = tag in NEVER_TEXT, False, False, False, False
         if attributes and not self.noise:
             found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _attribute.finditer(attributes)}
             style = found.get("style", "").replace(" ", "").lower()
             names = _states.sub(" ", f"{found.get('class', '')} {found.get('id', '')}")
             words = {word.lower() for word in _name_words.findall(names)}
             self.noise = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style
-            self.named_noise = found.get("role", "").lower() in NOISE_ROLES or not words.isdisjoint(NOISE_WORDS)
+            self.role_noise = found.get("role", "").lower() in NOISE_ROLES
+            self.named_noise = self.role_noise or not words.isdisjoint(NOISE_WORDS)
+            if self.named_noise:
+                classes = {word.lower() for word in _name_words.findall(_states.sub(" ", found.get("class", "")))}
+                self.advert, self.unseen = not classes.isdisjoint(ADVERTS), not classes.isdisjoint(UNSEEN)
         if tag == "header":
-            self.named_noise = True
+            self.named_noise = self.role_noise = True
+        self.sure_noise = self.noise
 
     def above(self) -> Iterator[Element]:
         at = self.parent
@@ -148,10 +159,43 @@ def _parse(html: str) -> Element:
             opened[tag] += 1
 
 
-def _mark_noise(root: Element) -> None:
+def _sums(order: list[Element]) -> dict[int, tuple[int, int, int, int, int, bool]]:
+    """For each element: characters, those in links, those outside headings, blocks of these, named children, whether it holds a form."""
+    found: dict[int, tuple[int, int, int, int, int, bool]] = {}
+    for element in reversed(order):
+        own = sum(len(child.strip()) for child in element.children if isinstance(child, str))
+        chars, links, prose, blocks, named, form = own, 0, own, int(own > 0 and element.tag in BLOCKS), 0, element.tag == "form"
+        for child in element.children:
+            if isinstance(child, str):
+                continue
+            below = found[id(child)]
+            form = form or below[5]
+            named += child.named_noise and child.tag not in TEXT_BLOCKS
+            if not child.sure_noise:
+                chars, links = chars + below[0], links + below[1]
+                if child.tag not in HEADINGS:
+                    prose, blocks, named = prose + below[2], blocks + below[3], named + below[4]
+        found[id(element)] = chars, chars if element.tag == "a" else links, prose, blocks, named, form
+    return found
+
+
+def _looks_like_noise(element: Element, sums: tuple[int, int, int, int, int, bool]) -> bool:
+    """Whether an element with the name of noise inside the article is noise: never a heading, a paragraph or a part of one."""
+    if element.tag in TEXT_BLOCKS:
+        return False
+    if element.tag not in BLOCKS and (element.parent.tag in TEXT_BLOCKS or element.parent.tag not in BLOCKS):
+        return element.unseen
+    chars, links, prose, blocks, named, form = sums
+    return (element.advert or element.unseen or links >= 0.5 * chars or prose < SHORT_BLOCK * max(blocks, 1)
+            or form and prose < FORM_TEXT or named >= 2)
+
+
+def _mark_noise(root: Element, best: Element | None = None) -> None:
     """A name marks an element as noise unless it holds the article or the main heading.
 
-    The header of an article itself stays; ``_blocks`` takes only its headings.
+    Inside an article, ``main`` or ``best`` it must look like noise too, and link
+    lists stay unless a name or role marks them.  The header of an article itself
+    stays; ``_blocks`` takes only its headings.
     """
     order, stack = [], [root]
     while stack:
@@ -163,12 +207,22 @@ def _mark_noise(root: Element) -> None:
         if element.parent is not None and (element.tag in ("article", "main") and not element.named_noise
                                            or element.tag == "h1" and element.parent.tag != "header" or id(element) in holders):
             holders.add(id(element.parent))
+    inside: set[int] = set()
+    sums: dict[int, tuple[int, int, int, int, int, bool]] = {}
     for element in order:
+        element.noise, element.points, element.chars, element.link_chars = element.sure_noise, 0.0, 0, 0
+        around = element.parent
+        if around is not None and (id(around) in inside or around is best or around.tag in ("article", "main") and not around.named_noise):
+            inside.add(id(element))
         if element.tag == "header" and any(above.tag in ("article", "main") for above in element.above()):
             continue
-        if element.named_noise and (id(element) not in holders or element.tag == "header") and element.tag not in ("main", "body", "html"):
+        named = element.named_noise
+        if named and not element.role_noise and id(element) in inside:
+            sums = sums or _sums(order)
+            named = _looks_like_noise(element, sums[id(element)])
+        if named and (id(element) not in holders or element.tag == "header") and element.tag not in ("main", "body", "html"):
             element.noise = True
-        if element.tag in ("ul", "ol", "table") and not element.noise and id(element) not in holders:
+        if element.tag in ("ul", "ol", "table") and not element.noise and id(element) not in holders and id(element) not in inside:
             links, chars, link_chars = _link_share(element)
             element.noise = links >= 3 and link_chars >= 0.8 * chars
 
@@ -277,7 +331,15 @@ def main_text(html: str) -> str:
     blocks = _blocks(root)
     if not blocks:
         return ""
-    kept = {id(element) for element in _kept(_best(root, blocks), blocks)}
+    best = _best(root, blocks)
+    if best.tag not in ("article", "main", "body", "html") and not any(e.tag in ("article", "main") for e in best.above()):
+        while best.tag in PARTS and best.parent is not None:
+            best = best.parent
+        if best.tag not in ("body", "html"):
+            _mark_noise(root, best)
+            blocks = _blocks(root)
+            best = _best(root, blocks)
+    kept = {id(element) for element in _kept(best, blocks)}
     inside: dict[int, bool] = {}
     lines = []
     for owner, text, _ in blocks:

@@ -102,6 +102,21 @@ def test_small_pages(html, text):
     assert html_text.main_text(html) == text
 
 
+LONG = "A sentence of the article, long enough to be read as prose, and with commas."
+
+
+@pytest.mark.parametrize("around", ["article", "main", "div"])
+def test_names_inside_the_article(around):
+    links = "".join(f"<li><a href=/{n}>Reference {n}</a></li>" for n in range(4))
+    page = f"""<body><ul><li><a href=/1>Home</a><li><a href=/2>News</a><li><a href=/3>Mail</a></ul><{around}><h1>Title</h1><p>{LONG}</p><p>{LONG}</p>
+<h2 id="discussion">Discussion</h2><p class="notice">{LONG}</p><p>{LONG} <span id="search">search</span></p>
+<section id="related-work"><h3 id="search">Search</h3><p>{LONG}</p><p>{LONG}</p></section><ol>{links}</ol>
+<div class="related"><a href=/4>Other page</a> <a href=/5>One more</a></div><div class="share">Share this</div><div class="ad">{LONG}</div>
+<div class="comments"><div class="comment"><p>{LONG}</p></div><div class="comment"><p>{LONG}</p></div></div></{around}></body>"""
+    assert html_text.main_text(page).split("\n") == [
+        "Title", LONG, LONG, "Discussion", LONG, f"{LONG} search", "Search", LONG, LONG, *[f"Reference {n}" for n in range(4)]]
+
+
 def test_deep_and_long_pages():
     assert html_text.main_text("<div>" * 20_000 + "x") == "x"
     assert len(html_text.main_text("<p>" + "word " * 200_000)) == 999_999
