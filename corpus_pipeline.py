@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from resonara.llm import byte_bpe, line_dedup, mixing, near_copies, toxicity
 from resonara.workspace import new_folder, ship
 
+#: Characters of a repeated run of lines at least; blank lines and short words alone are none.
+LEAST_RUN = 15
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -28,7 +30,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less the later copies of repeated runs of lines; ``n_chars`` follows the text."""
-    found = line_dedup.line_dedup(docs)
+    found = line_dedup.line_dedup(docs, min_chars=LEAST_RUN)
     if "n_chars" not in docs.columns:
         return found
     kind = docs.schema["n_chars"].dataType

@@ -166,6 +166,15 @@ def test_stages_on_odd_rows(spark, odd, empty, labels, tmp_path):
     assert encoded.count() == odd.count()
 
 
+def test_short_boilerplate_goes(spark):
+    own = ["alpha beta gamma", "delta epsilon zeta", "eta theta iota kappa"]
+    texts = [f"{line} one\nAll rights reserved.\n\nYes\n{line} two" for line in own]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {row["doc_id"]: row["text"] for row in corpus_pipeline.drop_repeated_lines(spark, docs, "").collect()}
+    assert found[0] == texts[0]
+    assert all("All rights reserved." not in found[n] and found[n].startswith(f"{own[n]} one\n") and found[n].endswith(f"{own[n]} two") for n in (1, 2))
+
+
 def test_pipeline(spark, small_folder, small_texts):
     rows = {row["doc_id"]: row for row in corpus_pipeline.run(spark, small_folder).collect()}
     assert 0 < len(rows) < len(small_texts)
