@@ -10,9 +10,13 @@ end is found as well as a document that is a license.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from resonara.llm import license_texts
+
 #: Spellings that count as the same, as the published matching guidelines for license texts list them.
 EQUIVALENT = (
     ("acknowledgement", "acknowledgment"), ("analogue", "analog"), ("analyse", "analyze"), ("artefact", "artifact"),
@@ -62,6 +66,14 @@ _GPL2_NOTICE = _GPL3_NOTICE.replace("either version 3", "either version 2")
 KNOWN = (
     ("MIT", _MIT), ("MIT", "MIT License\n\n" + _MIT), ("MIT", "The MIT License (MIT)\n\n" + _MIT),
     ("ISC", _ISC), ("ISC", "ISC License\n\n" + _ISC),
+    ("Apache-2.0", license_texts.APACHE_2), ("Apache-2.0", license_texts.APACHE_2.split("   APPENDIX:")[0]),
+    ("GPL-2.0-only", license_texts.GPL_2), ("GPL-3.0-only", license_texts.GPL_3), ("LGPL-3.0-only", license_texts.LGPL_3),
+    ("MPL-2.0", license_texts.MPL_2), ("CC0-1.0", license_texts.CC0_1), ("BSD-3-Clause", license_texts.BSD_REGENTS),
+    *((license_id, title + re.sub(r"(?m)^\d\.", mark, text)) for license_id, title, text in (
+        ("BSD-2-Clause", "BSD 2-Clause License", license_texts.BSD_2), ("BSD-3-Clause", "BSD 3-Clause License", license_texts.BSD_3))
+      for title in ("", title + "\n\n") for mark in (r"\g<0>", "*")),
+    *((license_id, title + text) for license_id, title, text in (
+        ("Zlib", "zlib License", license_texts.ZLIB), ("Unlicense", "The Unlicense", license_texts.UNLICENSE)) for title in ("", title + "\n\n")),
     ("Apache-2.0", _APACHE_NOTICE), ("GPL-3.0-or-later", _GPL3_NOTICE), ("GPL-2.0-or-later", _GPL2_NOTICE),
 )
 #: License and the names under which short statements cite it.

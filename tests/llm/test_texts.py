@@ -68,6 +68,17 @@ def test_license_forms(spark):
         (4, "MIT", "line", 3), (4, "MIT", "paragraph", 1), (5, "Apache-2.0", "text", 0)]
 
 
+def test_full_license_texts(spark):
+    known = licenses.license_texts
+    bullets = known.BSD_3.replace("1. ", "* ").replace("2. ", "* ").replace("3. ", "* ")
+    texts = {"Apache-2.0": known.APACHE_2, "GPL-2.0-only": known.GPL_2, "GPL-3.0-only": known.GPL_3, "LGPL-3.0-only": known.LGPL_3,
+             "MPL-2.0": known.MPL_2, "CC0-1.0": known.CC0_1, "BSD-2-Clause": "Copyright (c) 2020, Some Body\n\n" + known.BSD_2,
+             "BSD-3-Clause": "BSD 3-Clause License\n\nCopyright (c) 2020, Some Body\nAll rights reserved.\n\n" + bullets,
+             "Zlib": known.ZLIB.replace("License", "Licence"), "Unlicense": known.UNLICENSE}
+    found = {(number, license_id) for number, license_id, unit, _ in findings(spark, list(texts.values())) if unit == "text"}
+    assert found == set(enumerate(texts))
+
+
 def test_license_odd_rows(spark, odd, empty):
     known = licenses.known_licenses(spark)
     assert licenses.license_scan(odd, known).count() == 0
