@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from resonara.llm import byte_bpe, fingerprints, html_text, licenses, line_dedup, mixing, near_copies, token_counts, top_search, toxicity
+from resonara.llm import (
+    byte_bpe, conversation_sql, fingerprints, html_text, licenses, line_dedup, mixing, near_copies, token_counts, top_search, toxicity, turn_repair,
+)
 from resonara.llm.common import documents, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -80,6 +82,10 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return pages.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_repair.repair_conversations(table(spark, folder, "conversations"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_byte_bpe": op2_byte_bpe,
@@ -91,6 +97,7 @@ QUERIES = {
     "op8_source_mixing": op8_source_mixing,
     "op9_top_search": op9_top_search,
     "op10_html_extraction": op10_html_extraction,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
 
@@ -123,6 +130,7 @@ def _license_sql() -> str:
 
 
 SQL: dict[str, str] = {
+    "op11_conversation_repair": conversation_sql.turn_repair_sql(),
     "op9_top_search": f"""
         with words as (
             select doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+')) as word
