@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from resonara.llm import turn_repair
+from resonara.llm import prefix_trie, turn_repair
 
 #: The reversed polynomial of crc32 and its start.
 _POLYNOMIAL, _ONES = 3988292384, 4294967295
@@ -96,3 +96,36 @@ def turn_repair_sql() -> str:
                coalesce(left(head, 8)::bigint, 0) as cost, coalesce(substr(head, 9), '') as audit,
                sha256(coalesce(substr(way, length(head) + 2), '')) as repaired_sha256
         from (select distinct conv_id, coalesce(conv_id::varchar, 'null') as key from conversations) ids left join ends using (key)"""
+
+
+def prefix_trie_sql() -> str:
+    """Every prefix as a list of turns; sums over subtrees by handing each node to all its ancestors."""
+    return f"""
+        with placed as (
+            select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+                   row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), md5(coalesce(text, ''))) as place
+            from conversations where conv_id is not null),
+        sizes as (
+            select distinct conv_id, conv_id - conv_id % {prefix_trie.STEP} as base,
+                   ({crc32("conv_id::varchar")} % {prefix_trie.BORROWED})::bigint as own from placed),
+        lent as (
+            select s.conv_id, p.place as n, p.role, p.text from sizes s join placed p on p.conv_id = s.base and p.place <= s.own),
+        turns as (
+            select * from lent union all
+            select p.conv_id, {prefix_trie.BORROWED} + p.place, p.role, p.text from placed p join sizes s using (conv_id) where p.place > s.own),
+        lists as (select conv_id, list([role, text] order by n) as turns from turns group by conv_id),
+        members as (select s.conv_id, coalesce(l.turns, []) as turns from sizes s left join lists l using (conv_id)),
+        prefixes as (select conv_id, len(turns) as size, unnest(generate_series(0, len(turns))) as depth, turns from members),
+        nodes as (
+            select turns[1:depth] as prefix, depth, min(conv_id) as conv_id, count(*) as n_convs, bool_and(size = depth) as childless,
+                   sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (size = depth), '')) as ends_sha256
+            from prefixes group by all),
+        weighed as (
+            select *, case when depth = 0 then 0 else (n_convs - 1) * strlen(prefix[depth][2]) end as saved,
+                   unnest(generate_series(0, depth)) as above from nodes),
+        sums as (
+            select prefix[1:above] as prefix, count(*) filter (childless) as n_leaves, sum(saved)::bigint as saved_tokens,
+                   count(*) filter (above = depth - 1) as n_children
+            from weighed group by prefix[1:above])
+        select n.conv_id, n.depth::bigint as depth, p.conv_id as parent_conv_id, n.n_convs, s.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+        from nodes n join sums s on s.prefix = n.prefix left join nodes p on n.depth > 0 and p.prefix = n.prefix[1:n.depth - 1]"""

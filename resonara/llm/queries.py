@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from resonara.llm import (
-    byte_bpe, conversation_sql, fingerprints, html_text, licenses, line_dedup, mixing, near_copies, token_counts, top_search, toxicity, turn_repair,
+    byte_bpe, conversation_sql, fingerprints, html_text, licenses, line_dedup, mixing, near_copies, prefix_trie, token_counts, top_search, toxicity, turn_repair,
 )
 from resonara.llm.common import documents, table
 
@@ -86,6 +86,10 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return turn_repair.repair_conversations(table(spark, folder, "conversations"))
 
 
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, folder, "conversations"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_byte_bpe": op2_byte_bpe,
@@ -98,6 +102,7 @@ QUERIES = {
     "op9_top_search": op9_top_search,
     "op10_html_extraction": op10_html_extraction,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_conversation_trie": op12_conversation_trie,
 }
 
 
@@ -131,6 +136,7 @@ def _license_sql() -> str:
 
 SQL: dict[str, str] = {
     "op11_conversation_repair": conversation_sql.turn_repair_sql(),
+    "op12_conversation_trie": conversation_sql.prefix_trie_sql(),
     "op9_top_search": f"""
         with words as (
             select doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+')) as word

@@ -7,7 +7,7 @@ import re
 import duckdb
 import pytest
 
-from resonara.llm import conversation_sql, turn_repair
+from resonara.llm import conversation_sql, prefix_trie, turn_repair
 
 SCHEMA = "conv_id long, turn long, role string, text string, `key` string, cost double"
 #: Nulls in every column, blank and long texts, ties, repeated rows, clashing names.
@@ -88,3 +88,20 @@ def test_repair_of_nothing(spark):
     gone = spark.createDataFrame([(conv, 0, "user", "Hm", None, None) for conv in range(60)], SCHEMA)
     rows = turn_repair.repair_conversations(gone).where("audit = ''").collect()
     assert rows and all(row["cost"] == 0 and row["repaired_sha256"].startswith("e3b0c442") for row in rows)
+
+
+@pytest.mark.parametrize("bounds", [{}, {"shard_conversations": 4, "shard_turns": 30, "stretch": 2}, {"stretch": 1}])
+def test_trie(spark, bounds):
+    # many conversations share turns, whole copies and ends among them
+    source = random.Random(2)
+    shared = [(conv, turn, "user" if turn % 2 == 0 else "assistant", "abc"[source.random() < 0.2], "k", 0.0)
+              for conv in range(100, 220) for turn in range(source.randint(0, 12))]
+    frame = spark.createDataFrame(ODD + random_turns(3, 30, 14) + shared, SCHEMA).repartition(3)
+    rows = prefix_trie.conversation_trie(frame, **bounds)
+    assert plain(rows) == oracle(frame, conversation_sql.prefix_trie_sql())
+    assert plain(rows.where("depth = 0").select("n_convs")) == plain(frame.selectExpr("count(distinct conv_id)"))
+
+
+def test_trie_of_nothing(spark):
+    assert prefix_trie.conversation_trie(spark.createDataFrame([], SCHEMA)).count() == 0
+    assert prefix_trie.conversation_trie(spark.createDataFrame([(None, 1, "user", "x", None, None)], SCHEMA)).count() == 0
