@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from resonara.llm import (
-    byte_bpe, conversation_sql, fingerprints, html_text, licenses, line_dedup, mixing, near_copies, prefix_trie, token_counts, top_search, toxicity, turn_repair,
+    byte_bpe, conversation_sql, fingerprints, html_text, katz, katz_sql, licenses, line_dedup, mixing, near_copies, prefix_trie, token_counts,
+    top_search, toxicity, turn_repair,
 )
 from resonara.llm.common import documents, table
 
@@ -16,6 +17,7 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 TOKEN_LIMIT = 4096
 QUERY_STEP = 20
 TOP = 10
+LANGUAGE_FOLDS, LANGUAGE_HELD_OUT = 7, 2
 
 
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -90,6 +92,12 @@ def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, folder, "conversations"))
 
 
+def op13_language_scores(spark: SparkSession, folder: str) -> DataFrame:
+    fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % LANGUAGE_FOLDS
+    found = katz.language_scores(documents(spark, folder), fold == LANGUAGE_HELD_OUT).withColumnRenamed("id", "doc_id")
+    return found.withColumns({name: F.round(name, 6) for name in ("base_score", "score")})
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_byte_bpe": op2_byte_bpe,
@@ -103,6 +111,7 @@ QUERIES = {
     "op10_html_extraction": op10_html_extraction,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_conversation_trie": op12_conversation_trie,
+    "op13_language_scores": op13_language_scores,
 }
 
 
@@ -137,6 +146,7 @@ def _license_sql() -> str:
 SQL: dict[str, str] = {
     "op11_conversation_repair": conversation_sql.turn_repair_sql(),
     "op12_conversation_trie": conversation_sql.prefix_trie_sql(),
+    "op13_language_scores": katz_sql.katz_sql(LANGUAGE_FOLDS, LANGUAGE_HELD_OUT),
     "op9_top_search": f"""
         with words as (
             select doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+')) as word
