@@ -3,15 +3,24 @@
 Features come from the text alone: densities of insult words (plain, and spelt
 with digits, symbols or gaps), how close they stand to a second person, shares of
 capitals, punctuation, digits and symbols, repeated letters and words, lengths.
-The trees learn on one part of the labelled rows, and an isotonic regression
-fitted on the other part turns their score into a probability.
+Beside the built-in words stands a lexicon that Spark learns from the labelled
+sample: words and pieces of words that stand in more toxic texts than clean ones,
+weighted by shrunken log-odds.  It serves every language that has labels.
+
+The sample is dealt into parts.  A row's lexicon features come from the other
+parts, so the trees do not trust words that only their own rows made toxic, and the
+isotonic regression that turns scores into probabilities is fitted on the scores
+that trees of the other parts give.  Trees and lexicon of all parts score the texts.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections import Counter
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
+from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +28,7 @@ from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType
 
@@ -28,10 +38,17 @@ THRESHOLD = 0.7
 SAMPLE_ROWS = 30_000
 FOLDS = 3
 HELD_OUT = 1
-CALIBRATION_SHARE = 3
-CALIBRATION_ROWS = 25
+PARTS = 3
 SEED = 17
 
+#: Lengths of the pieces of words, ends of words counted as letters.
+PIECES = (5, 7)
+#: A term is learnt if so many toxic texts, and this share of them, hold it; the most frequent ones first, up to a bound.
+LEAST_TEXTS, LEAST_SHARE, CANDIDATES = 3, 0.002, 100_000
+#: Texts of average toxicity that are added to a term's own, and the least weight that counts, as ln of odds.
+SHRINK, LEAST_WEIGHT, STRONG = 10.0, 1.0, 2.0
+CACHED_WORDS, CACHED_LETTERS = 300_000, 60
+
 #: Insults, and words of the second person, by language.
 INSULTS = """
     asshole bastard bitch clown coward creep cretin degenerate disgrace disgusting dumb dumbass fool freak garbage
@@ -51,7 +68,8 @@ LOOKALIKES = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7
 
 FEATURES = ("insults", "insult_share", "insult_kinds", "disguised", "near_you", "you_share",
             "capitals", "shouted", "punctuation", "exclamations", "symbols", "digits", "stretched",
-            "repeated_words", "words", "word_length", "doubtful")
+            "repeated_words", "words", "word_length", "doubtful",
+            "learnt", "learnt_share", "learnt_kinds", "learnt_sum", "learnt_mean", "learnt_most", "learnt_near")
 NEAR = 5
 MARKS = ".,;:?!'\"()[]{}<>%&$*#~^=+-_/|"
 
@@ -100,7 +118,35 @@ def _kinds() -> np.ndarray:
 KINDS = _kinds()
 
 
-def features(text: str, insults: frozenset[str] = _insults) -> list[float]:
+def word_terms(word: str) -> Iterator[str]:
+    """The word and its pieces, with marks at its ends."""
+    marked = f"^{word}$"
+    yield marked
+    for size in PIECES:
+        if len(marked) > size:
+            yield from (marked[at:at + size] for at in range(len(marked) - size + 1))
+
+
+class Lexicon(dict):
+    """Weight of a word: the largest that it or a piece of it has; a bounded cache over the weights of the terms."""
+
+    def __init__(self, weights: dict[str, float]):
+        super().__init__()
+        self.weights = weights
+
+    def __missing__(self, word: str) -> float:
+        weight = max(map(self.weights.get, word_terms(word), repeat(0.0)))
+        if len(word) <= CACHED_LETTERS:
+            if len(self) >= CACHED_WORDS:
+                self.clear()
+            self[word] = weight
+        return weight
+
+
+NO_WORDS = Lexicon({})
+
+
+def features(text: str, insults: frozenset[str] = _insults, learnt: Lexicon = NO_WORDS) -> list[float]:
     """The values of ``FEATURES`` for one whole text; all 0 for an empty one.
 
     Words of the lexicon outside ``insults`` count as doubtful.
@@ -117,24 +163,31 @@ def features(text: str, insults: frozenset[str] = _insults) -> list[float]:
     hits = [] if kinds_of_word.isdisjoint(insults) else [n for n, word in enumerate(words) if word in insults]
     doubtful = 0 if kinds_of_word.isdisjoint(_insults - insults) else sum(word in _insults and word not in insults for word in words)
     yous = sum(map(_you.__contains__, words))
-    near = 0
-    if hits and yous:
-        near = sum(not _you.isdisjoint(words[max(n - NEAR, 0):n + NEAR + 1]) for n in hits)
+    weights = {word: weight for word in kinds_of_word if (weight := learnt[word]) >= LEAST_WEIGHT} if learnt.weights else {}
+    strong = {word for word, weight in weights.items() if weight >= STRONG}
+    marked = [n for n, word in enumerate(words) if word in strong] if strong else []
+    near = near_learnt = 0
+    if yous:
+        near, near_learnt = (sum(not _you.isdisjoint(words[max(n - NEAR, 0):n + NEAR + 1]) for n in places) for places in (hits, marked))
     shouted = sum(len(token) > 2 and token.isupper() for token in text.split()) if kinds[2] > 0.1 * letters else 0
     return [
         float(len(hits)), 1000 * len(hits) / count, float(len({words[n] for n in hits})),
         float(_disguised(lower, tokens, stretched > 0, insults)), float(near), yous / count,
         kinds[2] / letters, shouted / count, kinds[5] / chars, lower.count("!") / chars, kinds[6] / chars, kinds[3] / chars,
         stretched / chars, 1 - len(kinds_of_word) / count, float(np.log1p(len(words))), letters / count, float(doubtful),
+        float(len(marked)), 1000 * len(marked) / count, float(len(strong)), sum(weights.values()),
+        sum(weights.values()) / max(len(kinds_of_word), 1), max(weights.values(), default=0.0), float(near_learnt),
     ]
 
 
-def feature_array(insults: frozenset[str] = _insults):
-    """Function from a text column to ``features``."""
+def feature_array(insults: frozenset[str] = _insults, weights: Sequence[dict[str, float]] = ({},)):
+    """Function from a text and the number of one of the lexicons ``weights`` to ``features``."""
     @F.arrow_udf(ArrayType(DoubleType()))
-    def values(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.array([features(value.as_py() or "", insults) for value in batch], pa.list_(pa.float64()))
+    def values(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        lexicons = [Lexicon(own) for own in weights]
+        for texts, parts in batches:
+            yield pa.array([features(text.as_py() or "", insults, lexicons[part]) for text, part in zip(texts, parts.to_pylist())],
+                           pa.list_(pa.float64()))
 
     return values
 
@@ -151,6 +204,64 @@ def fold(key: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS)).cast("int")
 
 
+def _term_counts(rows: DataFrame, candidates: dict[str, int] | None = None) -> DataFrame:
+    """``term``, ``part`` and in how many of the rows' texts it stands; only the ``candidates``, by number, if given."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter = Counter()
+        known: dict[str, list] = {}
+        for batch in batches:
+            for text, part in zip(batch["text"], batch["part"].to_pylist()):
+                own = set()
+                for word in set(_word.findall((text.as_py() or "").lower())):
+                    if word not in known:
+                        if len(known) >= CACHED_WORDS:
+                            known.clear()
+                        known[word] = [candidates[of] for of in word_terms(word) if of in candidates] if candidates else list(word_terms(word))
+                    own.update(known[word])
+                found.update((term, part) for term in own)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([term for term, _ in found], pa.int32() if candidates else pa.string()), pa.array([part for _, part in found], pa.int32()),
+             pa.array(list(found.values()), pa.int64())], ["term", "part", "texts"])
+
+    counted = rows.select("text", "part").mapInArrow(count, f"term {'int' if candidates else 'string'}, part int, texts long")
+    return counted.groupBy("term", "part").agg(F.sum("texts").alias("texts"))
+
+
+def learn_lexicons(drawn: DataFrame, sizes: dict[tuple[int, float], int]) -> list[dict[str, float]]:
+    """Weights of terms, without each part in turn and last with all.
+
+    ``drawn`` has ``text``, ``label`` and ``part``; ``sizes`` the rows by part and
+    label.  Terms are counted once per text: first in toxic texts, where a term must
+    stand often enough, then those terms in clean ones.  At most ``CANDIDATES`` terms
+    come to the driver.  A weight is the log of the odds that a text with the term is
+    toxic, over those of any text, ``SHRINK`` texts of average toxicity added.
+    """
+    toxic, clean = (sum(n for (_, label), n in sizes.items() if (label > 0.5) == wanted) for wanted in (True, False))
+    if not toxic or not clean:
+        return [{}] * (PARTS + 1)
+    by_part = _term_counts(drawn.where("label > 0.5")).groupBy("term").pivot("part", list(range(PARTS))).agg(F.sum("texts")).na.fill(0)
+    total = sum((F.col(str(part)) for part in range(1, PARTS)), F.col("0"))
+    rows = (by_part.where(total >= max(LEAST_TEXTS, LEAST_SHARE * toxic)).orderBy(total.desc(), "term").limit(CANDIDATES).toArrow())
+    terms = rows["term"].to_pylist()
+    if not terms:
+        return [{}] * (PARTS + 1)
+    held = np.zeros((2, PARTS, len(terms)))
+    held[1] = [rows[str(part)].to_numpy() for part in range(PARTS)]
+    counted = _term_counts(drawn.where("label <= 0.5"), {term: n for n, term in enumerate(terms)}).toArrow()
+    held[0, counted["part"].to_numpy(), counted["term"].to_numpy()] = counted["texts"].to_numpy()
+    lexicons = []
+    for part in range(PARTS + 1):
+        others = [of for of in range(PARTS) if of != part]
+        share = sum(sizes.get((of, 1.0), 0) for of in others) / max(sum(sizes.get((of, label), 0) for of in others for label in (0.0, 1.0)), 1)
+        if not 0 < share < 1:
+            lexicons.append({})
+            continue
+        here = held[:, others].sum(axis=1)
+        weights = np.log((here[1] + SHRINK * share) / (here[0] + SHRINK * (1 - share))) - np.log(share / (1 - share))
+        lexicons.append({terms[n]: float(weights[n]) for n in np.flatnonzero(weights >= LEAST_WEIGHT)})
+    return lexicons
+
+
 @dataclass
 class ToxicityModel:
     """``trees`` and ``calibration`` are None where the labels do not hold both classes; ``base`` is then the score."""
@@ -159,12 +270,13 @@ class ToxicityModel:
     calibration: IsotonicRegressionModel | None
     base: float
     insults: frozenset[str] = _insults
+    lexicon: dict[str, float] = field(default_factory=dict)
 
     def score(self, rows: DataFrame) -> DataFrame:
         """Replace the column ``text`` by ``score``, a probability."""
-        rows = rows.withColumn("features", feature_array(self.insults)("text")).drop("text")
         if self.trees is None:
-            return rows.withColumn("score", F.lit(self.base)).drop("features")
+            return rows.withColumn("score", F.lit(self.base)).drop("text")
+        rows = rows.withColumn("features", feature_array(self.insults, [self.lexicon])("text", F.lit(0))).drop("text")
         raw = self.trees.transform(rows.withColumn("input", array_to_vector("features")))
         margin = raw.withColumn("margin", vector_to_array("rawPrediction")[1])
         kept = [*[name for name in rows.columns if name != "features"], "margin", "score"]
@@ -188,31 +300,31 @@ def sample_labels(marks: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame
 def fit(drawn: DataFrame, trees: int = 12, depth: int = 3) -> ToxicityModel:
     """Learn from columns ``key``, ``text``, ``label``, a sample of bounded size.
 
-    The calibration is fitted on rows that the trees have not seen, if these hold
-    ``CALIBRATION_ROWS`` of either class, and else on all.  Starts Spark jobs.
+    Rows of either class are dealt evenly into ``PARTS`` by a hash of their key.
+    Calibration uses scores from trees that have not seen the row, at every size.
+    Starts Spark jobs.
     """
-    drawn = written(drawn, "drawn")
+    dealt = F.row_number().over(W.partitionBy("label").orderBy(F.xxhash64(F.lit(SEED + 1), "key"), "key", "text"))
+    drawn = written(drawn.withColumn("part", F.pmod(dealt, F.lit(PARTS)).cast("int")).repartition(drawn.sparkSession.sparkContext.defaultParallelism),
+                    "drawn")
     # words of the lexicon that mostly stand in clean texts of this corpus are ordinary words of it
     usual = (drawn.select("label", F.explode(lexicon_words("text")).alias("word")).groupBy("word")
              .agg(F.avg("label").alias("share"), F.sum(1 - F.col("label")).alias("clean")).where("clean >= 2 and share < 0.5").collect())
     insults = _insults - {row["word"] for row in usual}
-    rows = written(drawn.select("key", "label", feature_array(insults)("text").alias("features"))
-                   .withColumn("part", F.pmod(F.xxhash64(F.lit(SEED + 1), "key"), F.lit(CALIBRATION_SHARE))), "features")
-    rows = rows.withColumn("input", array_to_vector("features")).coalesce(8)
-    classes = {(row["part"] == 0, row["label"]): row["n"] for row in
-               rows.groupBy(F.expr("if(part = 0, 0, 1)").alias("part"), "label").agg(F.count("*").alias("n")).collect()}
-    positive = sum(n for (_, label), n in classes.items() if label > 0.5)
-    base = positive / max(sum(classes.values()), 1)
-    if len(classes) < 4:
+    sizes = {(row["part"], row["label"]): row["n"] for row in drawn.groupBy("part", "label").agg(F.count("*").alias("n")).collect()}
+    toxic = sum(n for (_, label), n in sizes.items() if label > 0.5)
+    base = toxic / max(sum(sizes.values()), 1)
+    if base in (0, 1):
         return ToxicityModel(None, None, base, insults)
+    lexicons = learn_lexicons(drawn, sizes)
+    rows = written(drawn.select("part", "label", feature_array(insults, lexicons)("text", "part").alias("features")), "features")
+    rows = rows.withColumn("input", array_to_vector("features")).coalesce(8)
     learner = GBTClassifier(featuresCol="input", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.3,
                             minInstancesPerNode=2, subsamplingRate=1.0, seed=SEED, cacheNodeIds=False)
-    model = learner.fit(rows.where("part != 0"))
-    apart = min(n for (held, _), n in classes.items() if held) >= CALIBRATION_ROWS
-    margins = (model.transform(rows.where("part = 0") if apart else rows)
-               .select("label", vector_to_array("rawPrediction")[1].alias("margin")))
+    unseen = [learner.fit(rows.where(F.col("part") != part)).transform(rows.where(F.col("part") == part)) for part in range(PARTS)]
+    margins = reduce(DataFrame.unionByName, unseen).select("label", vector_to_array("rawPrediction")[1].alias("margin"))
     calibration = IsotonicRegression(featuresCol="margin", labelCol="label", predictionCol="score").fit(margins)
-    return ToxicityModel(model, calibration, base, insults)
+    return ToxicityModel(learner.fit(rows), calibration, base, insults, lexicons[-1])
 
 
 def scored(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

@@ -48,6 +48,52 @@ def test_toxicity_on_held_out_rows(spark, written_texts):
     assert kept.columns == written_texts.columns and kept.where("doc_id % 5 = 0").count() == 0 and kept.count() == 720
 
 
+def test_toxicity_learns_words_of_every_language(spark):
+    source = random.Random(4)
+    syllables = {"a": "ka lo mi tu re", "b": "scho ver ung ein lich", "c": "quo ñe lla ción os", "d": "é è eau ment que"}
+    rows = []
+    for key in range(1600):
+        lang = "abcd"[key % 4]
+        own = syllables[lang].split()
+        text = ["".join(source.choices(own, k=source.randint(1, 4))) for _ in range(source.randint(20, 60))]
+        toxic = key % 7 == 0
+        if toxic:  # a family of words that no list holds, told by their beginnings
+            for _ in range(2):
+                text.insert(source.randrange(len(text)), f"{lang}zrakk" + "".join(source.choices(own, k=2)))
+        rows.append((key, " ".join(text), int(toxic), lang))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int, lang string")
+    found = {row["id"]: row for row in toxicity.toxicity(frame.select("doc_id", "text"), frame.select("doc_id", "toxic")).collect()}
+    for lang in "abcd":
+        held = [found[key] for key, _, toxic, of in rows if of == lang and toxic and found[key]["held_out"]]
+        assert len(held) > 10 and sum(row["predicted"] for row in held) >= 0.9 * len(held)
+    assert sum(found[key]["predicted"] for key, _, toxic, _ in rows if not toxic) <= 2
+
+
+def test_toxicity_of_held_out_documents(spark):
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").join(labels.select("doc_id"), "doc_id", "left_semi")
+    found = toxicity.toxicity(docs, labels).where("held_out").withColumnRenamed("id", "doc_id")
+    rows = found.join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id").collect()
+    for lang in ("en", "de", "fr", "es"):
+        toxic = [row["score"] for row in rows if row["lang"] == lang and row["toxic"]]
+        clean = [row["score"] for row in rows if row["lang"] == lang and not row["toxic"]]
+        ranked = sum((t > c) + 0.5 * (t == c) for t in toxic for c in clean) / (len(toxic) * len(clean))
+        assert ranked >= 0.95 and sum(score >= 0.7 for score in clean) <= 0.02 * len(clean)
+    assert sum(row["predicted"] for row in rows if row["toxic"]) >= 0.8 * sum(row["toxic"] for row in rows)
+
+
+def test_lexicon_leaves_out_a_rows_own_part(spark):
+    rows = [(n, "zrakkon here" if n < 9 else "other text", float(n < 9), n % 3 if n >= 9 else 0) for n in range(60)]
+    frame = spark.createDataFrame(rows, "key long, text string, label double, part int")
+    sizes = {}
+    for _, _, label, part in rows:
+        sizes[(part, label)] = sizes.get((part, label), 0) + 1
+    lexicons = toxicity.learn_lexicons(frame, sizes)
+    assert "^zrakkon$" not in lexicons[0] and all("^zrakkon$" in lexicons[n] and "^zrak" in lexicons[n] for n in (1, 2, 3))
+    assert toxicity.Lexicon(lexicons[3])["zrakka"] >= 1 and toxicity.Lexicon(lexicons[3])["other"] == 0
+
+
 def test_toxicity_odd_rows(spark, odd, empty, labels):
     rows = toxicity.toxicity(odd, labels).collect()
     assert len(rows) == odd.count() and len({row["score"] for row in rows if row["id"] in (3, 4)}) == 1
