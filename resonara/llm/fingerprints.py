@@ -19,14 +19,18 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType
+from pyspark.sql.types import BinaryType, IntegerType, StructField, StructType
 
+from resonara.llm.common import keyed_lookup
 from resonara.llm.simhash import packed, set_weights
+from resonara.workspace import written
 
 WORDS = 4
 BITS = 64 * WORDS
 TABLE_WORDS = 400_000
 WEIGHT_UNIT = 16
+NEAR_RADIUS = 3
+CELL_MEMBERS = 512
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -132,6 +136,63 @@ def _choices_after(blocks: int, agree: int, n: int, before: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, counts)), before + 1)
 
 
+def _cell_counter(radius: int, edges: list[int]):
+    """For the members of a cell, how many others within the radius first agree with them in the cell's block.
+
+    Members come in one or two parts; of two parts only pairs across them count.
+    """
+    kind = pa.list_(pa.struct([("fingerprint", pa.binary()), ("n_near", pa.int64())]))
+
+    def near(left: np.ndarray, right: np.ndarray, block: int) -> np.ndarray:
+        bits = np.bitwise_count(left.view(np.uint64)[:, None] ^ right.view(np.uint64)[None]).sum(axis=2) <= radius
+        for start, end in zip(edges[:block], edges[1:]):
+            bits &= (left[:, None, start:end] != right[None, :, start:end]).any(axis=2)
+        return bits
+
+    @F.arrow_udf("array<struct<fingerprint: binary, n_near: bigint>>")
+    def counts(blocks: pa.Array, cells: pa.Array) -> pa.Array:
+        found = []
+        for block, members in zip(blocks.to_pylist(), cells.to_pylist()):
+            parts = sorted({member["own"] for member in members})
+            left, right = ([member["fingerprint"] for member in members if member["own"] == part] for part in (parts[0], parts[-1]))
+            one, other = (np.frombuffer(b"".join(side), np.uint8).reshape(-1, BITS // 8) for side in (left, right))
+            held = near(one, other, block)
+            if len(parts) == 1:
+                np.fill_diagonal(held, False)
+                pairs = list(zip(left, held.sum(axis=1)))
+            else:
+                pairs = [*zip(left, held.sum(axis=1)), *zip(right, held.sum(axis=0))]
+            found.append([{"fingerprint": of, "n_near": int(n)} for of, n in pairs if n])
+        return pa.array(found, kind)
+
+    return counts
+
+
+def near_counts(prints: DataFrame, radius: int = NEAR_RADIUS) -> DataFrame:
+    """``fingerprint`` and ``n_near``: how many other distinct fingerprints differ in at most ``radius`` bits; none, no row.
+
+    ``prints`` has distinct fingerprints, a stored table.  Of ``radius + 1`` blocks two
+    near fingerprints agree in one at least: for each block there is a permuted
+    table that leads with it.  Only counts leave a cell of equal leads, not pairs.
+    A large cell is cut into parts, and every two of its parts meet in a task of
+    their own.  Starts Spark jobs.
+    """
+    edges = [round(BITS / 8 * n / (radius + 1)) for n in range(radius + 2)]
+    leads = F.array(*[F.struct(F.lit(n).alias("block"), F.substring("fingerprint", start + 1, end - start).alias("lead"))
+                      for n, (start, end) in enumerate(zip(edges, edges[1:]))])
+    keyed = prints.select("fingerprint", F.inline(leads))
+    sizes = written(keyed.groupBy("block", "lead").agg(F.count("*").alias("members")).where("members > 1"), "cells")
+    parts = F.ceil(F.col("members") / CELL_MEMBERS).cast("int")
+    meetings = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(F.expr(
+        "transform(sequence(0, parts - 1), p -> least(p, own) * parts + greatest(p, own))"))
+    cells = (keyed_lookup(keyed, sizes, ["block", "lead"], "members").withColumn("parts", parts)
+             .withColumn("own", F.pmod(F.xxhash64("fingerprint"), F.col("parts")).cast("int"))
+             .select("block", "lead", "own", "fingerprint", F.explode(meetings).alias("meeting"))
+             .groupBy("block", "lead", "meeting").agg(F.collect_list(F.struct("own", "fingerprint")).alias("members")))
+    return (cells.select(F.inline(_cell_counter(radius, edges)("block", "members")))
+            .groupBy("fingerprint").agg(F.sum("n_near").alias("n_near")))
+
+
 def with_next(docs: DataFrame, carried: tuple[str, ...] = (), buckets: int | None = None) -> DataFrame:
     """Each document with the text of the next one by descending id; after the last comes the first.
 
@@ -150,13 +211,15 @@ def with_next(docs: DataFrame, carried: tuple[str, ...] = (), buckets: int | Non
     cut = F.array(*map(F.lit, cuts)) if cuts else F.array().cast("array<double>")
     number = F.when(F.col("id").isNull(), len(cuts) + 1).otherwise(F.size(F.filter(cut, lambda c: c > F.col("id").cast("double"))))
     firsts = rows.select("id", number.alias("bucket")).groupBy("bucket").agg(F.max("id").alias("id")).orderBy("bucket").collect()
-    own = F.struct(number.alias("bucket"), F.lit(False).alias("lent"))
-    places = F.array(own)
-    for at, first in enumerate(firsts):  # as many as there are ranges
-        lent = F.struct(F.lit(firsts[at - 1]["bucket"]).alias("bucket"), F.lit(True).alias("lent"))
-        places = F.when(F.col("id").eqNullSafe(F.lit(first["id"])), F.array(own, lent)).otherwise(places)
+    # one row per range: to the range before it goes the first row of each, to the last that of the first
+    lent = [(first["id"], firsts[at - 1]["bucket"]) for at, first in enumerate(firsts)]
+    starts = F.broadcast(spark.createDataFrame(lent, StructType([StructField("_first", rows.schema["id"].dataType), StructField("_to", IntegerType())])))
+    rows = rows.withColumn("bucket", number).join(starts, F.col("id").eqNullSafe(F.col("_first")), "left")
+    own, other = (F.struct(F.col(name).alias("bucket"), F.lit(is_lent).alias("lent")) for name, is_lent in (("bucket", False), ("_to", True)))
+    places = F.when(F.col("_to").isNull(), F.array(own)).otherwise(F.array(own, other))
+    rows = rows.withColumn("places", places).drop("bucket", "_first", "_to").select("*", F.inline("places")).drop("places")
     order = W.partitionBy("bucket").orderBy("lent", F.col("id").desc_nulls_last(), "text")
-    return (rows.select("*", F.inline(places)).withColumns({f"next_{name}": F.lead(name).over(order) for name in fetched})
+    return (rows.withColumns({f"next_{name}": F.lead(name).over(order) for name in fetched})
             .where(~F.col("lent")).drop("bucket", "lent"))
 
 

@@ -11,6 +11,7 @@ from resonara.llm import (
     top_search, toxicity, turn_repair,
 )
 from resonara.llm.common import documents, table
+from resonara.workspace import written
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -49,15 +50,19 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     prints = fingerprints.edited_fingerprints(documents(spark, folder))
-    return prints.select(
+    rows = written(prints.select(
         F.col("id").alias("doc_id"),
         F.char_length("text").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        F.lower(F.hex("fingerprint")).alias("fingerprint"),
-        F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"),
+        "fingerprint",
+        "edited_fingerprint",
         fingerprints.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
         fingerprints.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
-    )
+    ), "prints")
+    near = fingerprints.near_counts(written(rows.select("fingerprint").distinct(), "distinct"))
+    return rows.join(near, "fingerprint", "left").select(
+        "doc_id", "n_chars", "edited_sha256", F.lower(F.hex("fingerprint")).alias("fingerprint"),
+        F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next", F.coalesce("n_near", F.lit(0)).alias("n_near"))
 
 
 def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

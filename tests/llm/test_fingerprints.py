@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -27,6 +28,8 @@ def test_edited_texts(spark, small_folder, small_texts):
         assert row["edited_fingerprint"] == fingerprints._fingerprint(edited, {}).hex()
         bits = (int(row["fingerprint"], 16) ^ int(prints[after[row["doc_id"]]], 16)).bit_count()
         assert abs(row["near_next"] - max(0.0, np.cos(np.pi * bits / fingerprints.BITS))) < 1e-9
+    values = {int(of, 16) for of in prints.values()}
+    assert all(row["n_near"] == sum(0 < (int(row["fingerprint"], 16) ^ of).bit_count() <= fingerprints.NEAR_RADIUS for of in values) for row in rows)
     near = [row["near_edited"] > row["near_next"] for row in rows]
     assert sum(near) > 0.95 * len(near)
 
@@ -49,6 +52,29 @@ def test_next_over_odd_rows(spark, odd, empty):
     assert single["edited"] == single["text"][:len(single["text"]) - half] + single["text"][:half]
 
 
+@pytest.mark.parametrize("partitions", [8, 200, 2000])
+def test_next_at_any_number_of_partitions(spark, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        rows = fingerprints.with_next(spark.range(20_000).selectExpr("id", "cast(id as string) as text")).select("text", "next_text").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert {int(row["text"]): int(row["next_text"]) for row in rows} == {n: (n - 1) % 20_000 for n in range(20_000)}
+
+
+@pytest.mark.parametrize("radius, members", [(3, 512), (3, 7), (6, 512), (0, 4)])
+def test_near_counts(spark, monkeypatch, radius, members):
+    monkeypatch.setattr(fingerprints, "CELL_MEMBERS", members)
+    source = random.Random(8)
+    base = [source.getrandbits(256) for _ in range(12)]
+    prints = {b ^ sum(1 << n for n in source.sample(range(256), source.randint(0, 4))) for b in base for _ in range(30)}
+    frame = spark.createDataFrame([(value.to_bytes(32, "big"),) for value in prints], "fingerprint binary")
+    got = {int.from_bytes(row["fingerprint"], "big"): row["n_near"] for row in fingerprints.near_counts(frame, radius).collect()}
+    want = {x: sum(x != y and (x ^ y).bit_count() <= radius for y in prints) for x in prints}
+    assert got == {x: n for x, n in want.items() if n}
+
+
 def test_within_finds_all(spark):
     source = random.Random(3)
     base = [source.getrandbits(256) for _ in range(30)]
