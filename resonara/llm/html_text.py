@@ -5,8 +5,8 @@ the elements around it, less with each level; an element's points are discounted
 by the share of its text that is link text.  The best container is kept whole
 with those siblings that read like part of it.  Elements whose tag, role or name
 marks them as menus, headers, footers, adverts, forms, notices or reader comments
-take no part.  Inside the article a name counts only for containers that look like
-noise as well, never for headings and paragraphs.  Markup is repaired as browsers do: implied ends, stray ends,
+take no part.  Inside the article a name counts only for containers that are named after
+comments or look like noise as well, never for headings and paragraphs.  Markup is repaired as browsers do: implied ends, stray ends,
 unclosed elements, cut-off pages.  Walks keep their own stack, so depth is no limit.
 """
 
@@ -53,11 +53,14 @@ NOISE_WORDS = frozenset("""
     cookie cookies consent gdpr notice notices notification popup modal overlay alert paywall
     newsletter subscribe subscription signup login register form search share sharing social
     related recommended recommendations recommendation trending popular
-    comment comments commentlist disqus discussion respond reply replies hidden skip
+    comment comments commentlist commentarea usercomments disqus discussion respond reply replies responses hidden skip
 """.split())
 #: Of these, the class names that tell an advert whatever it looks like, and the names of what is not shown.
 ADVERTS = frozenset("ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promoted".split())
 UNSEEN = frozenset("hidden skip".split())
+#: Names of readers' comments, and what stands beside them in an id that names nothing else.
+COMMENTS = frozenset("comment comments commentlist commentarea usercomments disqus respond reply replies responses".split())
+COMMENT_PARTS = COMMENTS | frozenset("user reader readers section area list thread form box container wrapper block body the".split())
 SHORT_BLOCK, FORM_TEXT = 40, 400
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 
@@ -70,13 +73,13 @@ _name_words = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "children", "noise", "sure_noise", "named_noise", "role_noise", "advert", "unseen",
+    __slots__ = ("tag", "parent", "children", "noise", "sure_noise", "named_noise", "role_noise", "advert", "unseen", "comment",
                  "points", "chars", "link_chars")
 
     def __init__(self, tag: str, parent: Element | None, attributes: str = ""):
         self.tag, self.parent, self.children = tag, parent, []
         self.points, self.chars, self.link_chars = 0.0, 0, 0
-        self.noise, self.named_noise, self.role_noise, self.advert, self.unseen = tag in NEVER_TEXT, False, False, False, False
+        self.noise, self.named_noise, self.role_noise, self.advert, self.unseen, self.comment = tag in NEVER_TEXT, False, False, False, False, False
         if attributes and not self.noise:
             found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _attribute.finditer(attributes)}
             style = found.get("style", "").replace(" ", "").lower()
@@ -88,6 +91,8 @@ class Element:
             if self.named_noise:
                 classes = {word.lower() for word in _name_words.findall(_states.sub(" ", found.get("class", "")))}
                 self.advert, self.unseen = not classes.isdisjoint(ADVERTS), not classes.isdisjoint(UNSEEN)
+                # the id of a section may be its heading, which may be about replies
+                self.comment = not classes.isdisjoint(COMMENTS) or not words.isdisjoint(COMMENTS) and (tag != "section" or words <= COMMENT_PARTS)
         if tag == "header":
             self.named_noise = self.role_noise = True
         self.sure_noise = self.noise
@@ -180,9 +185,14 @@ def _sums(order: list[Element]) -> dict[int, tuple[int, int, int, int, int, bool
 
 
 def _looks_like_noise(element: Element, sums: tuple[int, int, int, int, int, bool]) -> bool:
-    """Whether an element with the name of noise inside the article is noise: never a heading, a paragraph or a part of one."""
+    """Whether an element with the name of noise inside the article is noise: never a heading, a paragraph or a part of one.
+
+    A container named after readers' comments always is, however many or long they are.
+    """
     if element.tag in TEXT_BLOCKS:
-        return False
+        return element.tag == "li" and element.comment
+    if element.comment and element.tag in BLOCKS:
+        return True
     if element.tag not in BLOCKS and (element.parent.tag in TEXT_BLOCKS or element.parent.tag not in BLOCKS):
         return element.unseen
     chars, links, prose, blocks, named, form = sums
@@ -208,19 +218,24 @@ def _mark_noise(root: Element, best: Element | None = None) -> None:
                                            or element.tag == "h1" and element.parent.tag != "header" or id(element) in holders):
             holders.add(id(element.parent))
     inside: set[int] = set()
+    in_article: set[int] = set()
     sums: dict[int, tuple[int, int, int, int, int, bool]] = {}
     for element in order:
         element.noise, element.points, element.chars, element.link_chars = element.sure_noise, 0.0, 0, 0
         around = element.parent
         if around is not None and (id(around) in inside or around is best or around.tag in ("article", "main") and not around.named_noise):
             inside.add(id(element))
+            if around.tag == "article" and not around.named_noise or id(around) in in_article:
+                in_article.add(id(element))
         if element.tag == "header" and any(above.tag in ("article", "main") for above in element.above()):
             continue
         named = element.named_noise
         if named and not element.role_noise and id(element) in inside:
             sums = sums or _sums(order)
             named = _looks_like_noise(element, sums[id(element)])
-        if named and (id(element) not in holders or element.tag == "header") and element.tag not in ("main", "body", "html"):
+        # comments may be articles themselves, so an article inside another does not shield them
+        held = id(element) in holders and not (element.comment and id(element) in in_article)
+        if named and (not held or element.tag == "header") and element.tag not in ("main", "body", "html"):
             element.noise = True
         if element.tag in ("ul", "ol", "table") and not element.noise and id(element) not in holders and id(element) not in inside:
             links, chars, link_chars = _link_share(element)

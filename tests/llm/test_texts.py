@@ -128,6 +128,22 @@ def test_names_inside_the_article(around):
         "Title", LONG, LONG, "Discussion", LONG, f"{LONG} search", "Search", LONG, LONG, *[f"Reference {n}" for n in range(4)]]
 
 
+@pytest.mark.parametrize("around", ["article", "main", "div"])
+@pytest.mark.parametrize("number", [1, 2, 20])
+@pytest.mark.parametrize("outer, inner", [
+    ('div id="comments"', 'div class="comment"'), ('div class="comment-body"', "div"), ('div class="user-comments"', "div"), ('div class="responses"', "div"),
+    ('section id="comments"', "div"), ('section class="replies"', "article"), ('ol class="commentlist"', "li"), ("ul", 'li class="comment"'),
+    ('div id="disqus_thread"', "div"), ('div id="respond"', "div"), ("div", 'article class="comment"'), ('div class="replies"', "blockquote")])
+def test_comments_inside_the_article_go(around, number, outer, inner):
+    if inner == "article" and around != "article":
+        pytest.skip("an unnamed article outside any other is the page's")
+    tags = [tag.split()[0] for tag in (outer, inner)]
+    comments = "".join(f"<{inner}><p>{LONG}</p><p>{LONG} Really, {n}.</p></{tags[1]}>" for n in range(number))
+    page = f"""<body><{around}><h1>Title</h1><p>{LONG}</p><section id="reply-to-critics"><h2 id="replies">Replies</h2><p class="comment">{LONG}</p></section>
+<p>{LONG}</p><{outer}>{comments}</{tags[0]}></{around}></body>"""
+    assert html_text.main_text(page).split("\n") == ["Title", LONG, "Replies", LONG, LONG]
+
+
 def test_deep_and_long_pages():
     assert html_text.main_text("<div>" * 20_000 + "x") == "x"
     assert len(html_text.main_text("<p>" + "word " * 200_000)) == 999_999
