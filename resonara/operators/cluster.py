@@ -44,13 +44,13 @@ def _local(centres: DataFrame, cluster: str, local_bytes: int) -> pd.DataFrame |
 
 def _listed(matrix: np.ndarray, labels: np.ndarray, kept: int, cluster_type: T.DataType):
     """UDF: the ``kept`` nearest centres, nearest first, measured exactly, ties by label."""
-    entry = T.StructType([T.StructField("cluster", cluster_type), T.StructField("distance_sq", T.DoubleType())])
+    entry = T.StructType([T.StructField("cluster", T.ArrayType(cluster_type)), T.StructField("distance_sq", T.ArrayType(T.DoubleType()))])
 
-    @F.pandas_udf(T.ArrayType(entry))
-    def closest(vectors: pd.Series) -> pd.Series:
+    @F.pandas_udf(entry)
+    def closest(vectors: pd.Series) -> pd.DataFrame:
         x = np.stack(vectors.to_list()).astype(np.float64)
-        return pd.Series([[{"cluster": labels[j], "distance_sq": d} for j, d in zip(picks, away)]
-                          for _, picks, away in nearest_rows(x, matrix, kept)])
+        found = [(labels[picks], away) for _, picks, away in nearest_rows(x, matrix, kept)]
+        return pd.DataFrame(found, columns=["cluster", "distance_sq"])
 
     return closest
 
@@ -71,7 +71,8 @@ def _nearest(queries: DataFrame, centres: DataFrame, kept: int, local_bytes: int
                               F.lit(None).cast("double").alias("distance_sq")).limit(0)
     matrix = np.stack(local["embedding"].to_list()).astype(np.float64)
     closest = _listed(matrix, local["cluster"].to_numpy(), min(kept, len(local)), named.schema["cluster"].dataType)
-    return queries.select("query_id", F.inline(closest("embedding")))
+    listed = queries.select("query_id", closest("embedding").alias("_near"))
+    return listed.select("query_id", F.inline(F.arrays_zip("_near.cluster", "_near.distance_sq")))
 
 
 def nearest_centroid(df: DataFrame, centres: DataFrame, *, item_id: str = "item_id", vector: str = "embedding",
@@ -79,10 +80,16 @@ def nearest_centroid(df: DataFrame, centres: DataFrame, *, item_id: str = "item_
     """Add the nearest cluster and the squared distance to its centroid.
 
     Used for unseen vectors with stored centroids; nothing is refitted.  Ties go to
-    the smaller label; rows without a vector are left out.  Ids are unique.
+    the smaller label; rows without a vector are left out.  Few centres travel to the
+    rows, which then stay where they are; many are joined by id, which must be unique.
     """
-    named = centres.select(F.col(cluster).alias("cluster"), "embedding")
+    named = centres.select(F.col(cluster).alias("cluster"), "embedding").where(F.col("embedding").isNotNull())
     others = [c for c in df.columns if c != cluster]
+    local = _local(named, "cluster", local_bytes)
+    if local is not None and len(local):
+        closest = _listed(np.stack(local["embedding"].to_list()).astype(np.float64), local["cluster"].to_numpy(), 1, named.schema["cluster"].dataType)
+        return present(df, vector).withColumn("_near", closest(vector)).select(
+            *others, F.get("_near.cluster", F.lit(0)).alias(cluster), F.get("_near.distance_sq", F.lit(0)).alias("centroid_distance_sq"))
     asked = df.select(F.col(item_id).alias("query_id"), F.col(vector).alias("embedding"))
     near = _nearest(asked, named, 1, local_bytes).select(
         F.col("query_id").alias(item_id), F.col("cluster").alias(cluster), F.col("distance_sq").alias("centroid_distance_sq"))
@@ -102,6 +109,14 @@ def cluster_visits(corpus: DataFrame, queries: DataFrame, centres: DataFrame, n:
     n, not by the cluster count.
     """
     sizes = present(corpus, vector).groupBy(F.col(cluster).alias("cluster")).agg(F.count("*").alias("size"))
+    return visits_by_size(sizes, queries, centres, n, cluster=cluster, query_id=query_id, vector=vector, local_bytes=local_bytes,
+                          among_items=among_items)
+
+
+def visits_by_size(sizes: DataFrame, queries: DataFrame, centres: DataFrame, n: int, *, cluster: str = "cluster",
+                   query_id: str = "query_id", vector: str = "embedding", local_bytes: int = MAX_LOCAL_BYTES,
+                   among_items: bool = True) -> DataFrame:
+    """``cluster_visits`` where the clusters' sizes (``cluster, size``, filled ones only) are known."""
     own = present(queries, vector).select(F.col(query_id).alias("query_id"), F.col(cluster).alias("_own"), F.col(vector).alias("embedding"))
     filled = centres.select(F.col(cluster).alias("cluster"), "embedding").join(sizes, "cluster", "left_semi")
     near = _nearest(own.select("query_id", "embedding"), filled, n + 1, local_bytes)
