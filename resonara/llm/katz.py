@@ -19,6 +19,7 @@ and of one unknown word sum to 1 after every context.  Blocks then walk from ord
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from math import ceil
 
 import numpy as np
@@ -28,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from resonara.llm.common import bucketed
 from resonara.workspace import written
 
 ORDER = 2
@@ -50,6 +52,14 @@ def _unpacked(data: bytes, kind: type, size: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(-1, size).T).view(kind).ravel()
 
 
+@dataclass
+class Tallies:
+    """By order, the tally of its n-grams (see ``_add_counts``); and the number of texts learnt from."""
+
+    of: dict[int, list[int]]
+    texts: int
+
+
 class _Numbers(dict):
     """Words in the order in which they first come."""
 
@@ -130,6 +140,10 @@ class Block:
             self.context[n] = context
             before, last = np.roll(key, 1), self.index[n]
 
+    def times(self, n: int, counts: np.ndarray, texts: int) -> np.ndarray:
+        """How often each of ``contexts(n)`` has been followed, from the counts of order n - 1."""
+        return np.insert(counts, self.starts, texts) if n == 2 else counts
+
     def contexts(self, n: int) -> np.ndarray:
         return np.insert(self.keys[1], self.starts, BEFORE) if n == 2 else self.keys[n - 1]
 
@@ -149,9 +163,12 @@ def _mixed(values: np.ndarray) -> np.ndarray:
 _ASK = pa.schema([("level", pa.int32()), ("part", pa.int32()), ("block", pa.int64()), ("size", pa.int32()), ("keys", pa.binary()),
                   ("amounts", pa.list_(pa.binary()))])
 _ASK_DDL = "level int, part int, block long, size int, keys binary, amounts array<binary>"
-_REPLY = pa.schema([("level", pa.int32()), ("part", pa.int32()), ("block", pa.int64()), ("size", pa.int32()), ("sums", pa.list_(pa.binary())),
-                    ("owned", pa.binary()), ("tally", pa.list_(pa.int64()))])
-_REPLY_DDL = "level int, part int, block long, size int, sums array<binary>, owned binary, tally array<bigint>"
+_REPLY = pa.schema([("level", pa.int32()), ("part", pa.int32()), ("block", pa.int64()), ("size", pa.int32()), ("values", pa.list_(pa.binary())),
+                    ("tally", pa.list_(pa.int64()))])
+_REPLY_DDL = "level int, part int, block long, size int, values array<binary>, tally array<bigint>"
+#: What is asked and answered of n-grams, and of contexts: their times, kinds of followers by count, lower mass, whether the weight is needed.
+_COUNTS, _COUNTED = (np.int64,), (np.int64, np.uint8)
+_CONTEXTS, _WEIGHED = (*[np.int64] * (1 + DISCOUNTED), np.float64, np.uint8), (np.float64, np.uint8)
 
 
 def _asked(level: int, block: int, keys: np.ndarray, amounts: Sequence[np.ndarray], parts: int) -> list[tuple]:
@@ -166,39 +183,60 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.table([pa.array([row[n] for row in rows], field.type) for n, field in enumerate(schema)], schema=schema)
 
 
-def _answers(kind: type):
-    """Function that adds up the amounts of a part's keys over all blocks and answers each in its own order.
+def _merged(table: pa.Table, kinds: Sequence[type]) -> tuple[list[dict], list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """A part's requests by block, their amounts end to end, its distinct keys' first and their number at every request's place."""
+    rows = sorted(table.to_pylist(), key=lambda row: row["block"])
+    keys = np.concatenate([_unpacked(row["keys"], np.uint64, row["size"]) for row in rows])
+    amounts = [np.concatenate([_unpacked(row["amounts"][n], kind, row["size"]) for row in rows]) for n, kind in enumerate(kinds)]
+    unique, first, at = np.unique(keys, return_index=True, return_inverse=True)
+    return rows, amounts, unique, first, at
+
+
+def _answered(rows: list[dict], values: Sequence[np.ndarray], tally: list[int] | None = None) -> pa.Table:
+    """Each block's stretch of the values, which lie end to end; the first row carries the tally."""
+    found, end = [], 0
+    for row in rows:
+        start, end = end, end + row["size"]
+        found.append((row["level"], row["part"], row["block"], row["size"], [_packed(of[start:end]) for of in values], tally if start == 0 else None))
+    return _table(found, _REPLY)
+
+
+def _add_counts(table: pa.Table) -> pa.Table:
+    """Add up a part's counts over all blocks; answer each block its keys' sums, and which of them it sent first.
 
-    ``owned`` marks the keys that the block sent first.  The first row's ``tally`` has
-    the sum, the number of keys above 0, and how many of them sum to 1, 2, ...
+    The tally is the sum, the number of keys above 0, and how many of them sum to 1, 2, ...
     """
-    def answer(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda row: row["block"])
-        keys = np.concatenate([_unpacked(row["keys"], np.uint64, row["size"]) for row in rows])
-        unique, first, at = np.unique(keys, return_index=True, return_inverse=True)
-        sums = []
-        for n in range(len(rows[0]["amounts"])):
-            amounts = np.concatenate([_unpacked(row["amounts"][n], kind, row["size"]) for row in rows])
-            sums.append(np.bincount(at, amounts, len(unique)).astype(kind))
-        owned = np.zeros(len(keys), np.uint8)
-        owned[first] = 1
-        seen = np.bincount(np.minimum(sums[0], DISCOUNTED + 2).astype(np.int64), minlength=DISCOUNTED + 3)
-        tally = [int(sums[0].sum()), int(seen[1:].sum()), *map(int, seen[1:DISCOUNTED + 2])]
-        found, end = [], 0
-        for row in rows:
-            start, end = end, end + row["size"]
-            found.append((row["level"], row["part"], row["block"], row["size"], [_packed(of[at[start:end]]) for of in sums],
-                          _packed(owned[start:end]), tally if start == 0 else None))
-        return _table(found, _REPLY)
-
-    return answer
-
-
-def _joined(rows: list[dict], level: int, kind: type) -> tuple[list[np.ndarray], np.ndarray]:
-    """The sums of a level in the order of the block's keys, and which of them it owns."""
-    own = sorted((row for row in rows if row["level"] == level), key=lambda row: row["part"])
-    sums = [np.concatenate([_unpacked(row["sums"][n], kind, row["size"]) for row in own]) for n in range(len(own[0]["sums"]))]
-    return sums, np.concatenate([_unpacked(row["owned"], np.uint8, row["size"]) for row in own]).astype(bool)
+    rows, (counts,), unique, first, at = _merged(table, _COUNTS)
+    sums = np.bincount(at, counts, len(unique)).astype(np.int64)
+    owned = np.zeros(len(at), np.uint8)
+    owned[first] = 1
+    seen = np.bincount(np.minimum(sums, DISCOUNTED + 2), minlength=DISCOUNTED + 3)
+    return _answered(rows, [sums[at], owned], [int(sums.sum()), int(seen[1:].sum()), *map(int, seen[1:DISCOUNTED + 2])])
+
+
+def _weigh_contexts(kept: np.ndarray):
+    """Function that adds up what a part's contexts were followed by and answers the backoff weights asked for.
+
+    A context none of whose followers is discounted counts once more, so that some
+    mass is left for others; the second value marks it.
+    """
+    def weigh(table: pa.Table) -> pa.Table:
+        rows, amounts, unique, _, at = _merged(table, _CONTEXTS)
+        times, *kinds, lower = (np.bincount(at, of, len(unique)) for of in amounts[:-1])
+        lost = sum((r * (1 - kept[r]) * of for r, of in enumerate(kinds, 1)), np.zeros(len(unique)))
+        lifted = (times > 0) & (lost == 0)
+        total = times + lifted
+        weight = np.where(times > 0, (lost + lifted) / np.maximum(total, 1) / (1 - lower), 1.0)
+        return _answered(rows, [np.where(amounts[-1] > 0, weight[at], 0.0), lifted[at].astype(np.uint8)])
+
+    return weigh
+
+
+def _joined(rows: list[dict], kind: str, level: int) -> list[np.ndarray]:
+    """The answers of one kind and level in the order of the block's keys."""
+    own = sorted((row for row in rows if row["kind"] == kind and row["level"] == level), key=lambda row: row["part"])
+    kinds = _COUNTED if kind == "count" else _WEIGHED
+    return [np.concatenate([_unpacked(row["values"][n], of, row["size"]) for row in own]) for n, of in enumerate(kinds)]
 
 
 def discounts(tally: Sequence[int]) -> np.ndarray:
@@ -223,43 +261,42 @@ def discounts(tally: Sequence[int]) -> np.ndarray:
     return kept
 
 
-def _probabilities(block: Block, order: int, counts: list[dict], contexts: list[dict], tallies: dict[int, list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def _probabilities(block: Block, order: int, replies: list[dict], model: Tallies) -> tuple[np.ndarray, np.ndarray]:
     """Probability of every token by the model up to ``order``, and the words' counts at it."""
-    tally = tallies[1]
-    kept = discounts(tally[2:])
-    mass = tally[0] - sum(r * tally[1 + r] * (1 - kept[r]) for r in range(1, DISCOUNTED + 1))
-    total = tally[0] + (mass == tally[0])  # where no count is discounted, one more occurrence leaves some for the unknown
-    (held,), _ = _joined(counts, 1, np.int64)
-    count = held[block.index[1]]
-    found = np.where(count > 0, kept[np.minimum(count, DISCOUNTED + 1)] * count / total, 1 - mass / total)
+    tally, kept = model.of[1], discounts(model.of[1][2:])
+    lost = sum(r * tally[1 + r] * (1 - kept[r]) for r in range(1, DISCOUNTED + 1))
+    total = tally[0] + (lost == 0)  # where no count is discounted, one more occurrence leaves some for the unknown
+    lower, _ = _joined(replies, "count", 1)
+    count = lower[block.index[1]]
+    found = np.where(count > 0, kept[np.minimum(count, DISCOUNTED + 1)] * count / total, (lost + (lost == 0)) / total)
     for n in range(2, order + 1):
-        kept = discounts(tallies[n][2:])
-        (held,), _ = _joined(counts, n, np.int64)
+        kept = discounts(model.of[n][2:])
+        held, _ = _joined(replies, "count", n)
+        weight, lifted = _joined(replies, "context", n)
         here = block.index[n] >= 0
         seen, before = held[block.index[n][here]], block.context[n][here]
-        (times, mass, lower), _ = _joined(contexts, n, np.float64)
-        total = times + (mass == times)
-        weight = np.where(times > 0, (1 - mass / total) / (1 - lower), 1.0)
+        total = np.maximum(block.times(n, lower, model.texts) + lifted, 1)
         found[here] = np.where(seen > 0, kept[np.minimum(seen, DISCOUNTED + 1)] * seen / total[before], weight[before] * found[here])
+        lower = held
     return found, count
 
 
-def _sum_contexts(n: int, parts: int, tallies: dict[int, list[int]]):
-    """Function from a block and its replies to what its own n-grams add to their contexts."""
-    kept = discounts(tallies[n][2:])
-
+def _ask_contexts(n: int, parts: int, model: Tallies):
+    """Function from a block and its replies to what its own n-grams add to their contexts, and which weights it needs."""
     def ask(blocks: pa.Table, replies: pa.Table) -> pa.Table:
         row, rows = blocks.to_pylist()[0], replies.to_pylist()
         block = Block(row, n)
-        counts, contexts = ([reply for reply in rows if reply["kind"] == kind] for kind in ("count", "context"))
-        (held,), owned = _joined(counts, n, np.int64)
-        lower, _ = _probabilities(block, n - 1, counts, contexts, tallies)
+        held, owned = _joined(rows, "count", n)
+        lower, _ = _probabilities(block, n - 1, rows, model)
+        here = np.flatnonzero(block.index[n] >= 0)
         place = np.zeros(len(held), np.int64)
-        place[block.index[n][block.index[n] >= 0]] = np.flatnonzero(block.index[n] >= 0)
-        own = np.flatnonzero(owned & (held > 0))
-        of, times = block.context[n][place[own]], held[own].astype(float)
-        keys = block.contexts(n)
-        amounts = [np.bincount(of, values, len(keys)) for values in (times, kept[np.minimum(held[own], DISCOUNTED + 1)] * times, lower[place[own]])]
+        place[block.index[n][here]] = here
+        own = np.flatnonzero((owned > 0) & (held > 0))
+        of, times, keys = block.context[n][place[own]], held[own], block.contexts(n)
+        needed = np.zeros(len(keys), np.uint8)
+        needed[block.context[n][here[held[block.index[n][here]] == 0]]] = 1
+        amounts = [np.bincount(of, times, len(keys)).astype(np.int64), *(np.bincount(of[times == r], minlength=len(keys)) for r in range(1, DISCOUNTED + 1)),
+                   np.bincount(of, lower[place[own]], len(keys)), needed]
         return _table(_asked(n, row["block"], keys, amounts, parts), _ASK)
 
     return ask
@@ -268,14 +305,12 @@ def _sum_contexts(n: int, parts: int, tallies: dict[int, list[int]]):
 _SCORES = ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
 
-def _score(order: int, tallies: dict[int, list[int]]):
-    tokens, kinds = tallies[1][0], tallies[1][1]
+def _score(order: int, model: Tallies):
+    tokens, kinds = model.of[1][:2]
 
     def score(blocks: pa.Table, replies: pa.Table) -> pa.Table:
-        row, rows = blocks.select(["sizes", "held", "words", "tokens", "n_words", "n_tokens"]).to_pylist()[0], replies.to_pylist()
-        block = Block(row, order)
-        counts, contexts = ([reply for reply in rows if reply["kind"] == kind] for kind in ("count", "context"))
-        found, count = _probabilities(block, order, counts, contexts, tallies)
+        block = Block(blocks.drop_columns("ids").to_pylist()[0], order)
+        found, count = _probabilities(block, order, replies.to_pylist(), model)
         starts = np.cumsum(block.sizes) - block.sizes
         per_text = [block.sizes.astype(np.int64), np.add.reduceat((count > 0).astype(np.int64), starts), np.full(len(starts), tokens),
                     np.add.reduceat(np.log10((count + 1) / (tokens + kinds + 1)), starts), np.add.reduceat(np.log10(found), starts)]
@@ -296,27 +331,30 @@ def language_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     Words and n-grams are told apart by 64-bit hashes.  Starts Spark jobs.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    blocks = written(_blocks(rows, block_tokens), "blocks")
-    size = blocks.agg(F.sum("n_tokens")).first()[0] or 0
-    parts = max(1, ceil(size / part_tokens))
+    blocks = bucketed(_blocks(rows, block_tokens), "blocks", "block")
+    learnt = F.aggregate("held", F.lit(0).cast("long"), lambda total, apart: total + (~apart).cast("long"))
+    size = blocks.agg(F.sum("n_tokens").alias("tokens"), F.sum(learnt).alias("texts")).first()
+    parts = max(1, ceil((size["tokens"] or 0) / part_tokens))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 block = Block(row, order)
-                asked = [of for n in range(1, order + 1) for of in _asked(n, row["block"], block.keys[n], [block.counts(n)], parts)]
-                yield from _table(asked, _ASK).to_batches()
+                for n in range(1, order + 1):
+                    yield from _table(_asked(n, row["block"], block.keys[n], [block.counts(n)], parts), _ASK).to_batches()
 
     table = blocks.drop("ids")
     asked = table.mapInArrow(ask, _ASK_DDL).groupBy("level", "part")
-    replies = written(asked.applyInArrow(_answers(np.int64), _REPLY_DDL).withColumn("kind", F.lit("count")), "counts")
+    replies = written(asked.applyInArrow(_add_counts, _REPLY_DDL).withColumn("kind", F.lit("count")), "counts")
     cells = [F.sum(F.col("tally")[n]).alias(f"t{n}") for n in range(DISCOUNTED + 3)]
-    tallies = {n: [0] * (DISCOUNTED + 3) for n in range(1, order + 1)}
-    tallies |= {row["level"]: [row[f"t{n}"] for n in range(DISCOUNTED + 3)] for row in replies.groupBy("level").agg(*cells).collect()}
+    model = Tallies({n: [0] * (DISCOUNTED + 3) for n in range(1, order + 1)}, size["texts"] or 0)
+    for row in replies.where("tally is not null").groupBy("level").agg(*cells).collect():
+        model.of[row["level"]] = [row[f"t{n}"] for n in range(DISCOUNTED + 3)]
+    replies = replies.drop("tally")
     for n in range(2, order + 1):
-        sums = (table.groupBy("block").cogroup(replies.where(F.col("level") <= n).groupBy("block")).applyInArrow(_sum_contexts(n, parts, tallies), _ASK_DDL)
-                .groupBy("level", "part").applyInArrow(_answers(np.float64), _REPLY_DDL).withColumn("kind", F.lit("context")))
-        replies = replies.unionByName(written(sums, "contexts"))
+        asked = table.groupBy("block").cogroup(replies.where(F.col("level") <= n).groupBy("block")).applyInArrow(_ask_contexts(n, parts, model), _ASK_DDL)
+        weights = asked.groupBy("level", "part").applyInArrow(_weigh_contexts(discounts(model.of[n][2:])), _REPLY_DDL)
+        replies = replies.unionByName(written(weights.drop("tally").withColumn("kind", F.lit("context")), "contexts"))
     schema = (f"id {rows.schema['id'].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
               "base_score double, score double")
-    return blocks.groupBy("block").cogroup(replies.drop("tally").groupBy("block")).applyInArrow(_score(order, tallies), schema)
+    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_score(order, model), schema)
