@@ -47,7 +47,7 @@ PIECES = (5, 7)
 LEAST_TEXTS, LEAST_SHARE, CANDIDATES = 3, 0.002, 100_000
 #: Texts of average toxicity that are added to a term's own, and the least weight that counts, as ln of odds.
 SHRINK, LEAST_WEIGHT, STRONG = 10.0, 1.0, 2.0
-CACHED_WORDS, CACHED_LETTERS = 300_000, 60
+CACHED_WORDS, CACHED_LETTERS = 600_000, 60
 
 #: Insults, and words of the second person, by language.
 INSULTS = """
@@ -118,13 +118,14 @@ def _kinds() -> np.ndarray:
 KINDS = _kinds()
 
 
-def word_terms(word: str) -> Iterator[str]:
+def word_terms(word: str) -> list[str]:
     """The word and its pieces, with marks at its ends."""
     marked = f"^{word}$"
-    yield marked
+    terms, letters = [marked], len(marked)
     for size in PIECES:
-        if len(marked) > size:
-            yield from (marked[at:at + size] for at in range(len(marked) - size + 1))
+        if letters > size:
+            terms += [marked[at:at + size] for at in range(letters - size + 1)]
+    return terms
 
 
 class Lexicon(dict):
@@ -216,7 +217,7 @@ def _term_counts(rows: DataFrame, candidates: dict[str, int] | None = None) -> D
                     if word not in known:
                         if len(known) >= CACHED_WORDS:
                             known.clear()
-                        known[word] = [candidates[of] for of in word_terms(word) if of in candidates] if candidates else list(word_terms(word))
+                        known[word] = [candidates[of] for of in word_terms(word) if of in candidates] if candidates else word_terms(word)
                     own.update(known[word])
                 found.update((term, part) for term in own)
         yield pa.RecordBatch.from_arrays(
