@@ -12,8 +12,10 @@ from resonara.operators.cluster import centroids
 from resonara.plans import catalogue_growth as G
 from resonara.plans import recommend as REC
 from resonara.plans.collection_map import collection_map as build_map
+from resonara.plans.serving_index import build_index
 from resonara.sources.writers import json_rows, new_rows
 from resonara.streaming import jobs as J
+from resonara.streaming.reading import read_once
 from resonara.workspace import new_folder, written
 
 N = 5
@@ -199,29 +201,57 @@ def stream_ratings(spark, sf):
     return _shown_ratings(J.counted_ratings(spark, f"{path}/table", arriving.schema))
 
 
-def stream_requests(spark, sf):
-    """Every event is a request for the item named by the user's key; error events
-    carry a bad link."""
-    path = new_folder(spark, "stream-requests")
-    collection = _collection(spark, sf)
-    names = written(collection.items.select(F.col("item_id").alias("user_id"), "artist", "song"), "names")
-    events = _event_stream(spark, sf)
+def _asked(spark, sf, names):
+    """Every event is a request for the item named by the user's key; error events carry a bad link."""
     video = F.concat(F.lit("https://youtu.be/"), F.substring(F.md5(F.col("event_id").cast("string")), 1, 11))
-    asked = events.join(names, "user_id", "left").select(
+    return _event_stream(spark, sf).join(names, "user_id", "left").select(
         F.concat(F.lit("e"), "event_id").alias("request_id"),
         F.when(F.col("event_type") != "error", video).otherwise("https://example.com/a").alias("url"), "artist", "song")
-    _finish(J.serve_requests(asked, collection, f"{path}/table", f"{path}/state", n=N))
-    answers = J.results(spark, f"{path}/table")
-    return answers.select("request_id", "status", F.coalesce("error", F.lit("-")).alias("error"),
+
+
+def _served(spark, sf, indexed):
+    path = new_folder(spark, "stream-requests")
+    collection = _collection(spark, sf)
+    names = written(collection.items.select(F.col("item_id").alias("user_id"), "artist", "song"), "names")
+    searched = build_index(collection, f"{path}/index", cell_rows=256) if indexed else collection
+    _finish(J.serve_requests(_asked(spark, sf, names), searched, f"{path}/table", f"{path}/state", n=N))
+    return path
+
+
+def _shown_answers(answers, *extra):
+    return answers.select(*extra, "request_id", "status", F.coalesce("error", F.lit("-")).alias("error"),
                           F.coalesce("video_id", F.lit("-")).alias("video_id"),
                           F.coalesce("rank", F.lit(0)).alias("rank"), F.coalesce("item_id", F.lit(-1)).alias("item_id"),
                           F.coalesce("similarity", F.lit("-")).alias("similarity"))
 
 
+def stream_requests(spark, sf):
+    path = _served(spark, sf, indexed=False)
+    return _shown_answers(J.results(spark, f"{path}/table"))
+
+
+def stream_requests_indexed(spark, sf):
+    """The same rows from the stored index."""
+    path = _served(spark, sf, indexed=True)
+    return _shown_answers(J.results(spark, f"{path}/table"))
+
+
+def stream_read_once(spark, sf):
+    """Every request is read twice, and once under a name that nobody asked with."""
+    path = _served(spark, sf, indexed=True)
+    reads = _event_stream(spark, sf).select(F.explode(F.array(
+        F.struct(F.concat(F.lit("e"), "event_id").alias("request_id"), F.lit(1).alias("read_id")),
+        F.struct(F.concat(F.lit("e"), "event_id").alias("request_id"), F.lit(2).alias("read_id")),
+        F.struct(F.concat(F.lit("x"), "event_id").alias("request_id"), F.lit(1).alias("read_id")))).alias("read")).select("read.*")
+    _finish(read_once(J.results_stream(spark, f"{path}/table"), reads, f"{path}/handed", f"{path}/handed-state"))
+    return _shown_answers(spark.read.parquet(f"{path}/handed"), "read_id")
+
+
 QUERIES = {f.__name__: f for f in (
     recommend_items, recommend_errors, recommend_coordinates, recommend_by_link, link_errors, recommend_unseen,
     request_statuses, link_metadata, collection_map, catalogue_growth,
-    language_report, stream_ingest, batch_ingest, ratings_daily, stream_ratings, stream_requests)}
+    language_report, stream_ingest, batch_ingest, ratings_daily, stream_ratings, stream_requests,
+    stream_requests_indexed, stream_read_once)}
 
 _COLLECTION = f"""
 named as (select vec_id as item_id, p_brand as artist, p_name as song, embedding::double[] as e,
@@ -259,6 +289,17 @@ _ASKED = """
 asked as (select 'l' || p_partkey as request_id, substr(md5(p_partkey::varchar), 1, 11) as video, p_size > 45 as bad from part),
 found as (select request_id, min(item_id) as query_id from asked left join coll on not bad and video_id = video group by 1)
 """
+_REQUESTS_SQL = f"""
+with {_COLLECTION}, {_NEAR},
+ev as (select 'e' || event_id as request_id, event_type, substr(md5(event_id::varchar), 1, 11) as video, k
+  from events left join coll on coll.item_id = user_id),
+good as (select request_id, video, first.item_id as query_id from ev left join first using (k) where event_type <> 'error')
+select request_id, 'error' as status, 'invalid' as error, '-' as video_id, 0::int as rank, -1::bigint as item_id, '-' as similarity
+from ev where event_type = 'error'
+union all select request_id, 'error', 'query not found', video, 0, -1, '-' from good where query_id is null
+union all select request_id, 'completed', '-', video, rank::int, near.item_id, {_PERCENT}
+from good join near using (query_id)"""
+
 SQL = {
     "recommend_by_link": f"""
 with {_LINKED}, {_NEAR}, {_ASKED}
@@ -310,14 +351,9 @@ from texts join part on p_partkey = texts.id left join p on p.id = texts.id and
     "batch_ingest": _INGEST,
     "ratings_daily": _RATINGS,
     "stream_ratings": _RATINGS,
-    "stream_requests": f"""
-with {_COLLECTION}, {_NEAR},
-ev as (select 'e' || event_id as request_id, event_type, substr(md5(event_id::varchar), 1, 11) as video, k
-  from events left join coll on coll.item_id = user_id),
-good as (select request_id, video, first.item_id as query_id from ev left join first using (k) where event_type <> 'error')
-select request_id, 'error' as status, 'invalid' as error, '-' as video_id, 0::int as rank, -1::bigint as item_id, '-' as similarity
-from ev where event_type = 'error'
-union all select request_id, 'error', 'query not found', video, 0, -1, '-' from good where query_id is null
-union all select request_id, 'completed', '-', video, rank::int, near.item_id, {_PERCENT}
-from good join near using (query_id)""",
+    "stream_requests": _REQUESTS_SQL,
+    "stream_requests_indexed": _REQUESTS_SQL,
+    "stream_read_once": f"""
+select 1::bigint as read_id, * from ({_REQUESTS_SQL})
+union all select 1, 'x' || event_id, 'processing', '-', '-', 0, -1, '-' from events""",
 }

@@ -342,6 +342,14 @@ def knn_in_cluster(corpus: DataFrame, queries: DataFrame, k: int, *, cluster: st
     return _finish(_best(found, k), metric)
 
 
+def search_cells(corpus: DataFrame, queries: DataFrame, k: int, *, skip_self: bool = True, block_rows: int | None = None) -> DataFrame:
+    """``query_id, item_id, distance_sq, cell_rank``: up to k nearest of each query in each cell it is listed with.
+
+    ``corpus`` has ``item_id, vector, cell``, ``queries`` has ``query_id, vector, cell, cell_rank``; stored tables.
+    """
+    return _block_join(corpus, queries, k, "l2", skip_self, block_rows)
+
+
 def knn_widen(corpus: DataFrame, queries: DataFrame, visits: DataFrame, n: int, *,
               cluster: str = "cluster", corpus_id: str = "item_id", query_id: str = "query_id",
               vector: str = "embedding", block_rows: int | None = None, skip_self: bool = True) -> DataFrame:
