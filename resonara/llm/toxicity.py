@@ -47,7 +47,7 @@ PIECES = (5, 7)
 LEAST_TEXTS, LEAST_SHARE, CANDIDATES = 3, 0.002, 100_000
 #: Texts of average toxicity that are added to a term's own, and the least weight that counts, as ln of odds.
 SHRINK, LEAST_WEIGHT, STRONG = 10.0, 1.0, 2.0
-CACHED_WORDS, CACHED_LETTERS = 600_000, 60
+CACHED_WORDS, CACHED_LISTS, CACHED_LETTERS = 300_000, 50_000, 60
 
 #: Insults, and words of the second person, by language.
 INSULTS = """
@@ -215,7 +215,7 @@ def _term_counts(rows: DataFrame, candidates: dict[str, int] | None = None) -> D
                 own = set()
                 for word in set(_word.findall((text.as_py() or "").lower())):
                     if word not in known:
-                        if len(known) >= CACHED_WORDS:
+                        if len(known) >= CACHED_LISTS:
                             known.clear()
                         known[word] = [candidates[of] for of in word_terms(word) if of in candidates] if candidates else word_terms(word)
                     own.update(known[word])
