@@ -8,6 +8,7 @@ from registry.common import as_queries, frame_items, items, rounded, table
 from resonara.functions import vectors as V
 from resonara.operators import neighbours as N
 from resonara.operators.cluster import centroids, cluster_visits, nearest_centroid
+from resonara.operators.quantised import knn_quantised
 from resonara.sources import readers as R
 
 K = 5
@@ -113,6 +114,17 @@ def knn_cosine_pivots(spark, sf):
     return _shown(N.knn(base, as_queries(base), K, metric="cosine", plan="blocks", cells=24), "similarity")
 
 
+def knn_l2_quantised(spark, sf):
+    """From one byte per dimension; only what its bounds leave is measured."""
+    base = items(spark, sf)
+    return _shown(knn_quantised(base, as_queries(base), K)[0], "distance_sq")
+
+
+def knn_cosine_quantised(spark, sf):
+    base = items(spark, sf)
+    return _shown(knn_quantised(base, as_queries(base), K, metric="cosine", cells=24)[0], "similarity")
+
+
 def nearest_centroid_shipped(spark, sf):
     base = items(spark, sf)
     return _placed(nearest_centroid(base.drop("cluster"), centroids(base)))
@@ -174,7 +186,7 @@ def centroid_by_label(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     src_embeddings, src_conform_ids, src_token_rows, vec_mean_pool, vec_pool_or_pass, vec_mean_squeeze,
-    vec_flatten_truncate, vec_select_token, vec_explode_dims, pair_similarity, knn_l2_topn, knn_l2_blocks, knn_l2_pivots,
+    vec_flatten_truncate, vec_select_token, vec_explode_dims, pair_similarity, knn_l2_topn, knn_l2_blocks, knn_l2_pivots, knn_l2_quantised, knn_cosine_quantised,
     knn_cosine_pivots, nearest_centroid_shipped, nearest_centroid_joined, knn_widen_sparse,
     knn_cosine, cosine_topn, knn_in_cluster, knn_widen, assign_then_knn, centroid_by_label)}
 
@@ -251,6 +263,8 @@ select a.vec_id as key1, b.vec_id as key2,
 from embeddings a join embeddings b on b.vec_id = a.vec_id + 1""",
     "knn_l2_topn": _top("d2", ("d2", "distance_sq")),
     "knn_l2_blocks": _top("d2", ("d2", "distance_sq")),
+    "knn_l2_quantised": _top("d2", ("d2", "distance_sq")),
+    "knn_cosine_quantised": _top("cs desc", ("cs", "similarity")),
     "knn_l2_pivots": _top("d2", ("d2", "distance_sq")),
     "knn_cosine_pivots": _top("cs desc", ("cs", "similarity")),
     "nearest_centroid_shipped": _PLACED,

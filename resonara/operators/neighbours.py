@@ -175,16 +175,11 @@ def _rows_per_block(corpus: DataFrame, queries: DataFrame) -> int:
     return int(max(MIN_BLOCK_ROWS, min(full, busy)))
 
 
-def _block_join(corpus: DataFrame, queries: DataFrame, k: int, metric: str, skip_self: bool,
-                block_rows: int | None) -> DataFrame:
-    """Top-k of every query within its cell, from blocks of bounded size.
+def meet_in_blocks(corpus: DataFrame, queries: DataFrame, meet: Callable, schema: T.StructType, block_rows: int) -> DataFrame:
+    """Run ``meet(query rows, corpus rows)`` on every block of queries and block of items of one ``cell``.
 
-    ``corpus``: item_id, vector, cell.  ``queries``: query_id, vector, cell and
-    optionally ``cell_rank``, the visiting order of the cell, and ``within``, a
-    squared distance beyond which nothing is wanted.
+    ``corpus`` has ``item_id, vector, cell``, ``queries`` has ``query_id, vector, cell``, and either any other columns.
     """
-    block_rows = block_rows or _rows_per_block(corpus, queries)
-    ranked, limited = "cell_rank" in queries.columns, "within" in queries.columns
     corpus_blocks = corpus.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).alias("corpus_blocks"))
     query_blocks = queries.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).alias("query_blocks"))
     sizes = corpus_blocks.join(query_blocks, "cell")
@@ -197,6 +192,18 @@ def _block_join(corpus: DataFrame, queries: DataFrame, k: int, metric: str, skip
     keys = ["cell", "query_block", "corpus_block"]
     left = spread(queries, "query_id", "query", "corpus").groupBy(*keys)
     right = spread(corpus, "item_id", "corpus", "query").groupBy(*keys)
+    return left.cogroup(right).applyInPandas(meet, schema)
+
+
+def _block_join(corpus: DataFrame, queries: DataFrame, k: int, metric: str, skip_self: bool,
+                block_rows: int | None) -> DataFrame:
+    """Top-k of every query within its cell, from blocks of bounded size.
+
+    ``corpus``: item_id, vector, cell.  ``queries``: query_id, vector, cell and
+    optionally ``cell_rank``, the visiting order of the cell, and ``within``, a
+    squared distance beyond which nothing is wanted.
+    """
+    ranked, limited = "cell_rank" in queries.columns, "within" in queries.columns
     extra = [T.StructField("cell_rank", T.IntegerType())] if ranked else []
 
     def meet(query_rows: pd.DataFrame, corpus_rows: pd.DataFrame) -> pd.DataFrame:
@@ -217,7 +224,7 @@ def _block_join(corpus: DataFrame, queries: DataFrame, k: int, metric: str, skip
             found = found[found["distance_sq"] <= found["within"].fillna(np.inf)]
         return found[columns]
 
-    return left.cogroup(right).applyInPandas(meet, _result_schema(queries, corpus, *extra))
+    return meet_in_blocks(corpus, queries, meet, _result_schema(queries, corpus, *extra), block_rows or _rows_per_block(corpus, queries))
 
 
 def _pick_pivots(corpus: DataFrame, rows: int, metric: str, cells: int | None) -> np.ndarray:
