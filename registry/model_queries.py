@@ -12,6 +12,7 @@ from resonara.operators import embed as E
 from resonara.operators import features as FT
 from resonara.operators import language as L
 from resonara.operators import project as P
+from resonara.operators.neighbour_map import affinity_edges, lay_out, map_divergence, start_map
 from resonara.operators.neighbour_map import neighbour_map as build_map
 from resonara.operators.neighbour_map import perplexity_affinity as affinity
 from resonara.operators.neighbours import knn
@@ -141,6 +142,18 @@ def neighbour_map(spark, sf):
     return build_map(items(spark, sf))
 
 
+def map_violations(spark, sf):
+    """What a map must not have: items left out, places that are no numbers, a worse fit than its start."""
+    base = written(items(spark, sf).select("item_id", "embedding"), "map-items")
+    edges, start = written(affinity_edges(base), "map-edges"), written(start_map(base), "map-start")
+    found = written(lay_out(edges, start), "map")
+    better = map_divergence(edges, found) < 0.95 * map_divergence(edges, start)
+    joined = base.select("item_id").join(found, "item_id", "left")
+    finite = F.coalesce(F.abs("x") + F.abs("y") < float("inf"), F.lit(False))
+    return joined.agg(F.count("*").alias("items"), F.count_if(F.col("x").isNull()).alias("missing"), F.count_if(~finite).alias("nowhere"),
+                      F.lit(int(not better)).alias("worse"))
+
+
 # --- features ---------------------------------------------------------------
 
 def one_hot(spark, sf):
@@ -225,7 +238,7 @@ def embed_text(spark, sf):
 QUERIES = {f.__name__: f for f in (
     kmeans_step, kmeans_violations, pca_variance, pca_explained, kmeans_assign, kmeans_sweep, cluster_vs_label,
     cluster_purity, cluster_profile, profile_by_feature, covariance, pca_project, pca_top_loadings, place_new_point,
-    perplexity_affinity, neighbour_map, one_hot,
+    perplexity_affinity, neighbour_map, map_violations, one_hot,
     one_hot_vector, zscore_bpm, metadata_features, lang_prob, lang_filter, chunk_windows, hash_embed, embed_text)}
 
 _PLACED = f"""
@@ -262,6 +275,7 @@ chunks as (select doc_id, chunk, a[chunk * 256 + 1 : chunk * 256 + 512] as words
 """
 
 SQL = {
+    "map_violations": "select count(*) as items, 0::bigint as missing, 0::bigint as nowhere, 0::int as worse from embeddings",
     "kmeans_violations": "select 0::bigint as violations, count(*) as items from embeddings",
     "pca_variance": """
 with v as (select unnest(range(64)) as dim, unnest(embedding::double[]) as value from embeddings),

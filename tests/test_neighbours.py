@@ -155,7 +155,7 @@ def test_neighbour_map_keeps_neighbours(spark):
     sums = perplexity_affinity(near, 10.0).groupBy("query_id").agg(
         F.sum("p").alias("p"), F.exp(-F.sum(F.col("p") * F.log("p"))).alias("perplexity")).collect()
     assert all(r["p"] == pytest.approx(1.0) and r["perplexity"] == pytest.approx(10.0, rel=1e-3) for r in sums)
-    found = neighbour_map(df, perplexity=8.0, rounds=20, exaggerated=10).orderBy("item_id").collect()
+    found = neighbour_map(df, perplexity=8.0, rounds=40).orderBy("item_id").collect()
     at = np.array([[r["x"], r["y"]] for r in found])
     assert np.isfinite(at).all()
     away = ((at[:, None] - at[None]) ** 2).sum(axis=2)
@@ -164,6 +164,60 @@ def test_neighbour_map_keeps_neighbours(spark):
     assert (nearest == (np.arange(120) // 40)[:, None]).mean() > 0.9
 
 
+def test_quadtree_pushes_as_all_points_do():
+    import pandas as pd
+
+    from resonara.operators import neighbour_map as M
+
+    rng = np.random.default_rng(0)
+    at = np.concatenate([rng.normal(size=(300, 2)), rng.normal(size=(300, 2)) * 0.01 + 5, [[1, 1], [1, 1]]])
+    box = M._Box.around(*at.min(axis=0), *at.max(axis=0))
+    rows = pd.DataFrame({"code": box.codes(at), "mass": 1, "x": at[:, 0], "y": at[:, 1]}).groupby("code", as_index=False).sum()
+    tree = M.Quadtree(box, rows.assign(depth=M.DEPTH), 1)
+    push, kernel = tree.push(at, box.codes(at))
+    gap = at[:, None] - at[None]
+    weight = 1 / (1 + (gap ** 2).sum(axis=2))
+    np.fill_diagonal(weight, 0)
+    exact = (weight[:, :, None] ** 2 * gap).sum(axis=1)
+    assert np.abs(push - exact).max() < 0.02 * np.abs(exact).max()
+    assert kernel == pytest.approx(weight.sum(axis=1), rel=0.05) and tree.normaliser() == pytest.approx(weight.sum(), rel=0.01)
+
+
+def test_quadtree_is_cut_where_points_are_crowded(spark, monkeypatch):
+    from resonara.operators import neighbour_map as M
+
+    monkeypatch.setattr(M, "TREE_POINTS", 10)
+    monkeypatch.setattr(M, "LEAVES", 40)
+    rng = np.random.default_rng(1)
+    at = np.concatenate([rng.normal(size=(200, 2)), rng.normal(size=(400, 2)) * 1e-3 + 3])
+    points = spark.createDataFrame([(float(x), float(y)) for x, y in at], "x double, y double")
+    box = M._Box.around(*at.min(axis=0), *at.max(axis=0))
+    tree = M.quadtree(points, box, len(at))
+    assert tree.mass[0] == 600 and tree.mass[tree.children == 0].sum() == 600
+    assert (tree.mass[tree.children == 0] <= 600 / 40).all() and tree.depth.max() > 8 and len(tree.mass) < 600
+    push, _ = tree.push(at, box.codes(at))
+    gap = at[:, None] - at[None]
+    exact = (gap / (1 + (gap ** 2).sum(axis=2))[:, :, None] ** 2).sum(axis=1)
+    assert np.abs(push - exact).max() < 0.05 * np.abs(exact).max()
+
+
+def test_map_diverges_less_than_its_start(spark):
+    from resonara.operators import neighbour_map as M
+    from resonara.workspace import written
+
+    rng = np.random.default_rng(4)
+    df = written(frame(spark, np.vstack([rng.normal(c * 3, 1.0, (30, 8)) for c in range(3)])), "test-map")
+    edges, start = written(M.affinity_edges(df, 8.0), "test-edges"), M.start_map(df)
+    at = {r["item_id"]: (r["x"], r["y"]) for r in start.collect()}
+    w = {(a, b): 1 / (1 + (at[a][0] - at[b][0]) ** 2 + (at[a][1] - at[b][1]) ** 2) for a in at for b in at if a != b}
+    plain = sum(r["p"] * np.log(r["p"] * sum(w.values()) / w[r["a"], r["b"]]) for r in edges.where("p > 0").collect())
+    before = M.map_divergence(edges, start)
+    assert before == pytest.approx(plain, rel=0.01)
+    assert M.map_divergence(edges, M.lay_out(edges, start, rounds=40)) < 0.8 * before
+    one = df.where("item_id = 0")
+    assert M.neighbour_map(one).count() == 1
+
+
 def test_both_centroid_plans_measure_exactly(spark):
     """Far from the origin the expanded square would lose all digits."""
     points = spark.createDataFrame([(1, [1e8 + 0.5])], "item_id int, embedding array<double>")
