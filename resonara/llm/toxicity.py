@@ -47,7 +47,7 @@ PIECES = (5, 7)
 LEAST_TEXTS, LEAST_SHARE, CANDIDATES = 3, 0.002, 100_000
 #: Texts of average toxicity that are added to a term's own, and the least weight that counts, as ln of odds.
 SHRINK, LEAST_WEIGHT, STRONG = 10.0, 1.0, 2.0
-CACHED_WORDS, CACHED_LISTS, CACHED_LETTERS = 300_000, 50_000, 60
+CACHED_WORDS, CACHED_LISTS, CACHED_LETTERS, COUNTED_TERMS = 150_000, 20_000, 60, 200_000
 
 #: Insults, and words of the second person, by language.
 INSULTS = """
@@ -131,14 +131,14 @@ def word_terms(word: str) -> list[str]:
 class Lexicon(dict):
     """Weight of a word: the largest that it or a piece of it has; a bounded cache over the weights of the terms."""
 
-    def __init__(self, weights: dict[str, float]):
+    def __init__(self, weights: dict[str, float], cached: int = CACHED_WORDS):
         super().__init__()
-        self.weights = weights
+        self.weights, self.cached = weights, cached
 
     def __missing__(self, word: str) -> float:
         weight = max(map(self.weights.get, word_terms(word), repeat(0.0)))
         if len(word) <= CACHED_LETTERS:
-            if len(self) >= CACHED_WORDS:
+            if len(self) >= self.cached:
                 self.clear()
             self[word] = weight
         return weight
@@ -185,7 +185,7 @@ def feature_array(insults: frozenset[str] = _insults, weights: Sequence[dict[str
     """Function from a text and the number of one of the lexicons ``weights`` to ``features``."""
     @F.arrow_udf(ArrayType(DoubleType()))
     def values(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        lexicons = [Lexicon(own) for own in weights]
+        lexicons = [Lexicon(own, CACHED_WORDS // len(weights)) for own in weights]
         for texts, parts in batches:
             yield pa.array([features(text.as_py() or "", insults, lexicons[part]) for text, part in zip(texts, parts.to_pylist())],
                            pa.list_(pa.float64()))
@@ -208,21 +208,33 @@ def fold(key: Column) -> Column:
 def _term_counts(rows: DataFrame, candidates: dict[str, int] | None = None) -> DataFrame:
     """``term``, ``part`` and in how many of the rows' texts it stands; only the ``candidates``, by number, if given."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
+        found: list[Counter] = [Counter() for _ in range(PARTS)]
         known: dict[str, list] = {}
+
+        def counted() -> pa.RecordBatch:
+            sizes = [len(own) for own in found]
+            columns = [pa.array([term for own in found for term in own], pa.int32() if candidates else pa.string()),
+                       pa.array(np.repeat(np.arange(PARTS, dtype=np.int32), sizes)), pa.array([n for own in found for n in own.values()], pa.int64())]
+            for own in found:
+                own.clear()
+            return pa.RecordBatch.from_arrays(columns, ["term", "part", "texts"])
+
         for batch in batches:
             for text, part in zip(batch["text"], batch["part"].to_pylist()):
                 own = set()
                 for word in set(_word.findall((text.as_py() or "").lower())):
-                    if word not in known:
+                    terms = known.get(word)
+                    if terms is None:
                         if len(known) >= CACHED_LISTS:
                             known.clear()
-                        known[word] = [candidates[of] for of in word_terms(word) if of in candidates] if candidates else word_terms(word)
-                    own.update(known[word])
-                found.update((term, part) for term in own)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([term for term, _ in found], pa.int32() if candidates else pa.string()), pa.array([part for _, part in found], pa.int32()),
-             pa.array(list(found.values()), pa.int64())], ["term", "part", "texts"])
+                        terms = [candidates[of] for of in word_terms(word) if of in candidates] if candidates else word_terms(word)
+                        if len(word) <= CACHED_LETTERS:
+                            known[word] = terms
+                    own.update(terms)
+                found[part].update(own)
+                if sum(map(len, found)) >= COUNTED_TERMS:
+                    yield counted()
+        yield counted()
 
     counted = rows.select("text", "part").mapInArrow(count, f"term {'int' if candidates else 'string'}, part int, texts long")
     return counted.groupBy("term", "part").agg(F.sum("texts").alias("texts"))
