@@ -15,6 +15,7 @@ from resonara.plans.collection_map import collection_map as build_map
 from resonara.plans.serving_index import build_index
 from resonara.sources.writers import json_rows, new_rows
 from resonara.streaming import jobs as J
+from resonara.streaming.first_seen import ingest_first_seen
 from resonara.streaming.reading import read_once
 from resonara.workspace import new_folder, written
 
@@ -172,6 +173,15 @@ def stream_ingest(spark, sf):
     return J.ingested(spark, f"{path}/table", arriving.schema).select("user_id")
 
 
+def stream_ingest_keyed(spark, sf):
+    """The same ids, known ones from the state store, and the first event of each."""
+    path = new_folder(spark, "stream-ingest")
+    known = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("user_id"))
+    arriving = _event_stream(spark, sf).select("user_id", "event_id", "event_type")
+    _finish(ingest_first_seen(arriving, f"{path}/table", f"{path}/state", key="user_id", arrival="event_id", known=known))
+    return spark.read.schema(arriving.schema).parquet(f"{path}/table")
+
+
 def batch_ingest(spark, sf):
     known = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("user_id"))
     return new_rows(known, table(spark, sf, "events").select("user_id"), "user_id")
@@ -251,7 +261,7 @@ QUERIES = {f.__name__: f for f in (
     recommend_items, recommend_errors, recommend_coordinates, recommend_by_link, link_errors, recommend_unseen,
     request_statuses, link_metadata, collection_map, catalogue_growth,
     language_report, stream_ingest, batch_ingest, ratings_daily, stream_ratings, stream_requests,
-    stream_requests_indexed, stream_read_once)}
+    stream_requests_indexed, stream_read_once, stream_ingest_keyed)}
 
 _COLLECTION = f"""
 named as (select vec_id as item_id, p_brand as artist, p_name as song, embedding::double[] as e,
@@ -349,6 +359,9 @@ select texts.id, p_name as song_title, md5(text) as lyrics
 from texts join part on p_partkey = texts.id left join p on p.id = texts.id and lang = 'es' where coalesce(p, 0) <= 0.5""",
     "stream_ingest": _INGEST,
     "batch_ingest": _INGEST,
+    "stream_ingest_keyed": """
+select user_id, event_id, event_type from events where user_id not in (select s_suppkey from supplier)
+qualify row_number() over (partition by user_id order by event_id) = 1""",
     "ratings_daily": _RATINGS,
     "stream_ratings": _RATINGS,
     "stream_requests": _REQUESTS_SQL,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from registry.common import as_queries, footer_of, items, rounded, table, texts, title_of
@@ -16,6 +19,7 @@ from resonara.operators.neighbours import knn
 from resonara.operators.project import canvas_scale as scale_to_canvas
 from resonara.operators.project import radial_layout as ring
 from resonara.sources import readers as R
+from resonara.workspace import new_folder
 
 
 def _titles(spark, sf):
@@ -256,6 +260,14 @@ def library_pages(spark, sf):
     return O.page_numbers(table(spark, sf, "part"), ["p_name", "p_partkey"]).select("p_partkey", "position", "page")
 
 
+def library_deep_pages(spark, sf):
+    """Every seventh page of the library, each read by itself from the stored directory."""
+    stored = O.store_pages(table(spark, sf, "part").select("p_partkey", "p_name"), ["p_name", "p_partkey"], new_folder(spark, "library"), part_rows=64)
+    pages = range(1, stored.pages(20) + 1, max(1, stored.pages(20) // 7))
+    found = [stored.page(number, 20).select("p_partkey", "position", F.lit(number).cast("long").alias("page")) for number in pages]
+    return reduce(DataFrame.unionByName, found)
+
+
 def library_totals(spark, sf):
     return O.page_totals(CAT.search(table(spark, sf, "part"), "ring", *_SHOWN))
 
@@ -265,7 +277,7 @@ QUERIES = {f.__name__: f for f in (
     sanitize_name, make_query_id, split_query_id, label_concat, parse_stem, token_sort_ratio, extract_video_id,
     classify_url, watch_url, src_seed_urls, src_catalogue, src_metadata_conform, similarity_percent, default_columns,
     bucket_int, category_clean, palette_index, radial_layout, canvas_scale, canvas_scale_grouped, plot_table,
-    coords_json, library_search, library_page, library_pages, library_totals)}
+    coords_json, library_search, library_page, library_pages, library_deep_pages, library_totals)}
 
 
 def sql_normal(text: str) -> str:
@@ -405,5 +417,10 @@ where contains(lower(p_name), 'ring') or contains(lower(p_brand), 'ring') or con
     "library_pages": """
 select p_partkey, row_number() over (order by p_name, p_partkey) as position,
   ((row_number() over (order by p_name, p_partkey) + 9) // 10)::bigint as page from part""",
+    "library_deep_pages": """
+with placed as (select p_partkey, row_number() over (order by p_name, p_partkey) as position from part),
+size as (select (count(*) + 19) // 20 as pages from part)
+select p_partkey, position, ((position + 19) // 20)::bigint as page from placed, size
+where ((position + 19) // 20 - 1) % greatest(1, pages // 7) = 0""",
     "library_totals": "select count(*) as total, ((count(*) + 9) // 10)::bigint as pages from part where p_name like '%ring%'",
 }

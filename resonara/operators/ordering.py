@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import json
+from bisect import bisect_right
+from dataclasses import dataclass
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from resonara.workspace import written
 
@@ -64,3 +70,62 @@ def page_totals(df: DataFrame, per_page: int = 10) -> DataFrame:
     check_page(1, per_page)
     return df.agg(F.count("*").alias("total")).withColumn(
         "pages", F.ceil(F.col("total") / per_page))
+
+
+# --- stored pages -----------------------------------------------------------
+
+PART_ROWS = 65_536
+
+
+@dataclass
+class PageDirectory:
+    """An ordered table stored in ranges, with the first position and the number of rows of each.
+
+    Written once by ``store_pages``.  A page reads the one or two ranges it lies in,
+    however deep; totals come from the directory.
+    """
+
+    spark: SparkSession
+    path: str
+    schema: StructType
+    starts: list[int]  # positions before each range, ascending; a number per range
+    total: int
+
+    def pages(self, per_page: int = 10) -> int:
+        check_page(1, per_page)
+        return -(-self.total // per_page)
+
+    def ranges(self, page_number: int, per_page: int = 10) -> list[int]:
+        """The ranges that hold rows of a page."""
+        check_page(page_number, per_page)
+        first, last = (page_number - 1) * per_page, min(page_number * per_page, self.total) - 1
+        return list(range(bisect_right(self.starts, first) - 1, bisect_right(self.starts, last))) if first <= last else []
+
+    def page(self, page_number: int, per_page: int = 10) -> DataFrame:
+        """One page with ``position``; past the end it is empty."""
+        check_page(page_number, per_page)
+        rows = self.spark.read.schema(self.schema).parquet(f"{self.path}/rows")
+        wanted = self.ranges(page_number, per_page)
+        low, high = (page_number - 1) * per_page, page_number * per_page
+        # the folders of other ranges are not read
+        return rows.where(F.col("_range").isin(wanted) if wanted else F.lit(False)).where((F.col("position") > low) & (F.col("position") <= high)).drop("_range")
+
+
+def store_pages(df: DataFrame, order_by: list[str | Column], path: str, part_rows: int = PART_ROWS) -> PageDirectory:
+    """Store ``df`` in its total order for ``PageDirectory``; equal keys of the order follow one another anyhow."""
+    placed = with_position(df, order_by)
+    number = F.floor((F.col("position") - 1) / part_rows).cast("int")
+    rows = placed.withColumn("_range", number).repartitionByRange("_range", "position").sortWithinPartitions("_range", "position")
+    rows.write.partitionBy("_range").parquet(f"{path}/rows")
+    spark = df.sparkSession
+    sizes = spark.read.schema(rows.schema).parquet(f"{path}/rows").groupBy("_range").agg(F.count("*").alias("rows"))
+    sizes.write.parquet(f"{path}/directory")
+    spark.createDataFrame([(rows.schema.json(),)], "schema string").write.parquet(f"{path}/schema")
+    return open_pages(spark, path)
+
+
+def open_pages(spark: SparkSession, path: str) -> PageDirectory:
+    """The directory of a stored table: a row per range, none of the table's own."""
+    schema = StructType.fromJson(json.loads(spark.read.parquet(f"{path}/schema").first()["schema"]))
+    sizes = [row["rows"] for row in spark.read.schema("_range int, rows long").parquet(f"{path}/directory").orderBy("_range").collect()]
+    return PageDirectory(spark, path, schema, list(accumulate([0, *sizes[:-1]])), sum(sizes))

@@ -13,29 +13,32 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.options(header=True, escape='"', quoteAll=True, emptyValue="").csv(path)
 
 
-def new_rows(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
+def new_rows(existing: DataFrame, incoming: DataFrame, key: str, arrival: str | None = None) -> DataFrame:
     """Incoming rows whose key is unseen, once per key.
 
-    Keys are reduced on the map side first, so a key repeated in a third of the
-    batch costs one row per task in the shuffle.
+    Of a key's rows the one with the smallest ``arrival`` counts, as it was seen
+    first; among equal arrivals, or without such a column, the smallest row.  Keys
+    are reduced on the map side first, so a key repeated in a third of the batch
+    costs one row per task in the shuffle.
     """
     others = [c for c in incoming.columns if c != key]
+    order = [*([arrival] if arrival else []), *(c for c in others if c != arrival)]
     once = incoming.where(F.col(key).isNotNull()).groupBy(key).agg(
-        F.min(F.struct(*others)).alias("_row")) if others else incoming.select(key).distinct()
+        F.min(F.struct(*order)).alias("_row")) if others else incoming.select(key).distinct()
     fresh = once.join(existing.select(key), key, "left_anti")
     if not others:
         return fresh
     return fresh.select(key, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*incoming.columns)
 
 
-def append_if_absent(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
+def append_if_absent(existing: DataFrame, incoming: DataFrame, key: str, arrival: str | None = None) -> DataFrame:
     """The catalogue with the unseen rows added."""
-    return existing.unionByName(new_rows(existing, incoming, key), allowMissingColumns=True)
+    return existing.unionByName(new_rows(existing, incoming, key, arrival), allowMissingColumns=True)
 
 
-def append_new(path: str, existing: DataFrame, incoming: DataFrame, key: str) -> None:
+def append_new(path: str, existing: DataFrame, incoming: DataFrame, key: str, arrival: str | None = None) -> None:
     """Append only the unseen rows to the stored catalogue."""
-    new_rows(existing, incoming, key).write.mode("append").parquet(path)
+    new_rows(existing, incoming, key, arrival).write.mode("append").parquet(path)
 
 
 def backfill_link(df: DataFrame, key: str = "video_id", link: str = "youtube_link") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 from pyspark.sql.types import StructType
@@ -13,6 +13,11 @@ _STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def use_keyed_store(spark: SparkSession) -> None:
+    """Queries of the session keep their state in RocksDB, the only store for processors with states of their own."""
+    spark.conf.set(_STORE, _ROCKS)
+
+
 class _HandOut(StatefulProcessor):
     """Per request: its result rows until somebody reads them, then a mark that they are gone."""
 
@@ -70,7 +75,7 @@ def read_once(results: DataFrame, reads: DataFrame, path: str, checkpoint: str,
     blank = [F.lit(None).cast(results.schema[name].dataType).alias(name) for name in columns]
     both = results.select("request_id", F.lit(None).cast("long").alias("read_id"), *columns).unionByName(
         reads.select("request_id", F.col("read_id").cast("long").alias("read_id"), *blank))
-    both.sparkSession.conf.set(_STORE, _ROCKS)  # the only store that keeps more than one state per key
+    use_keyed_store(both.sparkSession)
     out = StructType([both.schema["request_id"], both.schema["read_id"], *schema.fields])
     handed = both.groupBy("request_id").transformWithState(
         statefulProcessor=_HandOut(columns, schema, keep_ms), outputStructType=out, outputMode="append",
