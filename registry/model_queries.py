@@ -171,6 +171,25 @@ def one_hot_vector(spark, sf):
     return slots.where("value <> 0")
 
 
+def one_hot_wide(spark, sf):
+    """Slots from a distributed dictionary; names have as many values as the table has rows, nearly."""
+    part = table(spark, sf, "part").select("p_partkey", "p_type", "p_name")
+    dictionary = written(FT.category_dictionary(part, "p_type", "p_name"), "dictionary")
+    return FT.one_hot_slots(part, "p_partkey", dictionary, "p_type", "p_name").select("p_partkey", F.posexplode("slots").alias("place", "slot"))
+
+
+def feature_breakdown(spark, sf):
+    """Totals by population, genre, voice and instrumentation, alone and in pairs."""
+    part = table(spark, sf, "part").select(
+        F.col("p_brand").alias("population"), F.col("p_type").alias("genre"),
+        F.when(F.col("p_size") % 3 > 0, F.when(F.col("p_size") % 3 == 1, "low").otherwise("high")).alias("voice"),
+        F.floor(F.col("p_size") / 10).alias("instrumentation"))
+    names = ["population", "genre", "voice", "instrumentation"]
+    sets = [[], *[[name] for name in names], ["population", "genre"], ["genre", "voice"], names]
+    found = FT.breakdown(part, names, sets)
+    return found.select(*[F.coalesce(F.col(name).cast("string"), F.lit("-")).alias(name) for name in names], "level", "items")
+
+
 def zscore_bpm(spark, sf):
     part = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
     scaled = FT.zscore(part, "p_size", "p_retailprice")
@@ -239,7 +258,7 @@ QUERIES = {f.__name__: f for f in (
     kmeans_step, kmeans_violations, pca_variance, pca_explained, kmeans_assign, kmeans_sweep, cluster_vs_label,
     cluster_purity, cluster_profile, profile_by_feature, covariance, pca_project, pca_top_loadings, place_new_point,
     perplexity_affinity, neighbour_map, map_violations, one_hot,
-    one_hot_vector, zscore_bpm, metadata_features, lang_prob, lang_filter, chunk_windows, hash_embed, embed_text)}
+    one_hot_vector, one_hot_wide, feature_breakdown, zscore_bpm, metadata_features, lang_prob, lang_filter, chunk_windows, hash_embed, embed_text)}
 
 _PLACED = f"""
 {_CENTROIDS},
@@ -319,6 +338,20 @@ select query_id, round(avg(x), 6) as x, round(avg(y), 6) as y from r group by qu
 select p_partkey, (p_type = 'ECONOMY')::int as "p_type_ECONOMY", (p_type = 'LARGE')::int as "p_type_LARGE",
   (p_type = 'MEDIUM')::int as "p_type_MEDIUM", (p_type = 'PROMO')::int as "p_type_PROMO",
   (p_type = 'SMALL')::int as "p_type_SMALL", (p_type = 'STANDARD')::int as "p_type_STANDARD" from part""",
+    "one_hot_wide": """
+with d as (select feature, value, row_number() over (order by feature desc, value) - 1 as slot from (
+  select distinct 'p_type' as feature, p_type as value from part union select distinct 'p_name', p_name from part) where value is not null),
+found as (select p_partkey, slot from part join d on feature = 'p_type' and value = p_type
+  union all select p_partkey, slot from part join d on feature = 'p_name' and value = p_name)
+select p_partkey, (row_number() over (partition by p_partkey order by slot) - 1)::int as place, slot from found""",
+    "feature_breakdown": """
+with f as (select p_brand as population, p_type as genre, case p_size % 3 when 1 then 'low' when 2 then 'high' end as voice,
+  p_size // 10 as instrumentation from part)
+select coalesce(f.population, '-') as population, coalesce(f.genre, '-') as genre, coalesce(f.voice, '-') as voice,
+  coalesce(f.instrumentation::varchar, '-') as instrumentation,
+  grouping_id(f.population, f.genre, f.voice, f.instrumentation)::bigint as level, count(*) as items
+from f group by grouping sets ((), (f.population), (f.genre), (f.voice), (f.instrumentation), (f.population, f.genre),
+  (f.genre, f.voice), (f.population, f.genre, f.voice, f.instrumentation))""",
     "one_hot_vector": """
 with t as (select p_type, row_number() over (order by p_type) - 1 as i, count(*) over () as n from (select distinct p_type from part)),
 b as (select p_brand, row_number() over (order by p_brand) - 1 as i from (select distinct p_brand from part))

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from resonara.functions.categories import GENRE_PALETTE, SPARE_COLOURS
+from resonara.operators.lookup import keyed_lookup
 from resonara.operators.ordering import with_position
+from resonara.workspace import written
 
 MAX_CATEGORIES = 2000  # beyond this, categories do not become columns
 
@@ -44,6 +46,48 @@ def one_hot_vector(df: DataFrame, *columns: str, name: str = "one_hot") -> DataF
     return encoded.drop(*[f"_{c}_{part}" for c in columns for part in ("at", "hot")])
 
 
+def category_dictionary(df: DataFrame, *columns: str) -> DataFrame:
+    """``feature, value, slot, rows``: every value of every column with a place of its own, from 0 on.
+
+    Slots follow the order of the columns, then of the values.  The dictionary is a
+    distributed table and may have any number of values; nulls have no slot.
+    """
+    order = F.create_map(*[part for n, column in enumerate(columns) for part in (F.lit(column), F.lit(n))])
+    counted = _values(df, columns).groupBy("feature", "value").agg(F.count("*").alias("rows"))
+    placed = with_position(counted.withColumn("_order", F.element_at(order, F.col("feature"))), ["_order", "value"], "slot")
+    return placed.select("feature", "value", (F.col("slot") - 1).alias("slot"), "rows")
+
+
+def _values(df: DataFrame, columns: tuple[str, ...], *keys: str) -> DataFrame:
+    """Long form ``keys, feature, value`` of the columns that are not null."""
+    cells = F.array(*[F.struct(F.lit(column).alias("feature"), F.col(column).cast("string").alias("value")) for column in columns])
+    return df.select(*keys, F.inline(cells)).where("value is not null")
+
+
+def one_hot_slots(df: DataFrame, key: str, dictionary: DataFrame, *columns: str) -> DataFrame:
+    """``key, slots``: the filled slots of each row's one-hot vector, ascending; none for a row without values.
+
+    ``dictionary`` is a stored ``category_dictionary``; values that it lacks fill no
+    slot.  Frequent values are looked up apart, so none of them fills a task.  Keys are unique.
+    """
+    long = written(_values(df, columns, key), "cells")
+    found = keyed_lookup(long, dictionary, ["feature", "value"], "rows").groupBy(key).agg(F.sort_array(F.collect_list("slot")).alias("slots"))
+    return df.select(key).join(found, key, "left").select(key, F.coalesce("slots", F.array().cast("array<bigint>")).alias("slots"))
+
+
+def breakdown(df: DataFrame, features: list[str], sets: list[list[str]]) -> DataFrame:
+    """``features, level, items``: how many rows hold each combination of values, for several sets of features in one pass.
+
+    A feature that a set leaves out is null there; ``level`` tells such nulls from
+    those of the data: bit n from the right is set where the n-th last feature is left out.
+    """
+    unknown = {name for chosen in sets for name in chosen} - set(features)
+    if unknown:
+        raise ValueError(f"not among the features: {sorted(unknown)}")
+    grouped = df.groupingSets([[F.col(name) for name in chosen] for chosen in sets], *[F.col(name) for name in features])
+    return grouped.agg(F.grouping_id().cast("long").alias("level"), F.count("*").alias("items"))
+
+
 def zscore(df: DataFrame, *columns: str) -> DataFrame:
     """Centre and divide by the population deviation; a constant becomes 0.
 
