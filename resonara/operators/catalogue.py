@@ -6,11 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from resonara.functions.text import blank_to_null, sanitize_name, strip
+from resonara.workspace import written
 
 # --- fixed values -----------------------------------------------------------
 NOT_AVAILABLE = "N/A"
 # ----------------------------------------------------------------------------
 
+GRAM = 4
+
 
 def keep_one(df: DataFrame, key: str, order: str, last: bool = True) -> DataFrame:
     """First or last row per key by an explicit order column.
@@ -44,25 +47,36 @@ def ids_seen(*tables: DataFrame, key: str) -> DataFrame:
     return out.where(F.col(key).isNotNull()).distinct()
 
 
-def contains_join(files: DataFrame, metadata: DataFrame, name: str, key: str, order: str) -> DataFrame:
-    """Files joined to the first metadata id, by ``order``, occurring anywhere in their name.
+def _grams(text: Column, width: int) -> Column:
+    """All distinct pieces of a width; the whole text where it is shorter."""
+    starts = F.sequence(F.lit(1), F.length(text) - (width - 1))
+    cuts = F.array_distinct(F.transform(starts, lambda at: F.substring(text, at, F.lit(width))))
+    return F.when(F.length(text) > width, cuts).otherwise(F.array(text))
 
-    Every substring of a name that is as long as some id becomes a join key, so the
-    containment test is an equi-join.  The lengths come from the ids themselves;
-    collecting them is bounded by the longest id.  Ids of no length match nothing.
-    The first hit is found over (id, order) alone; its columns are joined last.
-    """
-    lengths = [row["n"] for row in metadata.select(F.length(key).alias("n")).where("n > 0").distinct().orderBy("n").collect()]
 
-    def substrings(size: int) -> Column:
-        starts = F.sequence(F.lit(1), F.length(name) - size + 1)
-        cuts = F.transform(starts, lambda i: F.substring(F.col(name), i, F.lit(size)))
-        return F.when(F.length(name) >= size, cuts).otherwise(F.array().cast("array<string>"))
+def contains_join(files: DataFrame, metadata: DataFrame, name: str, key: str, order: str, width: int = GRAM) -> DataFrame:
+    """Files joined to the first metadata id, by ``order``, occurring anywhere in their name.
 
-    grams = F.array_distinct(F.concat(F.array().cast("array<string>"), *[substrings(size) for size in lengths]))
-    candidates = files.select(name).distinct().select(name, F.explode(grams).alias(key))
-    firsts = metadata.groupBy(key).agg(F.min(order).alias("_first"))
-    best = candidates.join(firsts, key).groupBy(name).agg(F.min_by(key, F.struct("_first", key)).alias(key))
+    An id is indexed by one of its grams, the one that fewest names hold; an id with
+    a gram that no name holds occurs nowhere.  Names look up their grams, and only
+    the ids found so are compared.  A name is cut into grams of one width, however
+    many lengths the ids have, and besides into the lengths of ids shorter than that.
+    Ids of no length match nothing.  The first hit is found over (id, order) alone;
+    its columns are joined last.
+    """
+    ids = written(metadata.where(F.length(key) > 0).groupBy(F.col(key).alias("_id")).agg(F.min(order).alias("_first")), "ids")
+    short = [row["n"] for row in ids.select(F.length("_id").alias("n")).where(F.col("n") < width).distinct().collect()]  # below the width
+    names = files.select(F.col(name).alias("_name")).where("_name is not null").distinct()
+    cut = F.concat(*[F.when(F.length("_name") >= n, _grams(F.col("_name"), n)).otherwise(F.array().cast("array<string>")) for n in (*sorted(short), width)])
+    held = written(names.select("_name", F.explode(cut).alias("gram")), "name-grams")
+    counts = held.groupBy("gram").agg(F.count("*").alias("names"))
+    # an id keeps its rarest gram if names hold all of them
+    own = ids.select("_id", "_first", _grams(F.col("_id"), width).alias("grams"))
+    indexed = (own.select("_id", "_first", F.size("grams").alias("size"), F.explode("grams").alias("gram")).join(counts, "gram")
+               .groupBy("_id", "_first", "size").agg(F.count("*").alias("known"), F.min(F.struct("names", "gram")).alias("rarest"))
+               .where("known = size").select("_id", "_first", F.col("rarest.gram").alias("gram")))
+    best = (held.join(indexed, "gram").where(F.contains("_name", "_id")).groupBy("_name")
+            .agg(F.min_by("_id", F.struct("_first", "_id")).alias(key)).withColumnRenamed("_name", name))
     return best.join(keep_one(metadata, key, order, last=False), key).select(name, key, *[c for c in metadata.columns if c != key])
 
 

@@ -110,6 +110,25 @@ def test_rename_plan(spark):
                     "4": ("a-b.mp3", "skip"), "5": ("c-d.wav", "rename")}
 
 
+def test_contains_join_against_all_pairs(spark):
+    import random
+
+    source = random.Random(9)
+    names = ["".join(source.choices("abc", k=source.randint(0, 30))) for _ in range(80)] + [None, "", "aaaa", "aaaaaaaa"]
+    ids = [("".join(source.choices("abc", k=source.randint(0, 9))), n, f"w{n}") for n in range(60)] + [(None, 90, "w"), ("aaaa", 91, "w"), ("aaaa", 4, "v")]
+    files = spark.createDataFrame([(n,) for n in names], "f string")
+    meta = spark.createDataFrame(ids, "id string, o int, w string")
+    got = {r["f"]: (r["id"], r["w"]) for r in CAT.contains_join(files, meta, "f", "id", "o").collect()}
+    want = {}
+    for name in filter(None, names):
+        hits = sorted((o, key) for key, o, _ in ids if key and key in name)
+        if hits:
+            key = hits[0][1]
+            want[name] = (key, min((o, w) for other, o, w in ids if other == key)[1])
+    assert got == want
+    assert CAT.contains_join(files, meta.limit(0), "f", "id", "o").count() == 0
+
+
 def test_contains_join(spark):
     files = spark.createDataFrame([("xxabcxx",), ("abd-abc",), ("no",), ("",)], "f string")
     meta = spark.createDataFrame([("abc", 2, "p"), ("abd", 1, "q"), ("zz", 0, "r")], "id string, o int, v string")
