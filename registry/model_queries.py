@@ -133,6 +133,15 @@ def place_new_point(spark, sf):
     return placed.select("query_id", rounded("x").alias("x"), rounded("y").alias("y"))
 
 
+def pca_wide_violations(spark, sf):
+    """Loadings and shares of the fit without a covariance matrix that differ from the other fit's, on dimensions of falling weight."""
+    weighed = F.transform("embedding", lambda value, at: value / F.pow(F.lit(1.5), at.cast("double")))
+    base = written(items(spark, sf).select("item_id", weighed.alias("embedding")), "weighed")
+    one, other = P.fit_pca(base, 3), P.fit_pca_wide(base, 3)
+    wrong = int((abs(one.components - other.components) > 1e-5).sum() + (abs(one.explained - other.explained) > 1e-7).sum())
+    return base.agg(F.count("*").alias("items"), F.lit(wrong).cast("long").alias("violations"))
+
+
 def perplexity_affinity(spark, sf):
     base = items(spark, sf)
     return affinity(knn(base, as_queries(base), 30), 10.0).withColumn("p", rounded("p"))
@@ -257,7 +266,7 @@ def embed_text(spark, sf):
 QUERIES = {f.__name__: f for f in (
     kmeans_step, kmeans_violations, pca_variance, pca_explained, kmeans_assign, kmeans_sweep, cluster_vs_label,
     cluster_purity, cluster_profile, profile_by_feature, covariance, pca_project, pca_top_loadings, place_new_point,
-    perplexity_affinity, neighbour_map, map_violations, one_hot,
+    pca_wide_violations, perplexity_affinity, neighbour_map, map_violations, one_hot,
     one_hot_vector, one_hot_wide, feature_breakdown, zscore_bpm, metadata_features, lang_prob, lang_filter, chunk_windows, hash_embed, embed_text)}
 
 _PLACED = f"""
@@ -294,6 +303,7 @@ chunks as (select doc_id, chunk, a[chunk * 256 + 1 : chunk * 256 + 512] as words
 """
 
 SQL = {
+    "pca_wide_violations": "select count(*) as items, 0::bigint as violations from embeddings",
     "map_violations": "select count(*) as items, 0::bigint as missing, 0::bigint as nowhere, 0::int as worse from embeddings",
     "kmeans_violations": "select 0::bigint as violations, count(*) as items from embeddings",
     "pca_variance": """

@@ -91,6 +91,56 @@ def fit_pca(df: DataFrame, k: int = 2, vector: str = "embedding") -> PcaModel:
     return PcaModel(mean, _oriented(columns[:, order].T), share)
 
 
+def fit_pca_wide(df: DataFrame, k: int = 2, vector: str = "embedding", *, spare: int = 8, passes: int = 30, tolerance: float = 1e-9,
+                 seed: int = 42) -> PcaModel:
+    """``fit_pca`` for vectors of any width, without a D x D matrix.
+
+    A random subspace of ``k + spare`` directions is turned towards the data: each
+    pass projects the rows on it, adds up what the projections give back in every
+    task, and makes the sum orthonormal.  Ends when the k leading shares change by
+    less than ``tolerance``, or after ``passes``; directions whose shares are nearly
+    equal are told apart slowly.  The driver holds D x (k + spare) numbers.
+    """
+    typed = df.where(F.col(vector).isNotNull())
+    if typed.isEmpty():
+        raise ValueError("no vectors")
+    summed = typed.select(array_to_vector(to_double(F.col(vector))).alias("_v")).agg(
+        F.count("*").alias("n"), Summarizer.mean(F.col("_v")).alias("mean"), Summarizer.variance(F.col("_v")).alias("variance")).first()
+    n = summed["n"]
+    mean, total = summed["mean"].toArray(), float(summed["variance"].toArray().sum())
+    width = min(k + spare, len(mean))
+    basis, _ = np.linalg.qr(np.random.default_rng(seed).normal(size=(len(mean), width)))
+    rows = typed.select(vector).coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
+    before = np.full(min(k, width), np.inf)
+    for _ in range(passes):
+        turned = _turned(rows, vector, mean, basis) / max(n - 1, 1)  # covariance times basis
+        # within the subspace the covariance is small and solved at once
+        values, inner = np.linalg.eigh((basis.T @ turned + turned.T @ basis) / 2)
+        order = np.argsort(values)[::-1]
+        values, leading = np.clip(values[order], 0.0, None), (basis @ inner[:, order])[:, :k]
+        if np.all(np.abs(values[:k] - before) <= tolerance * max(total, 1e-300)):
+            break
+        before = values[:k]
+        basis, _ = np.linalg.qr(turned)
+    share = values[:k] / total if total > 0 else np.zeros(min(k, width))
+    return PcaModel(mean, _oriented(leading.T), share)
+
+
+def _turned(rows: DataFrame, vector: str, mean: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """Centred rows, transposed, times centred rows times ``basis``: one D x l partial sum per task."""
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(basis.shape)
+        for batch in batches:
+            if len(batch):
+                centred = np.stack(batch[vector].to_list()).astype(np.float64) - mean
+                total += centred.T @ (centred @ basis)
+        yield pd.DataFrame({"column": np.arange(basis.shape[1], dtype="int32"), "part": list(total.T)})
+
+    sums = rows.mapInPandas(partial, "column int, part array<double>").groupBy("column").agg(
+        Summarizer.sum(array_to_vector("part")).alias("total")).collect()
+    return np.stack([row["total"].toArray() for row in sorted(sums, key=lambda row: row["column"])], axis=1)
+
+
 def project(df: DataFrame, model: PcaModel, vector: str = "embedding", name: str = "coordinates") -> DataFrame:
     """Add the coordinates of every row with a vector; also for rows the model has not seen."""
     df = df.where(F.col(vector).isNotNull())
