@@ -18,6 +18,11 @@ from resonara.operators.neighbour_map import perplexity_affinity as affinity
 from resonara.operators.neighbours import knn
 from resonara.workspace import written
 
+# --- fixed values -----------------------------------------------------------
+LATE_ERA = "After 2018"
+EARLY_ERA = "Before 2012"
+# ----------------------------------------------------------------------------
+
 HASH_DIMS = 32
 # Token shares such as 10/512 lie exactly between two rounded values, where the
 # order of a sum would decide; both sides add this before rounding.
@@ -76,7 +81,7 @@ def cluster_profile(spark, sf):
 
 def _described(spark, sf):
     part = table(spark, sf, "part").select(F.col("p_partkey").alias("item_id"), "p_type", "p_size")
-    era = F.when(F.col("p_size") > 25, "After 2018").otherwise("Before 2012")
+    era = F.when(F.col("p_size") > 25, LATE_ERA).otherwise(EARLY_ERA)
     return items(spark, sf).join(part, "item_id").withColumn("population", era)
 
 
@@ -327,8 +332,8 @@ select cluster, sum(n)::bigint as size, round(max(n) / sum(n), 6) as purity from
 with {_CENTROIDS}, d as (select label, power(list_distance(embedding::double[], m), 2) as d2 from embeddings join ctd using (label))
 select label as cluster, count(*) as size, round(sum(d2), 6) as inertia, round(sqrt(max(d2)), 6) as radius
 from d group by label""",
-    "profile_by_feature": """
-with d as (select case when p_size > 25 then 'After 2018' else 'Before 2012' end as population, p_type, embedding
+    "profile_by_feature": f"""
+with d as (select case when p_size > 25 then '{LATE_ERA}' else '{EARLY_ERA}' end as population, p_type, embedding
            from embeddings join part on p_partkey = vec_id),
 s as (select population, p_type, count(*) as size from d group by all),
 l as (select population, p_type, unnest(range(64)) as dim, unnest(embedding::double[]) as value from d)
