@@ -3,8 +3,12 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -192,6 +196,33 @@ def test_search_equals_brute_force(spark, small_texts, monkeypatch):
     assert got == bm25(texts, asked, 7)
 
 
+def test_search_packs_queries_for_shards():
+    """A shard gets a block's queries in under 8 bytes a term; rows of terms and frequencies take 16."""
+    rng = np.random.default_rng(3)
+    words = rng.integers(-(1 << 63), 1 << 63, 3_000)
+    own = {query * 20: rng.choice(words, 300, replace=False) for query in range(400)}
+    rows = pa.table({"block": np.zeros(120_000, np.int32), "query_id": np.repeat(list(own), 300), "term": np.concatenate(list(own.values()))})
+    rows = rows.append_column("frequency", pa.array(np.abs(rows["term"].to_numpy()) % 500 + 1))
+    rows = pa.concat_tables([rows, rows.slice(0, 1000)])  # rows that stand twice are one
+    block = top_search._packer(10_000)(rows)
+    assert block.num_rows == 1 and block.nbytes < 8 * 120_000
+    ids, terms, weights, term, asked = top_search._unpacked(block)
+    found = [query for batch in top_search._batches(ids, weights, term, asked) for query in batch]
+    assert [query_id for query_id, _, _ in found] == list(own)
+    for query_id, places, weighed in found:
+        assert terms[places].tolist() == sorted(own[query_id].tolist())
+        held = np.abs(terms[places]) % 500 + 1.0
+        assert np.array_equal(weighed, np.log1p((10_000 - held + 0.5) / (held + 0.5)))
+
+
+def test_search_words_are_those_of_the_pattern():
+    table = top_search._Hashes()
+    for text in ("", "_a_b a\u2014b \u00dcn\u00ef\u2026x \u0391\u03a3 \u00bd\u00b2 \u0663\u00a0a B\u0301b \u0130 \u2014 \u2014", "a\x00b\x85c \u3001\u4e00\u3002\u4e8c", "a\u2014b"):
+        words = Counter(top_search._word.findall(text.lower()))
+        found, counts = top_search._counts(text, table)
+        assert dict(zip(found, counts)) == {int(np.uint64(xxhash.xxh3_64_intdigest(word)).view(np.int64)): n for word, n in words.items()}
+
+
 def test_search_odd_rows(spark, odd, empty):
     asked = odd.select(F.col("doc_id").alias("query_id"), "text").distinct()
     rows = top_search.top_search(odd, asked, 3).collect()
