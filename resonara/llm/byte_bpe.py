@@ -41,30 +41,32 @@ class MergeReplay:
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
                     self.merged[left * self.width + right] = rank
+        first = ((left * self.width + right) for left in self.byte_ids for right in self.byte_ids)
+        self.byte_pairs = np.array([self.merged.get(pair, -1) for pair in first], np.int32).reshape(256, 256)
 
     def encode(self, words: list[bytes]) -> list[tuple[int, ...]]:
         """Ids of each word, as merging its lowest-ranked, leftmost pair again and again gives them."""
-        merged, width, byte_ids = self.merged.get, self.width, self.byte_ids
-        symbols: list[int] = []
-        word_of: list[int] = []
-        starts: list[int] = []
-        for number, word in enumerate(words):
-            starts.append(len(symbols))
-            symbols.extend([byte_ids[b] for b in word])
-            word_of.extend([number] * len(word))
-        count = len(symbols)
-        after = list(range(1, count + 1))
-        before = list(range(-1, count - 1))
-        for start, word in zip(starts, words):
-            if word:
-                before[start] = -1
-                after[start + len(word) - 1] = -1
-        positions: dict[int, list[int]] = {}
-        for at in range(count):
-            if after[at] >= 0:
-                rank = merged(symbols[at] * width + symbols[at + 1])
-                if rank is not None:
-                    positions.setdefault(rank, []).append(at)
+        ids, ends = self.replay(words)
+        return [tuple(ids[start:end].tolist()) for start, end in zip([0, *ends], ends)]
+
+    def replay(self, words: list[bytes]) -> tuple[np.ndarray, list[int]]:
+        """Ids of all words one after another, and where each word's ids end."""
+        data = b"".join(words)
+        raw = np.frombuffer(data, np.uint8)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        ends, held_by = np.cumsum(sizes), np.repeat(np.arange(len(words)), sizes)
+        places = np.arange(len(raw))
+        last = np.zeros(len(raw), bool)
+        last[ends[sizes > 0] - 1] = True
+        after = np.where(last, -1, places + 1).tolist()
+        before = np.where(np.concatenate([[True], last])[:len(raw)], -1, places - 1).tolist()
+        pairs = np.full(len(raw), -1, np.int32)
+        pairs[:-1] = self.byte_pairs[raw[:-1], raw[1:]]
+        pairs[last] = -1
+        positions = self._positions(pairs)
+        byte_ids = self.byte_ids
+        symbols, pair, word_of = [byte_ids[b] for b in data], pairs.tolist(), held_by.tolist()
+        merged, width = self.merged.get, self.width
         ranks = list(positions)
         heapq.heapify(ranks)
         while ranks:
@@ -72,38 +74,58 @@ class MergeReplay:
             waiting: list[int] = []
             held = -1
             for at in sorted(positions.pop(rank, ())):
-                right = after[at]
-                if symbols[at] < 0 or right < 0 or merged(symbols[at] * width + symbols[right]) != rank:
+                if pair[at] != rank:
                     continue
                 if word_of[at] == held:  # a lower rank has arisen in this word and goes first
                     waiting.append(at)
                     continue
-                symbols[at], symbols[right] = rank, -1
+                right = after[at]
+                symbols[at], symbols[right], pair[right] = rank, -1, -1
                 beyond = after[at] = after[right]
+                new = None
                 if beyond >= 0:
                     before[beyond] = at
-                    held = self._index(positions, ranks, rank, merged(rank * width + symbols[beyond]), at, word_of, held)
+                    new = merged(rank * width + symbols[beyond])
+                if new is None:
+                    pair[at] = -1
+                else:
+                    pair[at] = new
+                    if new in positions:
+                        positions[new].append(at)
+                    else:
+                        heapq.heappush(ranks, new)
+                        positions[new] = [at]
+                    if new < rank:
+                        held = word_of[at]
                 previous = before[at]
                 if previous >= 0:
-                    held = self._index(positions, ranks, rank, merged(symbols[previous] * width + rank), previous, word_of, held)
+                    new = merged(symbols[previous] * width + rank)
+                    if new is None:
+                        pair[previous] = -1
+                    else:
+                        pair[previous] = new
+                        if new in positions:
+                            positions[new].append(previous)
+                        else:
+                            heapq.heappush(ranks, new)
+                            positions[new] = [previous]
+                        if new < rank:
+                            held = word_of[at]
             if waiting:
                 if rank not in positions:
                     heapq.heappush(ranks, rank)
                 positions.setdefault(rank, []).extend(waiting)
-        ends = starts[1:] + [count]
-        return [tuple([s for s in symbols[start:end] if s >= 0]) for start, end in zip(starts, ends)]
+        left = np.array(symbols, np.int32)
+        kept = left >= 0
+        return left[kept], np.concatenate([[0], np.cumsum(kept)])[ends].tolist()
 
     @staticmethod
-    def _index(positions, ranks, current, new, at, word_of, held):
-        """Enter a new pair; the word that must wait if the pair ranks lower than the current merge."""
-        if new is None:
-            return held
-        if new not in positions:
-            heapq.heappush(ranks, new)
-            positions[new] = [at]
-        else:
-            positions[new].append(at)
-        return word_of[at] if new < current else held
+    def _positions(pairs: np.ndarray) -> dict[int, list[int]]:
+        """Inverted index from a merge to the positions at which its pair stands."""
+        places = np.flatnonzero(pairs >= 0)
+        places = places[np.argsort(pairs[places], kind="stable")]
+        starts = np.flatnonzero(np.diff(pairs[places], prepend=-1))
+        return {int(pairs[places[start]]): places[start:end].tolist() for start, end in zip(starts, [*starts[1:], len(places)])}
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -144,17 +166,19 @@ def encoder(spark: SparkSession, ranks_path: str, pattern: str):
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         replay, split = _replay(data.value), regex.compile(pattern).findall
-        table: dict[str, tuple[int, ...]] = {}
+        table: dict[str, bytes] = {}  # ids as 32-bit numbers
         for batch in batches:
             ids, lengths = [], [0]
             for texts in _blocks([text or "" for text in batch.to_pylist()]):
                 words = [split(text) for text in texts]
-                new = list({word for found in words for word in found if word not in table})
-                table.update(zip(new, replay.encode([word.encode() for word in new])))
-                for found in words:
-                    own = list(chain.from_iterable(map(table.__getitem__, found)))
-                    ids.append(np.array(own, np.int32))
-                    lengths.append(len(own))
+                new = list(set(chain.from_iterable(words)).difference(table))
+                found, ends = replay.replay([word.encode() for word in new])
+                found = found.tobytes()
+                table.update(zip(new, [found[4 * start:4 * end] for start, end in zip([0, *ends], ends)]))
+                for own in words:
+                    own = b"".join(map(table.__getitem__, own))
+                    ids.append(np.frombuffer(own, np.int32))
+                    lengths.append(len(own) // 4)
                 for word in new:
                     if len(word) > TABLE_WORD_CHARS:
                         del table[word]

@@ -43,6 +43,20 @@ def test_long_words(replay, word):
     assert [list(ids) for ids in replay.encode([word.encode()])] == [ENCODING._core_bpe.encode_single_piece(word.encode())]
 
 
+def test_replay_looks_up_only_pairs_that_a_merge_makes(monkeypatch):
+    asked = []
+
+    class Counted(dict):
+        def get(self, *key):
+            asked.append(key)
+            return dict.get(self, *key)
+
+    own, words = byte_bpe.MergeReplay(RANKS), [b" the", b"aaaaaaa", b" unbelievable", b"xqzt", b""]
+    monkeypatch.setattr(own, "merged", Counted(own.merged))
+    merges = sum(map(len, words)) - sum(map(len, own.encode(words)))
+    assert 0 < len(asked) <= 2 * merges
+
+
 @settings(max_examples=300, deadline=None)
 @given(text=TEXTS)
 def test_counts_equal_library(transducer, text):
