@@ -37,6 +37,8 @@ ORDER = 2
 DISCOUNTED = 5
 BLOCK_TOKENS = 2_000_000
 PART_TOKENS = 1_000_000
+#: Tokens of a block that are worked on at once.
+STRETCH = 1 << 18
 #: Keys of the end of a text and of what stands before its first word: no word has blanks.
 END, BEFORE = (np.uint64(xxhash.xxh3_64_intdigest(mark)) for mark in (b" ", b"\t"))
 
@@ -122,23 +124,28 @@ class Block:
         self.sizes = np.asarray(row["sizes"])
         self.held = np.asarray(row["held"], bool)
         words = _unpacked(row["words"], np.uint64, row["n_words"])
-        tokens = _unpacked(row["tokens"], np.uint32, row["n_tokens"]).astype(np.int64)
-        offset = np.arange(len(tokens)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
-        own = words[tokens]
+        # 32-bit places, and 64-bit arrays as long as the block only while they are worked on: two of these make most of a task's memory
+        tokens = _unpacked(row["tokens"], np.uint32, row["n_tokens"]).view(np.int32)
+        first = np.cumsum(self.sizes) - self.sizes
         self.keys, self.index, self.context = {1: words}, {1: tokens}, {}
         self.starts = int(np.searchsorted(words, BEFORE))
-        before, last = np.where(offset == 0, BEFORE, np.roll(own, 1)), tokens + (tokens >= self.starts)
+        last, here, key = tokens + (tokens >= self.starts), np.ones(len(tokens), bool), None
         for n in range(2, order + 1):
-            here = offset >= n - 2
-            key = _mixed(before * np.uint64(0x9E3779B97F4A7C15) + own)
-            self.keys[n], found = np.unique(key[here], return_inverse=True)
-            self.index[n] = np.full(len(tokens), -1)
-            self.index[n][here] = found
+            key = np.roll(words[tokens] if key is None else key, 1)
+            if n == 2:
+                key[first] = BEFORE
+            else:
+                here = np.roll(here, 1)
+                here[first] = False
+            for part in _stretches(len(tokens)):
+                key[part] = _mixed(key[part] * np.uint64(0x9E3779B97F4A7C15) + words[tokens[part]])
+            self.index[n] = np.full(len(tokens), -1, np.int32)
+            self.keys[n], self.index[n][here] = _numbered(key if here.all() else key[here])
             context = np.roll(last, 1)
             if n == 2:
-                context[offset == 0] = self.starts
+                context[first] = self.starts
             self.context[n] = context
-            before, last = np.roll(key, 1), self.index[n]
+            last = self.index[n]
 
     def times(self, n: int, counts: np.ndarray, texts: int) -> np.ndarray:
         """How often each of ``contexts(n)`` has been followed, from the counts of order n - 1."""
@@ -149,8 +156,30 @@ class Block:
 
     def counts(self, n: int) -> np.ndarray:
         """How often each n-gram stands in documents to learn from."""
-        learnt = ~np.repeat(self.held, self.sizes) & (self.index[n] >= 0)
-        return np.bincount(self.index[n][learnt], minlength=len(self.keys[n]))
+        learnt, counts = ~np.repeat(self.held, self.sizes) & (self.index[n] >= 0), np.zeros(len(self.keys[n]), np.int64)
+        for part in _stretches(len(learnt)):
+            np.add.at(counts, self.index[n][part][learnt[part]], 1)
+        return counts
+
+
+def _stretches(size: int) -> list[slice]:
+    """Slices of ``STRETCH`` places, one after the other."""
+    return [slice(start, start + STRETCH) for start in range(0, size, STRETCH)]
+
+
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, sorted, and the place among them of each."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.ones(len(keys), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    unique = ordered[new]
+    del ordered
+    number = np.cumsum(new, dtype=np.int32)
+    number -= 1
+    at = np.empty(len(keys), np.int32)
+    at[order] = number
+    return unique, at
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -262,23 +291,24 @@ def discounts(tally: Sequence[int]) -> np.ndarray:
 
 
 def _probabilities(block: Block, order: int, replies: list[dict], model: Tallies) -> tuple[np.ndarray, np.ndarray]:
-    """Probability of every token by the model up to ``order``, and the words' counts at it."""
+    """Probability of every token by the model up to ``order``, and the counts of the block's words."""
     tally, kept = model.of[1], discounts(model.of[1][2:])
     lost = sum(r * tally[1 + r] * (1 - kept[r]) for r in range(1, DISCOUNTED + 1))
     total = tally[0] + (lost == 0)  # where no count is discounted, one more occurrence leaves some for the unknown
-    lower, _ = _joined(replies, "count", 1)
-    count = lower[block.index[1]]
-    found = np.where(count > 0, kept[np.minimum(count, DISCOUNTED + 1)] * count / total, (lost + (lost == 0)) / total)
+    counts, _ = _joined(replies, "count", 1)
+    by_word = np.where(counts > 0, kept[np.minimum(counts, DISCOUNTED + 1)] * counts / total, (lost + (lost == 0)) / total)
+    found, lower = by_word[block.index[1]], counts
     for n in range(2, order + 1):
         kept = discounts(model.of[n][2:])
         held, _ = _joined(replies, "count", n)
         weight, lifted = _joined(replies, "context", n)
-        here = block.index[n] >= 0
-        seen, before = held[block.index[n][here]], block.context[n][here]
         total = np.maximum(block.times(n, lower, model.texts) + lifted, 1)
-        found[here] = np.where(seen > 0, kept[np.minimum(seen, DISCOUNTED + 1)] * seen / total[before], weight[before] * found[here])
+        for part in _stretches(len(found)):
+            here = part.start + np.flatnonzero(block.index[n][part] >= 0)
+            seen, before = held[block.index[n][here]], block.context[n][here]
+            found[here] = np.where(seen > 0, kept[np.minimum(seen, DISCOUNTED + 1)] * seen / total[before], weight[before] * found[here])
         lower = held
-    return found, count
+    return found, counts
 
 
 def _ask_contexts(n: int, parts: int, model: Tallies):
@@ -288,13 +318,14 @@ def _ask_contexts(n: int, parts: int, model: Tallies):
         block = Block(row, n)
         held, owned = _joined(rows, "count", n)
         lower, _ = _probabilities(block, n - 1, rows, model)
-        here = np.flatnonzero(block.index[n] >= 0)
-        place = np.zeros(len(held), np.int64)
-        place[block.index[n][here]] = here
-        own = np.flatnonzero((owned > 0) & (held > 0))
-        of, times, keys = block.context[n][place[own]], held[own], block.contexts(n)
+        keys, place = block.contexts(n), np.zeros(len(held), np.int32)
         needed = np.zeros(len(keys), np.uint8)
-        needed[block.context[n][here[held[block.index[n][here]] == 0]]] = 1
+        for part in _stretches(len(lower)):
+            here = part.start + np.flatnonzero(block.index[n][part] >= 0)
+            place[block.index[n][here]] = here
+            needed[block.context[n][here[held[block.index[n][here]] == 0]]] = 1
+        own = np.flatnonzero((owned > 0) & (held > 0))
+        of, times = block.context[n][place[own]], held[own]
         amounts = [np.bincount(of, times, len(keys)).astype(np.int64), *(np.bincount(of[times == r], minlength=len(keys)) for r in range(1, DISCOUNTED + 1)),
                    np.bincount(of, lower[place[own]], len(keys)), needed]
         return _table(_asked(n, row["block"], keys, amounts, parts), _ASK)
@@ -310,10 +341,11 @@ def _score(order: int, model: Tallies):
 
     def score(blocks: pa.Table, replies: pa.Table) -> pa.Table:
         block = Block(blocks.drop_columns("ids").to_pylist()[0], order)
-        found, count = _probabilities(block, order, replies.to_pylist(), model)
-        starts = np.cumsum(block.sizes) - block.sizes
-        per_text = [block.sizes.astype(np.int64), np.add.reduceat((count > 0).astype(np.int64), starts), np.full(len(starts), tokens),
-                    np.add.reduceat(np.log10((count + 1) / (tokens + kinds + 1)), starts), np.add.reduceat(np.log10(found), starts)]
+        found, counts = _probabilities(block, order, replies.to_pylist(), model)
+        starts, words = np.cumsum(block.sizes) - block.sizes, block.index[1]
+        base = np.log10((counts + 1) / (tokens + kinds + 1))
+        per_text = [block.sizes.astype(np.int64), np.add.reduceat((counts > 0)[words], starts, dtype=np.int64), np.full(len(starts), tokens),
+                    np.add.reduceat(base[words], starts), np.add.reduceat(np.log10(found, out=found), starts)]
         return pa.table([blocks["ids"].combine_chunks().flatten(), pa.array(block.held), *map(pa.array, per_text)], names=_SCORES)
 
     return score
@@ -342,6 +374,7 @@ def language_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
                 block = Block(row, order)
                 for n in range(1, order + 1):
                     yield from _table(_asked(n, row["block"], block.keys[n], [block.counts(n)], parts), _ASK).to_batches()
+                del block  # before the next one is built
 
     table = blocks.drop("ids")
     asked = table.mapInArrow(ask, _ASK_DDL).groupBy("level", "part")

@@ -2,6 +2,7 @@
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -115,3 +116,20 @@ def test_query(spark, small_folder):
     connection.execute(f"create view documents as select * from '{small_folder}/documents.parquet'")
     got = sorted(map(repr, map(tuple, queries.op13_language_scores(spark, small_folder).collect())))
     assert got == sorted(map(repr, connection.execute(katz_sql.katz_sql(7, 2)).fetchall()))
+
+
+def test_memory_of_a_block():
+    """Two blocks are held by an executor at once: what is made of a block stays a small number of its tokens' size."""
+    size, rng = 1 << 20, np.random.default_rng(5)
+    words = np.sort(rng.integers(0, 1 << 63, 100_000).astype(np.uint64))
+    tokens = (len(words) * rng.random(size) ** 3).astype(np.uint32)
+    row = {"block": 0, "held": [False] * 1024, "sizes": [1024] * 1024, "n_words": len(words), "n_tokens": size,
+           "words": katz._packed(words), "tokens": katz._packed(tokens)}
+    tracemalloc.start()
+    try:
+        block = katz.Block(row, 2)
+        kept, most = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert block.counts(2).sum() == size
+    assert most < 80 * size and kept < 32 * size, (most / size, kept / size)
