@@ -263,3 +263,33 @@ def test_pipeline(spark, small_folder, small_texts):
     toxic = {row["doc_id"] for row in spark.read.parquet(f"{small_folder}/labels.parquet").where("toxic = 1").collect()}
     insulting = {key for key in toxic if toxicity.features(small_texts[key])[0] > 0}
     assert not insulting & set(rows)
+
+
+def test_search_names_fewer_documents_than_shards_hold(spark, monkeypatch):
+    """What leaves 16 shards grows with the logarithm of their number, and the best stay the best, equal scores included."""
+    rng = np.random.default_rng(11)
+    texts = {key: " ".join(f"w{n}" for n in rng.integers(0, 40, 12)) for key in range(640)} | {key: "w1 w2 w3" for key in range(640, 700)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    size = sum(len(set(text.split())) for text in texts.values())
+    monkeypatch.setattr(top_search, "SHARD_TERMS", size / 16)
+    left = spark.sparkContext.accumulator(0)
+    searcher = top_search._searcher
+
+    def counted(k, mean_length):
+        search = searcher(k, mean_length)
+
+        def run(docs, block):
+            found = search(docs, block)
+            left.add(found.num_rows)
+            return found
+
+        return run
+
+    monkeypatch.setattr(top_search, "_searcher", counted)
+    wanted = docs.where("doc_id % 20 = 0").withColumnRenamed("doc_id", "query_id")
+    got = {}
+    for row in top_search.top_search(docs, wanted, 5).orderBy("query_id", "rank").collect():
+        got.setdefault(row["query_id"], []).append((row["doc_id"], row["score"]))
+    asked = [key for key in texts if key % 20 == 0]
+    assert got == bm25(texts, asked, 5)
+    assert left.value < 9.5 * 5 * len(asked), left.value / len(asked)
