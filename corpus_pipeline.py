@@ -54,9 +54,9 @@ def draw_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All columns, the ids of the whole text, their number and the digest of the decoded bytes."""
     ship(spark)
-    ids = docs.withColumn("ids", byte_bpe.encoder(spark, RANKS, public_tokenizers.PATTERN)("text"))
-    return ids.withColumns({"n_tokens": F.size("ids").cast("long"),
-                            "decoded_sha256": F.sha2(byte_bpe.decoder(spark, RANKS)("ids"), 256)})
+    found = byte_bpe.round_trip(spark, RANKS, public_tokenizers.PATTERN)("text")
+    return docs.withColumns({"ids": found["ids"], "n_tokens": F.size(found["ids"]).cast("long"), "decoded_sha256": F.sha2(found["decoded"], 256)})
+
 
 
 STAGES = [

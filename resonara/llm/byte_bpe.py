@@ -19,6 +19,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -155,59 +156,88 @@ def _blocks(texts: list[str]) -> Iterator[list[str]]:
         yield block
 
 
+def _encoded(data: bytes, pattern: str, batches: Iterator[pa.Array]) -> Iterator[pa.ListArray]:
+    """Ids of each batch of texts."""
+    replay, split = _replay(data), regex.compile(pattern).findall
+    table: dict[str, bytes] = {}  # ids as 32-bit numbers
+    for batch in batches:
+        ids, lengths = [], [0]
+        for texts in _blocks([text or "" for text in batch.to_pylist()]):
+            words = [split(text) for text in texts]
+            new = list(set(chain.from_iterable(words)).difference(table))
+            found, ends = replay.replay([word.encode() for word in new])
+            found = found.tobytes()
+            table.update(zip(new, [found[4 * start:4 * end] for start, end in zip([0, *ends], ends)]))
+            for own in words:
+                own = b"".join(map(table.__getitem__, own))
+                ids.append(np.frombuffer(own, np.int32))
+                lengths.append(len(own) // 4)
+            for word in new:
+                if len(word) > TABLE_WORD_CHARS:
+                    del table[word]
+            if len(table) > TABLE_WORDS:
+                table.clear()
+        yield pa.ListArray.from_arrays(pa.array(np.cumsum(lengths), pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *ids])))
+
+
+def _decoded(pieces: pa.Array, batch: pa.ListArray) -> pa.Array:
+    """Bytes of each list of ids."""
+    batch = batch.fill_null([]) if batch.null_count else batch
+    offsets = np.concatenate([[0], np.cumsum(batch.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+    taken = pieces.take(batch.flatten())
+    starts = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset:][offsets] if len(taken) else np.zeros(len(offsets), np.int64)
+    whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(batch), [None, pa.py_buffer(starts.copy()), taken.buffers()[2]])
+    return whole.cast(pa.binary())
+
+
+def _shared(spark: SparkSession, ranks_path: str) -> Broadcast:
+    with open(ranks_path, "rb") as file:
+        return spark.sparkContext.broadcast(file.read())
+
+
 def encoder(spark: SparkSession, ranks_path: str, pattern: str):
     """Function from a text column to its token ids, ``array<int>``; no special tokens.
 
     A null or an empty text has no ids.  Texts are taken whole, whatever their length.
     """
-    with open(ranks_path, "rb") as file:
-        data = spark.sparkContext.broadcast(file.read())
+    data = _shared(spark, ranks_path)
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        replay, split = _replay(data.value), regex.compile(pattern).findall
-        table: dict[str, bytes] = {}  # ids as 32-bit numbers
-        for batch in batches:
-            ids, lengths = [], [0]
-            for texts in _blocks([text or "" for text in batch.to_pylist()]):
-                words = [split(text) for text in texts]
-                new = list(set(chain.from_iterable(words)).difference(table))
-                found, ends = replay.replay([word.encode() for word in new])
-                found = found.tobytes()
-                table.update(zip(new, [found[4 * start:4 * end] for start, end in zip([0, *ends], ends)]))
-                for own in words:
-                    own = b"".join(map(table.__getitem__, own))
-                    ids.append(np.frombuffer(own, np.int32))
-                    lengths.append(len(own) // 4)
-                for word in new:
-                    if len(word) > TABLE_WORD_CHARS:
-                        del table[word]
-                if len(table) > TABLE_WORDS:
-                    table.clear()
-            yield pa.ListArray.from_arrays(pa.array(np.cumsum(lengths), pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *ids])))
+        yield from _encoded(data.value, pattern, batches)
 
     return encode
 
 
 def decoder(spark: SparkSession, ranks_path: str):
     """Function from a column of token ids to the bytes they stand for; null ids give no bytes."""
-    with open(ranks_path, "rb") as file:
-        data = spark.sparkContext.broadcast(file.read())
+    data = _shared(spark, ranks_path)
 
     @F.arrow_udf("binary")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pieces = _pieces(data.value)
         for batch in batches:
-            batch = batch.fill_null([]) if batch.null_count else batch
-            offsets = np.concatenate([[0], np.cumsum(batch.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
-            taken = pieces.take(batch.flatten())
-            starts = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset:][offsets] if len(taken) else np.zeros(len(offsets), np.int64)
-            whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(batch), [None, pa.py_buffer(starts.copy()), taken.buffers()[2]])
-            yield whole.cast(pa.binary())
+            yield _decoded(pieces, batch)
 
     return decode
 
 
+def round_trip(spark: SparkSession, ranks_path: str, pattern: str):
+    """Function from a text column to ``ids`` as of ``encoder`` and ``decoded``, the bytes that ``decoder`` finds for these.
+
+    Both in one Python worker: ids that are kept and decoded as well would take a second worker beside it.
+    """
+    data = _shared(spark, ranks_path)
+
+    @F.arrow_udf("struct<ids: array<int>, decoded: binary>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        pieces = _pieces(data.value)
+        for ids in _encoded(data.value, pattern, batches):
+            yield pa.StructArray.from_arrays([ids, _decoded(pieces, ids)], ["ids", "decoded"])
+
+    return both
+
+
 def id_text(ids: Column) -> Column:
     """Decimal ids joined by one space."""
     return F.array_join(ids.cast("array<string>"), " ")

@@ -9,7 +9,9 @@ import sentencepiece
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from resonara.llm import byte_bpe, queries, token_counts
 
 RANKS = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(queries.RANKS, "rb"))}
@@ -100,3 +102,19 @@ def test_odd_texts(spark, odd, empty):
     assert empty.select(encode("text"), count("text")).count() == 0
     nulls = spark.createDataFrame([(None,)], "ids array<int>")
     assert bytes(nulls.select(decode("ids").alias("b")).first()["b"]) == b""
+
+
+def test_one_worker_encodes_and_decodes(spark, odd, empty, small_folder):
+    """The pipeline keeps ids and decodes them as well: one evaluation, as each takes a worker of its own in every task."""
+    both = byte_bpe.round_trip(spark, queries.RANKS, public_tokenizers.PATTERN)
+    for row in odd.select("text", both("text").alias("found")).collect():
+        text = row["text"] or ""
+        assert (row["found"]["ids"], bytes(row["found"]["decoded"])) == (ENCODING.encode_ordinary(text), text.encode())
+    assert empty.select(both("text")).count() == 0
+    encoded = corpus_pipeline.encode(spark, odd.withColumn("ids", F.lit("replaced")), small_folder)
+    assert encoded.columns == [*odd.columns, "ids", "n_tokens", "decoded_sha256"]
+    assert str(encoded._jdf.queryExecution().executedPlan()).count("ArrowEvalPython") == 1
+    for row in encoded.collect():
+        text = row["text"] or ""
+        ids = ENCODING.encode_ordinary(text)
+        assert (row["ids"], row["n_tokens"], row["decoded_sha256"]) == (ids, len(ids), hashlib.sha256(text.encode()).hexdigest())
