@@ -18,12 +18,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import Broadcast
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-BLOCK_CHARS = 1 << 20
+BLOCK_BYTES = 1 << 18
 TABLE_WORDS = 400_000
 TABLE_WORD_CHARS = 64
 
@@ -144,40 +145,32 @@ def _pieces(data: bytes) -> pa.Array:
     return pa.array(_replay(data).pieces, pa.large_binary())
 
 
-def _blocks(texts: list[str]) -> Iterator[list[str]]:
-    block, chars = [], 0
-    for text in texts:
-        block.append(text)
-        chars += len(text)
-        if chars >= BLOCK_CHARS:
-            yield block
-            block, chars = [], 0
-    if block:
-        yield block
+def _blocks(batch: pa.Array) -> Iterator[pa.Array]:
+    """Slices of about ``BLOCK_BYTES`` of text, or of one row."""
+    block = np.cumsum(pc.binary_length(batch).fill_null(0).to_numpy(), dtype=np.int64) // BLOCK_BYTES
+    starts = np.flatnonzero(np.diff(block, prepend=-1))
+    for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(batch)]):
+        yield batch.slice(start, end - start)
 
 
 def _encoded(data: bytes, pattern: str, batches: Iterator[pa.Array]) -> Iterator[pa.ListArray]:
-    """Ids of each batch of texts."""
+    """Ids of the texts, a block at a time: Spark takes an iterator's rows in any cuts, and so neither side holds those of a batch."""
     replay, split = _replay(data), regex.compile(pattern).findall
     table: dict[str, bytes] = {}  # ids as 32-bit numbers
-    for batch in batches:
-        ids, lengths = [], [0]
-        for texts in _blocks([text or "" for text in batch.to_pylist()]):
-            words = [split(text) for text in texts]
-            new = list(set(chain.from_iterable(words)).difference(table))
-            found, ends = replay.replay([word.encode() for word in new])
-            found = found.tobytes()
-            table.update(zip(new, [found[4 * start:4 * end] for start, end in zip([0, *ends], ends)]))
-            for own in words:
-                own = b"".join(map(table.__getitem__, own))
-                ids.append(np.frombuffer(own, np.int32))
-                lengths.append(len(own) // 4)
-            for word in new:
-                if len(word) > TABLE_WORD_CHARS:
-                    del table[word]
-            if len(table) > TABLE_WORDS:
-                table.clear()
-        yield pa.ListArray.from_arrays(pa.array(np.cumsum(lengths), pa.int32()), pa.array(np.concatenate([np.empty(0, np.int32), *ids])))
+    for block in chain.from_iterable(map(_blocks, batches)):
+        words = [split(text or "") for text in block.to_pylist()]
+        new = list(set(chain.from_iterable(words)).difference(table))
+        found, ends = replay.replay([word.encode() for word in new])
+        found = found.tobytes()
+        table.update(zip(new, [found[4 * start:4 * end] for start, end in zip([0, *ends], ends)]))
+        ids = [b"".join(map(table.__getitem__, own)) for own in words]
+        lengths = [0, *(len(own) // 4 for own in ids)]
+        for word in new:
+            if len(word) > TABLE_WORD_CHARS:
+                del table[word]
+        if len(table) > TABLE_WORDS:
+            table.clear()
+        yield pa.ListArray.from_arrays(pa.array(np.cumsum(lengths), pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))
 
 
 def _decoded(pieces: pa.Array, batch: pa.ListArray) -> pa.Array:

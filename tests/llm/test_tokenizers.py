@@ -4,6 +4,7 @@ import base64
 import hashlib
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tiktoken
@@ -118,3 +119,18 @@ def test_one_worker_encodes_and_decodes(spark, odd, empty, small_folder):
         text = row["text"] or ""
         ids = ENCODING.encode_ordinary(text)
         assert (row["ids"], row["n_tokens"], row["decoded_sha256"]) == (ids, len(ids), hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_ids_of_a_batch_leave_in_blocks(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "BLOCK_BYTES", 40)
+    texts = ["the words of a text, " * 3, None, "", "é中😀 and more"] * 5
+    with open(queries.RANKS, "rb") as file:
+        data = file.read()
+    # the second batch begins inside its buffers, the last one has no rows
+    batches = [pa.array(texts), pa.array(texts).slice(3, 9), pa.array([None, None], pa.string()), pa.array([], pa.string())]
+    found = list(byte_bpe._encoded(data, public_tokenizers.PATTERN, iter(batches)))
+    assert max(map(len, found)) <= 4
+    given = [text for batch in batches for text in batch.to_pylist()]
+    assert [ids for block in found for ids in block.to_pylist()] == ENCODING.encode_ordinary_batch([text or "" for text in given])
+    pieces = byte_bpe._pieces(data)
+    assert [text for block in found for text in byte_bpe._decoded(pieces, block).to_pylist()] == [(text or "").encode() for text in given]
