@@ -223,6 +223,14 @@ def test_search_words_are_those_of_the_pattern():
         assert dict(zip(found, counts)) == {int(np.uint64(xxhash.xxh3_64_intdigest(word)).view(np.int64)): n for word, n in words.items()}
 
 
+def test_search_hashes_ascii_words_without_a_table():
+    table = top_search._Hashes()
+    found, counts = top_search._counts("The end, the b-side: The END", table)
+    assert not table
+    words = {b"the": 3, b"end": 2, b"b": 1, b"side": 1}
+    assert list(zip(found, counts)) == sorted((int(np.uint64(xxhash.xxh3_64_intdigest(word)).view(np.int64)), n) for word, n in words.items())
+
+
 def test_search_odd_rows(spark, odd, empty):
     asked = odd.select(F.col("doc_id").alias("query_id"), "text").distinct()
     rows = top_search.top_search(odd, asked, 3).collect()
