@@ -1,10 +1,13 @@
 """Neighbours from quantised vectors against the full scan."""
 
+import os
+
 import numpy as np
 import pytest
 
 from resonara.operators import quantised as Q
 from resonara.operators.neighbours import knn
+from resonara.workspace import shared_folder
 
 
 def shown(df, value):
@@ -52,3 +55,18 @@ def test_few_and_no_items(spark):
     assert Q.knn_quantised(items, queries.limit(0), 2)[0].count() == 0
     with pytest.raises(ValueError):
         Q.knn_quantised(items, queries, 0)
+
+
+def test_queries_are_not_copied_for_every_ring(spark):
+    """No stored table has a row for each query and ring."""
+    matrix = np.random.default_rng(3).normal(size=(500, 16))
+    items = frame(spark, matrix)
+    queries = items.withColumnRenamed("item_id", "query_id")
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    found, report = Q.knn_quantised(items, queries, 3, cells=40)
+    assert shown(found, "distance_sq") == shown(knn(items, queries, 3, plan="scan"), "distance_sq")
+    assert report.count() == 500
+    new = [os.path.join(folder, name) for name in set(os.listdir(folder)) - before]
+    rows = [spark.read.parquet(path).count() for path in new]
+    assert max(rows) < 50 * 500
