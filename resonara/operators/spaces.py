@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from resonara.operators.neighbours import knn, present
 from resonara.operators.project import covariance
+from resonara.workspace import written
 
 # --- fixed values -----------------------------------------------------------
 PERSISTENCE = 0.9  # weight of each further rank in the rank-biased overlap
@@ -61,7 +62,8 @@ def neighbourhood_agreement(first: DataFrame, second: DataFrame, k: int, *, pers
     both = present(first).select("item_id").join(present(second).select("item_id"), "item_id", "left_semi")
     lists = []
     for name, space in (("a", first), ("b", second)):
-        items = present(space).select("item_id", "embedding").join(both, "item_id", "left_semi")
+        # stored: the search counts its items and picks pivots before it reads their vectors
+        items = written(present(space).select("item_id", "embedding").join(both, "item_id", "left_semi"), f"items-{name}")
         near = knn(items, items.withColumnRenamed("item_id", "query_id"), k, plan=plan, block_rows=block_rows)
         lists.append(near.select("query_id", "item_id", F.col("rank").alias(f"{name}_rank")))
     # a short list ends early; deeper ranks then weigh nothing, so the sum is scaled by what full agreement would reach

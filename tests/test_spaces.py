@@ -74,3 +74,19 @@ def test_one_model_reads_its_folder_only(spark, tmp_path):
     assert S.read_model(spark, path, "a").count() == 10
     with pytest.raises(ValueError):
         S.read_model(spark, path, "c")
+
+
+def test_models_are_searched_from_a_stored_table(spark):
+    """A search reads its items several times; when it read the models anew each time, a row was computed 18 times."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    random = np.random.default_rng(3)
+    first = frame(spark, random.normal(size=(60, 8))).repartition(3)
+    first = first.mapInPandas(count, first.schema)
+    rows = S.neighbourhood_agreement(first, frame(spark, random.normal(size=(60, 5))), 3, plan="blocks").collect()
+    assert len(rows) == 60 and seen.value <= 5 * 60
