@@ -33,6 +33,7 @@ START_SPREAD = 1.0
 EXAGGERATION = 4.0
 STALLED, SETTLING = 0.05, 20
 HUB_EDGES = 1_000_000
+HELD_POINTS = 1_000_000  # places of so many points are sent to every executor, 24 bytes each
 
 
 def _match_perplexity(squares: np.ndarray, perplexity: float) -> np.ndarray:
@@ -75,6 +76,7 @@ def perplexity_affinity(neighbours: DataFrame, perplexity: float = PERPLEXITY) -
 
 def _symmetric(affinity: DataFrame) -> DataFrame:
     """``a, b, p``: both directions averaged, over all pairs summing to 1."""
+    affinity = written(affinity, "affinities")  # read three times, and a search stands behind it
     n = affinity.select("query_id").distinct().count()
     there = affinity.select(F.col("query_id").alias("a"), F.col("item_id").alias("b"), "p")
     back = affinity.select(F.col("item_id").alias("a"), F.col("query_id").alias("b"), "p")
@@ -243,11 +245,17 @@ def _step(tree: Quadtree, normaliser: float, n: int, factor: float, rate: float,
     return step
 
 
-def _ends(edges: DataFrame, points: DataFrame, degrees: DataFrame, hubs: bool) -> DataFrame:
-    """Edges with the coordinates of both ends; where an item is an end of very many edges, by a lookup that splits it."""
+def _ends(edges: DataFrame, points: DataFrame, degrees: DataFrame, hubs: bool, n: int) -> DataFrame:
+    """Edges with the coordinates of both ends.
+
+    Up to ``HELD_POINTS`` points go to the edges, so that no edge is shuffled.  Of more, the
+    edges go to the points; where an item is an end of very many edges, by a lookup that splits it.
+    """
     for end in ("a", "b"):
         place = points.select(F.col("item_id").alias(end), F.col("x").alias(f"{end}x"), F.col("y").alias(f"{end}y"))
-        if hubs:
+        if n <= HELD_POINTS:
+            edges = edges.join(F.broadcast(place), end)
+        elif hubs:
             edges = keyed_lookup(edges, place.join(degrees.withColumnRenamed("item_id", end), end), [end], "rows").drop("rows")
         else:
             edges = edges.join(place, end)
@@ -259,17 +267,20 @@ def map_divergence(edges: DataFrame, points: DataFrame) -> float:
     low_x, low_y, high_x, high_y, n = points.agg(F.min("x"), F.min("y"), F.max("x"), F.max("y"), F.count("*")).first()
     normaliser = quadtree(points, _Box.around(low_x, low_y, high_x, high_y), n).normaliser()
     degrees = edges.groupBy(F.col("a").alias("item_id")).agg(F.count("*").alias("rows"))
-    ends = _ends(edges, points.select("item_id", "x", "y"), degrees, False)
+    ends = _ends(edges, points.select("item_id", "x", "y"), degrees, False, n)
     kernel = 1.0 / (1.0 + (F.col("ax") - F.col("bx")) ** 2 + (F.col("ay") - F.col("by")) ** 2)
     return ends.where("p > 0").agg(F.sum(F.col("p") * F.log(F.col("p") * F.lit(normaliser) / kernel))).first()[0]
 
 
 def affinity_edges(items: DataFrame, perplexity: float = PERPLEXITY) -> DataFrame:
-    """``a, b, p`` of the nearest-neighbour graph of ``item_id, embedding``, both directions, summing to 1."""
+    """``a, b, p`` of the nearest-neighbour graph of ``item_id, embedding``, both directions, summing to 1.
+
+    To be stored: edges of one ``a`` lie together, so that sums over them are made where they are read.
+    """
     n = items.count()
     k = int(max(1, min(n - 1, 3 * perplexity)))
     near = knn(items, items.withColumnRenamed("item_id", "query_id"), k)
-    return _symmetric(perplexity_affinity(near, min(perplexity, max(k / 3.0, 1.0))))
+    return _symmetric(perplexity_affinity(near, min(perplexity, max(k / 3.0, 1.0)))).hint("rebalance", "a")
 
 
 def start_map(items: DataFrame) -> DataFrame:
@@ -300,7 +311,7 @@ def lay_out(edges: DataFrame, start: DataFrame, *, rounds: int = 100) -> DataFra
         tree = quadtree(points, _Box.around(*corners), n)
         dx, dy = F.col("ax") - F.col("bx"), F.col("ay") - F.col("by")
         pull = F.col("p") / (1.0 + dx * dx + dy * dy)
-        pulled = _ends(edges, points, degrees, hubs).groupBy(F.col("a").alias("item_id")).agg(F.sum(pull * dx).alias("px"), F.sum(pull * dy).alias("py"))
+        pulled = _ends(edges, points, degrees, hubs, n).groupBy(F.col("a").alias("item_id")).agg(F.sum(pull * dx).alias("px"), F.sum(pull * dy).alias("py"))
         step = _step(tree, tree.normaliser(), n, EXAGGERATION if early else 1.0, max(n / EXAGGERATION, 50.0), 0.5 if early else 0.8)
         points = replaced(points.join(pulled, "item_id", "left").mapInPandas(step, points.schema), "map-round", points)
         *corners, _, steep = points.agg(*span).first()
