@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from resonara.functions.vectors import to_double
 from resonara.operators.neighbours import knn
+from resonara.workspace import written
 
 # --- fixed values -----------------------------------------------------------
 RADIUS = 1.5
@@ -198,7 +199,8 @@ def result_coordinates(rows: DataFrame, group: str, key: str, vector: str = "emb
 
 def radial_layout(found: DataFrame, query: str = "query_id", radius: float = RADIUS) -> DataFrame:
     """``query, rank, x, y``: the query at the origin as rank 0, its n neighbours
-    on a circle by rank."""
+    on a circle by rank.  Starts a Spark job."""
+    found = written(found.select(query, "rank"), "ranks")  # read twice, and a search may stand behind it
     counts = found.groupBy(query).agg(F.max("rank").alias("n"))
     angle = (F.col("rank") - 1) * (2.0 * F.pi()) / F.col("n")
     circle = found.join(counts, query).select(

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from resonara.operators import cluster as C
 from resonara.operators import neighbours as N
+from resonara.workspace import written
 
 
 def frame(spark, matrix, ids=None, **columns):
@@ -228,7 +229,6 @@ def test_quadtree_is_cut_where_points_are_crowded(spark, monkeypatch):
 
 def test_map_diverges_less_than_its_start(spark):
     from resonara.operators import neighbour_map as M
-    from resonara.workspace import written
 
     rng = np.random.default_rng(4)
     df = written(frame(spark, np.vstack([rng.normal(c * 3, 1.0, (30, 8)) for c in range(3)])), "test-map")
@@ -243,6 +243,48 @@ def test_map_diverges_less_than_its_start(spark):
     assert M.neighbour_map(one).count() == 1
 
 
+def counted(spark, df):
+    """The same rows, and an accumulator of how many of them were computed."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    return df.mapInPandas(count, df.schema), seen
+
+
+def test_what_stands_behind_a_layout_or_a_map_is_computed_once(spark):
+    from resonara.operators import neighbour_map as M
+    from resonara.operators.project import radial_layout
+
+    found, seen = counted(spark, spark.createDataFrame([(q, r) for q in range(50) for r in (1, 2, 3)], "query_id int, rank int").repartition(3))
+    assert radial_layout(found).count() == 200 and seen.value == 150
+    pairs, seen = counted(spark, spark.createDataFrame([(q, (q + r) % 20, 0.5) for q in range(20) for r in (1, 2)], "query_id int, item_id int, p double").repartition(3))
+    assert M._symmetric(pairs).agg(F.sum("p")).first()[0] == pytest.approx(1.0) and seen.value == 40
+
+
+def test_rounds_of_a_map_shuffle_no_edges(spark, monkeypatch):
+    from resonara.operators import neighbour_map as M
+
+    rng = np.random.default_rng(2)
+    points = written(spark.createDataFrame([(n, *map(float, rng.normal(size=2))) for n in range(300)], "item_id long, x double, y double"), "test-points")
+    edges = written(spark.createDataFrame([(a, int(b), 1.0 / 9000) for a in range(300) for b in rng.choice(300, 30, replace=False)],
+                                          "a long, b long, p double").repartition(6, "a"), "test-edges")
+    degrees = edges.groupBy(F.col("a").alias("item_id")).agg(F.count("*").alias("rows"))
+    moved = []
+    for held in (1000, 10):
+        monkeypatch.setattr(M, "HELD_POINTS", held)
+        before = local_files(spark)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        rows = sorted(map(tuple, M._ends(edges, points, degrees, False, 300).collect()))
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        moved.append((rows, sum(size for path, size in local_files(spark).items() if path not in before)))
+    assert moved[0][0] == moved[1][0] and len(moved[0][0]) == 9000
+    assert moved[0][1] < 1e4 < moved[1][1]
+
+
 def test_both_centroid_plans_measure_exactly(spark):
     """Far from the origin the expanded square would lose all digits."""
     points = spark.createDataFrame([(1, [1e8 + 0.5])], "item_id int, embedding array<double>")
