@@ -99,6 +99,16 @@ def test_ids_of_text_and_none_in_blocks(spark):
     assert seen[0] == seen[1] == seen[2] and len(seen[0]) == 120
 
 
+def test_a_query_that_stands_twice_gets_its_neighbours_twice(spark):
+    """In whatever cells they lie, as in a join of both tables."""
+    matrix = np.random.default_rng(8).normal(size=(60, 5))
+    df = frame(spark, matrix)
+    queries = df.unionByName(df.where("item_id < 20")).withColumnRenamed("item_id", "query_id")
+    found = N.knn(df, queries, 4, plan="blocks", cells=9).where("query_id < 20").collect()
+    once = {(r["query_id"], r["rank"]): r["item_id"] for r in N.knn(df, df.withColumnRenamed("item_id", "query_id"), 2, plan="scan").collect()}
+    assert {(r["query_id"], r["rank"]): r["item_id"] for r in found} == {(q, rank): once[q, (rank + 1) // 2] for q in range(20) for rank in (1, 2, 3, 4)}
+
+
 def test_knn_cosine(spark, clustered):
     unit = clustered / np.linalg.norm(clustered, axis=1, keepdims=True)
     df = frame(spark, np.vstack([clustered, np.zeros((1, 16))]))
